@@ -270,9 +270,20 @@ def q_service_count(spark, d):
     return r6(olap.service_count_rates(raw(spark, d), ADDONS))
 
 
+PARTS = ("churnkit.plans.catalog_profile", "churnkit.plans.catalog_eval", "churnkit.plans.catalog_segments")
+
+
+def _load() -> None:
+    import importlib
+    for mod in PARTS:
+        importlib.import_module(mod)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return {k: v[0] for k, v in REGISTRY.items()}
 
 
 def oracle() -> dict[str, str]:
+    _load()
     return {k: v[1] for k, v in REGISTRY.items() if v[1] is not None}
