@@ -270,7 +270,8 @@ def q_service_count(spark, d):
     return r6(olap.service_count_rates(raw(spark, d), ADDONS))
 
 
-PARTS = ("churnkit.plans.catalog_profile", "churnkit.plans.catalog_eval", "churnkit.plans.catalog_segments")
+PARTS = ("churnkit.plans.catalog_profile", "churnkit.plans.catalog_eval", "churnkit.plans.catalog_segments",
+         "churnkit.plans.catalog_models")
 
 
 def _load() -> None:
