@@ -38,12 +38,27 @@ def q_lr_cv(spark, d):
     return r6(auc.withColumn("_k", F.lit(1)).join(f2.withColumn("_k", F.lit(1)), "_k").drop("_k"))
 
 
-@query("training_report")
-def q_training_report(spark, d):
-    """LR, random forest and boosted trees with the reference settings —
-    threshold tuned on validation by F2, refit on train+val, test metrics."""
+def _report(spark, d, spec):
     data, feats = training.model_table(spark, d)
-    return r6(training.training_report(data, feats))
+    return r6(training.training_report(data, feats, specs=(spec,)))
+
+
+@query("training_report_lr")
+def q_training_lr(spark, d):
+    """Weighted LR — threshold tuned on validation by F2, refit on train+val, test metrics."""
+    return _report(spark, d, models.DEFAULT_MODELS[0])
+
+
+@query("training_report_rf")
+def q_training_rf(spark, d):
+    """Balanced random forest (200 trees) with the same tune/refit/test protocol."""
+    return _report(spark, d, models.DEFAULT_MODELS[1])
+
+
+@query("training_report_gbt")
+def q_training_gbt(spark, d):
+    """Boosted trees (200 x depth 5, lr 0.1, sampling 0.9, positive-class weight)."""
+    return _report(spark, d, models.DEFAULT_MODELS[2])
 
 
 @query("pca_variance")
