@@ -98,7 +98,7 @@ def q_staging_layer(spark, d):
                                      " round(total, 6) AS total) FROM curated"))
 def q_curated_layer(spark, d):
     """Population z-scores, key retained."""
-    return r6(etl.curated_layer(etl.staging_layer(raw(spark, d))))
+    return r6(etl.curated_from_raw(raw(spark, d)))
 
 
 # ---------------------------------------------------------------- OLAP

@@ -20,7 +20,7 @@ LR = FIXED_SCORERS[0]
 # ------------------------------------------------------------------ Spark side
 
 def curated(spark, d):
-    return etl.curated_layer(etl.staging_layer(raw(spark, d)))
+    return etl.curated_from_raw(raw(spark, d))
 
 
 def scored(spark, d):

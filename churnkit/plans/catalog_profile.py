@@ -172,5 +172,5 @@ def q_box(spark, d):
     [f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean FROM curated" for c in CURATED_FEATURES])))
 def q_feature_means(spark, d):
     """Global mean of every curated feature."""
-    cur = etl.curated_layer(etl.staging_layer(raw(spark, d)))
+    cur = etl.curated_from_raw(raw(spark, d))
     return r6(profile.feature_means(cur, CURATED_FEATURES))

@@ -69,12 +69,13 @@ def q_embedding_silhouette(spark, d):
 def customer_clusters(spark, d):
     """Curated customers with two deterministic clusterings: centres = means
     per (churn, dependents) group (cluster) and per region (region_cluster)."""
-    cur = curated(spark, d)
-    vec = cur.withColumn("vec", segments.as_array(NUM))
+    from churnkit.plans import etl
+    r = adapters.raw_customers(spark, d)
+    cur = etl.curated_from_raw(r)
+    # the region label rides along from the raw row (same key, one table)
+    vec = cur.join(r.select("customer_id", "region"), "customer_id").withColumn("vec", segments.as_array(NUM))
     g1 = segments.group_centroids(vec.withColumn("_g", F.struct("churn", "dependents")), "vec", "_g")
     c1 = [(i, v) for i, (_, v) in enumerate(g1)]
-    region = adapters.raw_customers(spark, d).select("customer_id", "region")
-    vec = vec.join(region, "customer_id")
     g2 = segments.group_centroids(vec.where(F.col("region").isNotNull()), "vec", "region")
     c2 = [(i, v) for i, (_, v) in enumerate(g2)]
     out = segments.assign_nearest(vec, "vec", c1, "cluster", "distance")

@@ -33,6 +33,31 @@ def discover_levels(df: DataFrame, cols) -> dict[str, list[str]]:
     return out
 
 
+def fit_encoding(raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> tuple[dict, dict]:
+    """One pass for everything the staging and curated layers learn from the
+    data: one-hot levels (bounded by ``MAX_LEVELS``) and the z-score mean /
+    population std of the numeric columns (the values are unchanged by staging)."""
+    aggs = [F.slice(F.sort_array(F.collect_set(c)), 1, MAX_LEVELS + 1).alias(f"l_{c}") for c in spec.onehot]
+    for c in spec.numeric:
+        aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
+    row = raw.agg(*aggs).first()
+    levels = {}
+    for c in spec.onehot:
+        vals = list(row[f"l_{c}"] or [])
+        if len(vals) > MAX_LEVELS:
+            raise ValueError(f"{c}: more than {MAX_LEVELS} levels; not a one-hot column")
+        levels[c] = vals
+    stats = {c: (row[f"m_{c}"] if row[f"m_{c}"] is not None else 0.0,
+                 row[f"s_{c}"] if row[f"s_{c}"] not in (None, 0.0) else 1.0) for c in spec.numeric}
+    return levels, stats
+
+
+def curated_from_raw(raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
+    """raw -> staging -> curated with a single fitting pass."""
+    levels, stats = fit_encoding(raw, spec)
+    return curated_layer(staging_layer(raw, spec, levels), spec, stats)
+
+
 def staging_layer(raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC, levels: dict | None = None) -> DataFrame:
     """Binary and add-on encodings, one-hot with all levels, normalised names."""
     levels = levels or discover_levels(raw, spec.onehot)
@@ -66,8 +91,9 @@ def model_matrix(curated: DataFrame, spec: ChurnSpec = DEFAULT_SPEC, features=No
 
 
 def build_layers(raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> dict[str, DataFrame]:
-    staging = staging_layer(raw, spec)
-    return {"raw": raw, "staging": staging, "curated": curated_layer(staging, spec)}
+    levels, stats = fit_encoding(raw, spec)
+    staging = staging_layer(raw, spec, levels)
+    return {"raw": raw, "staging": staging, "curated": curated_layer(staging, spec, stats)}
 
 
 def write_layers(spark: SparkSession, layers: dict[str, DataFrame], out_dir: str,

@@ -18,7 +18,7 @@ from churnkit.spec import DEFAULT_SPEC
 
 
 def curated_features(spark: SparkSession, sf_dir: str, spec=DEFAULT_SPEC) -> tuple[DataFrame, list[str]]:
-    cur = etl.curated_layer(etl.staging_layer(adapters.raw_customers(spark, sf_dir), spec), spec)
+    cur = etl.curated_from_raw(adapters.raw_customers(spark, sf_dir), spec)
     mm = etl.model_matrix(cur, spec)
     return mm, [c for c in mm.columns if c not in (spec.key, spec.label)]
 

@@ -17,7 +17,7 @@ from churnkit.spec import DEFAULT_SPEC
 
 def model_table(spark: SparkSession, sf_dir: str, spec=DEFAULT_SPEC) -> tuple[DataFrame, list[str]]:
     """Finite-cleaned features (P9), 0/1 label, split and fold (M1/M2), persisted."""
-    cur = etl.curated_layer(etl.staging_layer(adapters.raw_customers(spark, sf_dir), spec), spec)
+    cur = etl.curated_from_raw(adapters.raw_customers(spark, sf_dir), spec)
     mm = etl.model_matrix(cur, spec)
     feats = [c for c in mm.columns if c not in (spec.key, spec.label)]
     s = split.stratified_split(mm, spec.label, spec.key)

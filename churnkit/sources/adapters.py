@@ -64,9 +64,12 @@ def addon_flags(spark: SparkSession, sf_dir: str, event_types=EVENT_TYPES) -> Da
     # one row per event type: bounded by the category count
     per_type = ev.groupBy("event_type").agg(F.avg("value").alias("type_mean"))
     flagged = per_user.join(F.broadcast(per_type), "event_type").withColumn(
-        "flag", F.when(F.col("user_mean") > F.col("type_mean"), "Yes").otherwise("No"))
-    wide = flagged.groupBy("user_id").pivot("event_type", list(event_types)).agg(F.first("flag"))
-    return wide.select("user_id", *[F.col(t).alias(f"addon_{t}") for t in event_types])
+        "above", F.when(F.col("user_mean") > F.col("type_mean"), 1).otherwise(0))
+    # conditional aggregates on ints keep this a hash aggregate (a string pivot sorts)
+    wide = flagged.groupBy("user_id").agg(
+        *[F.max(F.when(F.col("event_type") == t, F.col("above"))).alias(f"_a_{t}") for t in event_types])
+    return wide.select("user_id", *[F.when(F.col(f"_a_{t}") == 1, "Yes").when(F.col(f"_a_{t}") == 0, "No")
+                                    .alias(f"addon_{t}") for t in event_types])
 
 
 def customer_frame(spark: SparkSession, sf_dir: str, churn_days: int = CHURN_DAYS,
