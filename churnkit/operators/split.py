@@ -42,10 +42,10 @@ def _take(frac: float, n) -> F.Column:
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test: float = 0.2, val: float = 0.2, seed: int = 42,
-                     folds: int = 5) -> DataFrame:
+                     folds: int = 5, prefix_hex: int = 5) -> DataFrame:
     """M1 + M2: 'test' / 'val' / 'train' with exact per-class counts
     (floor(frac * n_class + 0.5)), and a round-robin CV fold on train rows."""
-    r = stratified_rank(df, label, key, seed)
+    r = stratified_rank(df, label, key, seed, prefix_hex)
     n_test = _take(test, F.col("class_n"))
     n_val = _take(val, F.col("class_n"))
     split = (F.when(F.col("class_rank") <= n_test, "test")
