@@ -117,3 +117,26 @@ def q_iso_pb(spark, d):
     """Point-biserial correlation of churn vs isolation score with its two-sided p-value."""
     s = segmentation.isolation_scores(spark, d)
     return r6(outliers.point_biserial_p(s, "churn", "iso_score"))
+
+
+def _rf_attribution(spark, d):
+    from churnkit.operators import attribution
+    data, feats = training.model_table(spark, d)
+    m = models.fit(data.where(F.col("split").isin("train", "val")), models.DEFAULT_MODELS[1], feats, "churn")
+    return attribution.path_attribution(data, m.stages[-1], feats, "customer_id"), feats
+
+
+@query("tree_attribution")
+def q_tree_attribution(spark, d):
+    """M26 (re-aimed): path attribution of the balanced random forest for every customer, top 15 by |value|."""
+    from churnkit.operators import attribution
+    attr, feats = _rf_attribution(spark, d)
+    return r6(attribution.top_contributions(attr, feats, "customer_id", 15))
+
+
+@query("tree_global_impact")
+def q_tree_global_impact(spark, d):
+    """Mean |path attribution| per feature over the whole table (no 500-row sample)."""
+    from churnkit.operators import attribution
+    attr, feats = _rf_attribution(spark, d)
+    return r6(attribution.global_impact(attr, feats))
