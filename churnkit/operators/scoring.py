@@ -37,6 +37,11 @@ class LinearScorer:
     def prob(self) -> Column:
         return F.round(sigmoid(self.logit()), self.digits)
 
+    def prob_with(self, subs: dict) -> Column:
+        """Probability with some feature columns replaced by other expressions."""
+        terms = [F.lit(float(self.intercept))] + [subs.get(f, F.col(f)) * F.lit(float(c)) for f, c in self.coefs.items()]
+        return F.round(sigmoid(reduce(lambda a, b: a + b, terms)), self.digits)
+
 
 # Three stated coefficient sets over the curated test features play
 # the reference's three models in the SQL-checkable evaluation queries; the
@@ -226,3 +231,33 @@ def whatif(scenarios: DataFrame, encode, stats: dict, scorer: LinearScorer, key:
     feats = apply_zscore(encode(scenarios), stats)
     return feats.select(key, scorer.prob().alias("p_churn"),
                         threshold_decision(scorer.prob(), scorer.threshold, "Churn", "Stay").alias("predicted"))
+
+
+def permutation_importance(df: DataFrame, scorer: LinearScorer, key: str, label: str, seed: int = 42) -> DataFrame:
+    """M27 (model-agnostic form): AUC drop when one feature's values are permuted.
+
+    The permutation sends the row at position i of the md5(key|seed) order the
+    feature values of the row at position i of the md5(key|seed+1) order —
+    exact, repeatable and computed with the bucketed global rank (no single
+    partition).  One join brings every permuted feature at once; all d + 1
+    score columns are evaluated in one aggregate per feature.
+    """
+    from churnkit.operators.evaluate import roc_auc
+    from churnkit.operators.split import stratified_rank
+
+    feats = list(scorer.coefs)
+    one = F.lit(0).alias("_c")
+    a = stratified_rank(df.select(key, label, *feats, one), "_c", key, seed, out="_r").drop("_c", "class_n")
+    b = stratified_rank(df.select(key, *feats, one), "_c", key, seed + 1, out="_r").select(
+        "_r", *[F.col(f).alias(f"_perm_{f}") for f in feats])
+    j = a.join(b, "_r")
+    scores = {"_base": scorer.prob()}
+    scores.update({f: scorer.prob_with({f: F.col(f"_perm_{f}")}) for f in feats})
+    wide = j.select(F.col(label).cast("int").alias("_y"), *[e.alias(n) for n, e in scores.items()])
+    long = wide.unpivot(["_y"], list(scores), "feature", "p")
+    from pyspark.sql.window import Window
+    auc = roc_auc(long, "p", "_y", ["feature"]).select("feature", "auc")
+    # d + 1 rows: the baseline AUC reaches every row through a window, no join
+    base = F.max(F.when(F.col("feature") == "_base", F.col("auc"))).over(Window.partitionBy())
+    out = auc.withColumn("_base_auc", base).where(F.col("feature") != "_base")
+    return out.select("feature", "auc", (F.col("_base_auc") - F.col("auc")).alias("importance"))

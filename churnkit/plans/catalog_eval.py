@@ -423,3 +423,30 @@ def q_whatif(spark, d):
     scen = r.where(F.col("segment") == "AUTOMOBILE").withColumns(
         {"segment": F.lit("BUILDING"), "tenure": F.col("tenure") + 12})
     return scoring.whatif(scen, lambda x: etl.staging_layer(x, levels=levels), stats, LR, "customer_id")
+
+
+def _perm_sql():
+    feats = list(LR.coefs)
+    md5 = "md5(concat_ws('|', CAST(customer_id AS VARCHAR), '{}'))"
+    ra = (", ra AS (SELECT customer_id, CAST(churn AS INTEGER) AS y, " + ", ".join(feats)
+          + f", row_number() OVER (ORDER BY {md5.format(42)}, customer_id) AS r FROM curated)")
+    rb = (f", rb AS (SELECT row_number() OVER (ORDER BY {md5.format(43)}, customer_id) AS r, "
+          + ", ".join(f"{f} AS perm_{f}" for f in feats) + " FROM curated)")
+    j = ", j AS (SELECT * FROM ra JOIN rb ON ra.r = rb.r)"
+    long = ", long AS (SELECT '_base' AS feature, y, " + sql_prob(LR) + " AS p FROM j" + "".join(
+        f" UNION ALL SELECT '{f}', y, {sql_prob(LR, {f: f'perm_{f}'})} FROM j" for f in feats) + ")"
+    auc = (", sc AS (SELECT feature, p, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos,"
+           " sum(CASE WHEN y = 1 THEN 0 ELSE 1 END) AS neg FROM long WHERE p IS NOT NULL GROUP BY feature, p),"
+           " sc2 AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY feature ORDER BY p ROWS BETWEEN UNBOUNDED"
+           " PRECEDING AND 1 PRECEDING), 0) AS neg_below FROM sc),"
+           " auc AS (SELECT feature, sum(pos * (neg_below + neg * 0.5)) / (sum(pos) * sum(neg)) AS auc FROM sc2"
+           " GROUP BY feature)")
+    return with_curated(ra + rb + j + long + auc +
+                        " SELECT feature, round(auc, 6) AS auc, round((SELECT auc FROM auc WHERE feature = '_base')"
+                        " - auc, 6) AS importance FROM auc WHERE feature <> '_base'")
+
+
+@query("permutation_importance", _perm_sql())
+def q_permutation_importance(spark, d):
+    """M27 (model-agnostic): AUC drop per permuted feature on the whole table, md5-defined permutation."""
+    return r6(scoring.permutation_importance(curated(spark, d), LR, "customer_id", "churn"))
