@@ -140,3 +140,19 @@ def q_tree_global_impact(spark, d):
     from churnkit.operators import attribution
     attr, feats = _rf_attribution(spark, d)
     return r6(attribution.global_impact(attr, feats))
+
+
+@query("density_clusters")
+def q_density_clusters(spark, d):
+    """C6 (re-aimed): grid density clusters with noise -1, minimum cluster size 50, in PCA space."""
+    return r6(segmentation.density_clusters(spark, d).select("customer_id", "PCA1", "PCA2", "Cluster_Density"))
+
+
+@query("density_cluster_summary")
+def q_density_summary(spark, d):
+    """C6 + F6 + A21/A22 + D1: clusters counted without noise, churn-rate variance across them."""
+    cl = segmentation.density_clusters(spark, d).persist()
+    prof = segments.cluster_profile(cl, "Cluster_Density", ["PCA1", "PCA2"], "churn", noise=-1)
+    noise = cl.agg(F.count(F.when(F.col("Cluster_Density") == -1, 1)).alias("n_noise"))
+    return r6(segments.churn_variance(prof).withColumn("_k", F.lit(1))
+              .join(noise.withColumn("_k", F.lit(1)), "_k").drop("_k"))

@@ -58,3 +58,16 @@ def isolation_scores(spark: SparkSession, sf_dir: str, contamination: float = 0.
     scored = mm.select("customer_id", "churn").join(iso, "customer_id")
     cut = outliers.contamination_cut(scored, "iso_score", contamination)
     return outliers.flag_outliers(scored, "iso_score", cut, "IsoForest_Anomaly_Score", "outlier")
+
+
+def density_clusters(spark: SparkSession, sf_dir: str, min_points: int = 5, min_cluster_size: int = 50,
+                     cell_fraction: float = 0.25) -> DataFrame:
+    """C6 (re-aimed): grid density clusters in the PCA1/PCA2 plane; cell side =
+    ``cell_fraction`` x the mean standard deviation of the two coordinates."""
+    from churnkit.operators.density import grid_density_clusters
+    proj, _, _ = pca_frame(spark, sf_dir)
+    s = proj.agg(F.stddev_samp("PCA1").alias("a"), F.stddev_samp("PCA2").alias("b")).first()
+    cell = cell_fraction * ((s["a"] or 1.0) + (s["b"] or 1.0)) / 2.0
+    cl = grid_density_clusters(proj, "customer_id", ["PCA1", "PCA2"], cell, min_points, min_cluster_size,
+                               "Cluster_Density")
+    return cl.join(proj.select("customer_id", "churn"), "customer_id")
