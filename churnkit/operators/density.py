@@ -45,6 +45,9 @@ def grid_density_clusters(df: DataFrame, key: str, dims: Sequence[str], cell: fl
     nb = dense.select("_cid", *g, F.explode(off_arr).alias("_o")).select(
         "_cid", *[(F.col(g[i]) + F.col("_o")[i]).alias(g[i]) for i in range(nd)])
     edges = nb.join(dense.select(F.col("_cid").alias("_nid"), *g), g).select("_cid", "_nid")
+    # the loop below re-reads both many times: cut their lineage once (shared checkpoint folder)
+    dense = dense.checkpoint()
+    edges = edges.checkpoint()
     # order cells so component labels are deterministic: label = smallest cell tuple index
     order = dense.select("_cid", F.struct(*g).alias("_cell"))
     labels = order.select("_cid", F.col("_cell").alias("_lab"))

@@ -450,3 +450,17 @@ def _perm_sql():
 def q_permutation_importance(spark, d):
     """M27 (model-agnostic): AUC drop per permuted feature on the whole table, md5-defined permutation."""
     return r6(scoring.permutation_importance(curated(spark, d), LR, "customer_id", "churn"))
+
+
+@query("onehot_filtered_rates", with_curated(
+    " SELECT count(*) AS n, round(avg(CAST(churn AS DOUBLE)) * 100, 6) AS churn_rate,"
+    " round(avg(tenure), 6) AS avg_tenure FROM curated"
+    " WHERE (segment_AUTOMOBILE = 1 OR segment_MACHINERY = 1) AND (region_ASIA = 1 OR region_EUROPE = 1)"))
+def q_onehot_filtered(spark, d):
+    """filters on one-hot columns — OR inside a dimension, AND across; the unknown
+    level and the absent dimension are skipped."""
+    from churnkit.operators.filters import onehot_filter
+    cur = onehot_filter(curated(spark, d), {"segment": ["AUTOMOBILE", "MACHINERY", "NO_SUCH_LEVEL"],
+                                            "region": ["ASIA", "EUROPE"], "contract": ["Two year"]})
+    return r6(cur.agg(F.count(F.lit(1)).alias("n"), (F.avg(F.col("churn").cast("double")) * 100.0).alias("churn_rate"),
+                      F.avg("tenure").alias("avg_tenure")))

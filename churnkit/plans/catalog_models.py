@@ -154,5 +154,8 @@ def q_density_summary(spark, d):
     cl = segmentation.density_clusters(spark, d).persist()
     prof = segments.cluster_profile(cl, "Cluster_Density", ["PCA1", "PCA2"], "churn", noise=-1)
     noise = cl.agg(F.count(F.when(F.col("Cluster_Density") == -1, 1)).alias("n_noise"))
+    vec = cl.withColumn("vec", F.array("PCA1", "PCA2"))
+    sil = segments.silhouette_score(vec, "vec", "Cluster_Density", noise=-1)  # C9: NULL when < 2 clusters
     return r6(segments.churn_variance(prof).withColumn("_k", F.lit(1))
-              .join(noise.withColumn("_k", F.lit(1)), "_k").drop("_k"))
+              .join(noise.withColumn("_k", F.lit(1)), "_k").drop("_k")
+              .withColumn("silhouette_without_noise", F.lit(sil).cast("double")))
