@@ -84,17 +84,20 @@ def consensus(scored: DataFrame, thresholds: dict) -> DataFrame:
 
 def risk_table(scored: DataFrame, p_col: str, t: float, key: str = "customer_id",
                actual: str = "churn_actual", cohort: DataFrame | None = None,
-               agreement: DataFrame | None = None) -> DataFrame:
+               agreement: DataFrame | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Rank (ties share the minimum), probability %, distance to the
     threshold (pp), predicted and actual label, outcome, optional consensus
-    columns (J3: joined on the key) and optional drill-through cohort (F7)."""
-    base = scored.select(key, actual, p_col)
+    columns and optional drill-through cohort (F7).
+
+    Consensus columns already on ``scored`` are passed through (``carry``);
+    an ``agreement`` table from elsewhere is joined on the key (J3)."""
+    base = scored.select(key, actual, p_col, *carry)
     ranked = min_rank_desc(base, p_col, "risk_rank")
     out = ranked.select(
         key, "risk_rank", (F.col(p_col) * 100.0).alias("p_pct"), distance_pp(p_col, t).alias("distance_pp"),
         threshold_decision(p_col, t, "Churn", "Stay").alias("predicted"),
         F.when(F.col(actual) == 1, "Churn").when(F.col(actual) == 0, "Stay").alias("actual"),
-        outcome_label(threshold_decision(p_col, t), F.col(actual)).alias("outcome"))
+        outcome_label(threshold_decision(p_col, t), F.col(actual)).alias("outcome"), *carry)
     if agreement is not None:
         out = out.join(agreement.select(key, "churn_pred_count", "consensus_label"), key, "left")
     if cohort is not None:

@@ -172,8 +172,8 @@ RISK_SELECT = (
 @query("risk_ranking", with_scored(VOTES_SQL + " " + RISK_SELECT))
 def q_risk(spark, d):
     """Ranked prediction table with min-rank ties (W1), P15-P17 and consensus."""
-    sc = scored(spark, d)
-    return r6(scoring.risk_table(sc, "p_lr", LR.threshold, agreement=scoring.consensus(sc, THRESHOLDS)))
+    sc = scoring.consensus(scored(spark, d), THRESHOLDS)
+    return r6(scoring.risk_table(sc, "p_lr", LR.threshold, carry=("churn_pred_count", "consensus_label")))
 
 
 @query("risk_ranking_cohort", with_scored(
@@ -182,10 +182,10 @@ def q_risk(spark, d):
     " AND region = 'ASIA')"))
 def q_risk_cohort(spark, d):
     """M22 + F7/J4: ranks over everyone, shown for a drill-through cohort (semi-join)."""
-    sc = scored(spark, d)
+    sc = scoring.consensus(scored(spark, d), THRESHOLDS)
     cohort = raw(spark, d).where((F.col("segment") == "AUTOMOBILE") & (F.col("region") == "ASIA"))
     return r6(scoring.risk_table(sc, "p_lr", LR.threshold, cohort=cohort,
-                                 agreement=scoring.consensus(sc, THRESHOLDS)))
+                                 carry=("churn_pred_count", "consensus_label")))
 
 
 @query("intervention_list", with_scored(

@@ -71,9 +71,9 @@ def customer_clusters(spark, d):
     per (churn, dependents) group (cluster) and per region (region_cluster)."""
     from churnkit.plans import etl
     r = adapters.raw_customers(spark, d)
-    cur = etl.curated_from_raw(r)
-    # the region label rides along from the raw row (same key, one table)
-    vec = cur.join(r.select("customer_id", "region"), "customer_id").withColumn("vec", segments.as_array(NUM))
+    # the region label rides along from the raw row (no join back on the key)
+    cur = etl.curated_from_raw(r, passthrough=("region",)).withColumnRenamed("raw_region", "region")
+    vec = cur.withColumn("vec", segments.as_array(NUM))
     g1 = segments.group_centroids(vec.withColumn("_g", F.struct("churn", "dependents")), "vec", "_g")
     c1 = [(i, v) for i, (_, v) in enumerate(g1)]
     g2 = segments.group_centroids(vec.where(F.col("region").isNotNull()), "vec", "region")

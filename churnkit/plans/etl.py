@@ -52,16 +52,18 @@ def fit_encoding(raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> tuple[dict,
     return levels, stats
 
 
-def curated_from_raw(raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
-    """raw -> staging -> curated with a single fitting pass."""
+def curated_from_raw(raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC, passthrough=()) -> DataFrame:
+    """raw -> staging -> curated with a single fitting pass; ``passthrough`` raw
+    columns ride along unchanged (no join back on the key)."""
     levels, stats = fit_encoding(raw, spec)
-    return curated_layer(staging_layer(raw, spec, levels), spec, stats)
+    return curated_layer(staging_layer(raw, spec, levels, passthrough), spec, stats)
 
 
-def staging_layer(raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC, levels: dict | None = None) -> DataFrame:
+def staging_layer(raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC, levels: dict | None = None,
+                  passthrough=()) -> DataFrame:
     """Binary and add-on encodings, one-hot with all levels, normalised names."""
     levels = levels or discover_levels(raw, spec.onehot)
-    cols = [F.col(spec.key)]
+    cols = [F.col(spec.key)] + [F.col(c).alias(f"raw_{c}") for c in passthrough]
     cols += [binary_encode(c).alias(c) for c in spec.binary]
     cols += [F.col(c).cast("int").alias(c) for c in spec.flags]
     cols += [F.col(c) for c in spec.numeric]
