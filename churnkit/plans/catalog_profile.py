@@ -174,3 +174,41 @@ def q_feature_means(spark, d):
     """Global mean of every curated feature."""
     cur = etl.curated_from_raw(raw(spark, d))
     return r6(profile.feature_means(cur, CURATED_FEATURES))
+
+
+# ------------------------------------------------------------------ the same operators on a second labelled table
+
+@query("doc_quality_rate_by_lang",
+       "SELECT d.lang, round(100 * avg(CASE WHEN l.quality = 1 THEN 1 ELSE 0 END), 6) AS quality_rate,"
+       " count(*) AS doc_count FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE d.lang IS NOT NULL"
+       " GROUP BY d.lang")
+def q_doc_quality(spark, d):
+    """A9 on documents x labels: positive-label rate by language (label and positive value as parameters)."""
+    from churnkit.operators import olap
+    docs = adapters.labelled_documents(spark, d)
+    return r6(olap.churn_rate_by(docs, "lang", "quality", 1, "quality_rate", "doc_count"))
+
+
+@query("doc_length_stats_by_label",
+       "SELECT 'n_chars' AS feature, l.quality, round(round(avg(n_chars), 2), 6) AS mean,"
+       " round(round(median(n_chars), 2), 6) AS median, round(round(stddev_samp(n_chars), 2), 6) AS std,"
+       " round(round(CAST(min(n_chars) AS DOUBLE), 2), 6) AS min, round(round(CAST(max(n_chars) AS DOUBLE), 2), 6) AS max"
+       " FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE n_chars IS NOT NULL AND l.quality IS NOT NULL"
+       " GROUP BY l.quality")
+def q_doc_stats(spark, d):
+    """A16 on documents x labels: document length by quality label."""
+    return r6(profile.stats_by_label(adapters.labelled_documents(spark, d), ["n_chars"], "quality"))
+
+
+@query("doc_toxic_series",
+       "WITH j AS (SELECT d.lang, d.source, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id),"
+       " long AS (SELECT 'lang' AS dimension, lang AS value, toxic FROM j UNION ALL"
+       " SELECT 'source', source, toxic FROM j)"
+       " SELECT dimension, value, round(100 * avg(CASE WHEN toxic = 1 THEN 1 ELSE 0 END), 6) AS churn_rate,"
+       " count(*) AS customer_count FROM long WHERE value IS NOT NULL GROUP BY dimension, value"
+       " UNION ALL SELECT 'all', 'all', round(100 * avg(CASE WHEN toxic = 1 THEN 1 ELSE 0 END), 6), count(*) FROM j")
+def q_doc_toxic(spark, d):
+    """A11 grouping sets on documents x labels: toxic-label rate by language and source in one scan."""
+    from churnkit.operators import olap
+    docs = adapters.labelled_documents(spark, d)
+    return r6(olap.multi_dim_rates(docs, ["lang", "source"], "toxic", 1))
