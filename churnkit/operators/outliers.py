@@ -34,8 +34,10 @@ def centroid_distance(cols: Sequence[str]) -> Column:
 def contamination_cut(df: DataFrame, score: str, contamination: float = 0.03, exact: bool = True) -> float:
     """O3: the (1 - contamination) quantile of the score (one scalar)."""
     q = 1.0 - contamination
-    agg = F.percentile(score, q) if exact else F.percentile_approx(score, q, 100000)
-    return df.agg(agg).first()[0]
+    if exact:
+        from churnkit.operators.quantiles import exact_quantiles
+        return exact_quantiles(df, score, [q]).first()["quantile"]
+    return df.agg(F.percentile_approx(score, q, 100000)).first()[0]
 
 
 def flag_outliers(df: DataFrame, score: str, cut: float, out_score: str = "anomaly_score",
@@ -148,7 +150,10 @@ def anomaly_kpis(df: DataFrame, flag: Column, label: str, positive=1) -> DataFra
 def quadrants(df: DataFrame, x: str, y: str) -> DataFrame:
     """Medians of both axes (one aggregate, two scalars) and the count of
     rows in each quadrant (>= median is 'high')."""
-    med = df.agg(F.median(x).alias("mx"), F.median(y).alias("my")).first()
+    from churnkit.operators.quantiles import exact_quantiles
+    both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    med = {"mx": exact_quantiles(both, x, [0.5]).first()["quantile"],
+           "my": exact_quantiles(both, y, [0.5]).first()["quantile"]}
     hx = F.when(F.col(x) >= F.lit(med["mx"]), "high").otherwise("low")
     hy = F.when(F.col(y) >= F.lit(med["my"]), "high").otherwise("low")
     return (df.where(F.col(x).isNotNull() & F.col(y).isNotNull())

@@ -4,11 +4,10 @@ Wide single-pass aggregates wherever possible: one scan computes the
 statistics of every column, and the one-row result is reshaped to long form
 inside Spark (``inline`` of an array of structs), never on the driver.
 
-Quantiles: ``exact=True`` uses ``percentile`` (linear interpolation, the
-pandas/DuckDB definition); its buffer holds the distinct values of a group,
-so it is meant for low-cardinality or moderately sized columns.
-``exact=False`` switches to ``percentile_approx`` whose sketch is bounded
-regardless of the data size.
+Quantiles: ``exact=True`` uses ``churnkit.operators.quantiles`` (exact,
+linear interpolation as in pandas/DuckDB, bounded per-task state: sketch
+bracket + (value, count) pairs); ``exact=False`` returns the sketch
+(``percentile_approx``) alone.
 """
 
 from __future__ import annotations
@@ -19,11 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from churnkit.operators.quantiles import exact_quantiles
 
-def _q(c, p, exact: bool, accuracy: int = 10000) -> Column:
+
+def _q(c, p, exact: bool = False, accuracy: int = 10000) -> Column:
+    """Sketch quantile (bounded memory); exact quantiles go through ``exact_quantiles``."""
     col = F.col(c) if isinstance(c, str) else c
-    if exact:
-        return F.percentile(col, p) if not isinstance(p, (list, tuple)) else F.percentile(col, F.array(*[F.lit(x) for x in p]))
     return F.percentile_approx(col, list(p) if isinstance(p, (list, tuple)) else p, accuracy)
 
 
@@ -67,12 +67,19 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFram
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.count(c).alias(f"c{i}"), F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"),
-                 F.min(c).cast("double").alias(f"lo{i}"), _q(c, [0.25, 0.5, 0.75], exact).alias(f"q{i}"),
-                 F.max(c).cast("double").alias(f"hi{i}")]
+                 F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}")]
+        if not exact:
+            aggs.append(_q(c, [0.25, 0.5, 0.75], False).alias(f"q{i}"))
     one = df.agg(*aggs)
+    quart = {}
+    for i, c in enumerate(cols):
+        if exact:
+            qs = {r["prob"]: r["quantile"] for r in exact_quantiles(df, c, [0.25, 0.5, 0.75]).collect()}
+            quart[c] = [F.lit(qs.get(p)).cast("double") for p in (0.25, 0.5, 0.75)]
+        else:
+            quart[c] = [F.col(f"q{i}")[j].cast("double") for j in range(3)]
     items = [(c, {"count": F.col(f"c{i}"), "mean": F.col(f"m{i}"), "std": F.col(f"s{i}"), "min": F.col(f"lo{i}"),
-                  "p25": F.col(f"q{i}")[0].cast("double"), "p50": F.col(f"q{i}")[1].cast("double"),
-                  "p75": F.col(f"q{i}")[2].cast("double"), "max": F.col(f"hi{i}")})
+                  "p25": quart[c][0], "p50": quart[c][1], "p75": quart[c][2], "max": F.col(f"hi{i}")})
              for i, c in enumerate(cols)]
     return _long(one, items, "column_name")
 
@@ -134,13 +141,18 @@ def stats_by_label(df: DataFrame, features: Sequence[str], label: str, exact: bo
     long = df.select(label, *[F.col(c).cast("double").alias(c) for c in features]).unpivot(
         [label], list(features), "feature", "value")
     long = long.where(F.col("value").isNotNull() & F.col(label).isNotNull())
-    return long.groupBy("feature", label).agg(
+    agg = long.groupBy("feature", label).agg(
         F.round(F.avg("value"), digits).alias("mean"),
-        F.round(_q("value", 0.5, exact), digits).alias("median"),
+        *([] if exact else [F.round(_q("value", 0.5, False), digits).alias("median")]),
         F.round(F.stddev_samp("value"), digits).alias("std"),
         F.round(F.min("value"), digits).alias("min"),
         F.round(F.max("value"), digits).alias("max"),
     )
+    if not exact:
+        return agg
+    med = exact_quantiles(long, "value", [0.5], ["feature", label]).select(
+        "feature", label, F.round("quantile", digits).alias("median"))
+    return agg.join(F.broadcast(med), ["feature", label])  # features x labels rows
 
 
 def histogram(df: DataFrame, features: Sequence[str], label: str | None = None, bins: int = 30) -> DataFrame:
@@ -176,8 +188,15 @@ def box_stats(df: DataFrame, feature: str, label: str, exact: bool = True, whisk
     """
     base = df.select(label, F.col(feature).cast("double").alias("x")).where(
         F.col("x").isNotNull() & F.col(label).isNotNull())
-    q = base.groupBy(label).agg(_q("x", [0.25, 0.5, 0.75], exact).alias("q"), F.avg("x").alias("mean"))
-    q = q.select(label, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "mean")
+    if exact:
+        ql = exact_quantiles(base, "x", [0.25, 0.5, 0.75], [label])
+        q = ql.groupBy(label).agg(*[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n)
+                                    for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+        q = q.join(base.groupBy(label).agg(F.avg("x").alias("mean")), label)
+    else:
+        q = base.groupBy(label).agg(_q("x", [0.25, 0.5, 0.75], False).alias("q"), F.avg("x").alias("mean"))
+        q = q.select(label, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"),
+                     "mean")
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_f = F.col("q1") - whisker * F.col("iqr")
     hi_f = F.col("q3") + whisker * F.col("iqr")
@@ -200,11 +219,9 @@ def quantile_grid(df: DataFrame, score: str, label: str, probs=None, method: str
     """
     probs = probs or [round(0.05 * i, 2) for i in range(1, 20)]
     g = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(label)
-    if method == "disc":
-        g = g.agg(*[F.expr(f"percentile_disc({float(p)}) WITHIN GROUP (ORDER BY `{score}`)").alias(f"_q{i}")
-                    for i, p in enumerate(probs)])
-        structs = [F.struct(F.lit(float(p)).alias("prob"), F.col(f"_q{i}").cast("double").alias("quantile"))
-                   for i, p in enumerate(probs)]
+    if method in ("disc", "linear"):
+        base = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+        return exact_quantiles(base, score, probs, [label], method=method)
     else:
         g = g.agg(_q(score, probs, method == "linear").alias("q"))
         structs = [F.struct(F.lit(float(p)).alias("prob"), F.col("q")[i].cast("double").alias("quantile"))
