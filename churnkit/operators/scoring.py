@@ -202,27 +202,38 @@ def policy_impact(df: DataFrame, scorer: LinearScorer, policies: Sequence[Policy
 
     ``top_n`` restricts the rewrite to the n highest base-risk customers —
     over all customers (reference meaning) or, with ``scope='matching'``,
-    over those the policy applies to.  The top-n set is a key table joined
-    back (W2 + semi-join), never a driver-side list.
+    over those the policy applies to.  The top-n set is a key table of at most
+    n rows joined back (W2 + broadcast), never a driver-side list.  All
+    policies are re-scored in one projection and summarised in one aggregate.
     """
     t = scorer.threshold
     base = df.withColumn("_p_base", scorer.prob())
-    outs = []
-    for pol in policies:
-        d = base
-        sc = None
+    chosen_all = None
+    news = {}
+    for k, pol in enumerate(policies):
+        mask = policy_mask(pol)
         if top_n:
-            pool = d.where(policy_mask(pol)) if scope == "matching" else d
-            chosen = top_k(pool.select(key, "_p_base"), "_p_base", key, top_n).select(key).withColumn("_in", F.lit(1))
-            d = d.join(F.broadcast(chosen), key, "left")  # at most top_n rows
-            sc = F.col("_in") == 1
-        d = apply_policy(d, pol, sc).withColumn("_p_new", scorer.prob())
-        outs.append(d.agg(
-            F.lit(pol.name).alias("policy"),
-            F.avg(F.when(F.col("_p_base") >= t, 1.0).otherwise(0.0)).alias("base_rate"),
-            F.avg(F.when(F.col("_p_new") >= t, 1.0).otherwise(0.0)).alias("scenario_rate"),
-            F.count(F.when(F.col("_p_base") != F.col("_p_new"), 1)).alias("rows_affected")))
-    out = reduce(DataFrame.unionByName, outs)
+            if scope == "matching" or chosen_all is None:
+                pool = base.where(mask) if scope == "matching" else base
+                chosen = top_k(pool.select(key, "_p_base"), "_p_base", key, top_n).select(
+                    key, F.lit(1).alias(f"_in{k}"))
+                base = base.join(F.broadcast(chosen), key, "left")  # at most top_n rows
+                chosen_all = f"_in{k}"
+            in_col = f"_in{k}" if scope == "matching" else chosen_all
+            mask = mask & (F.col(in_col) == 1)
+        subs = {c: F.when(mask, F.lit(0)).otherwise(F.col(c)) for c in pol.set_zero}
+        subs.update({c: F.when(mask, F.lit(1)).otherwise(F.col(c)) for c in pol.set_one})
+        news[pol.name] = scorer.prob_with(subs)
+    scored = base.select("_p_base", *[e.alias(f"_p_{i}") for i, e in enumerate(news.values())])
+    flag = lambda c: F.when(F.col(c) >= t, 1.0).otherwise(0.0)
+    one = scored.agg(F.avg(flag("_p_base")).alias("_base"),
+                     *[F.avg(flag(f"_p_{i}")).alias(f"_s{i}") for i in range(len(news))],
+                     *[F.count(F.when(F.col("_p_base") != F.col(f"_p_{i}"), 1)).alias(f"_a{i}")
+                       for i in range(len(news))])
+    rows = [F.struct(F.lit(name).alias("policy"), F.col("_base").alias("base_rate"),
+                     F.col(f"_s{i}").alias("scenario_rate"), F.col(f"_a{i}").alias("rows_affected"))
+            for i, name in enumerate(news)]
+    out = one.select(F.inline(F.array(*rows)))
     return out.withColumn("delta_pp", (F.col("scenario_rate") - F.col("base_rate")) * 100.0)
 
 
