@@ -152,8 +152,9 @@ def quadrants(df: DataFrame, x: str, y: str) -> DataFrame:
     rows in each quadrant (>= median is 'high')."""
     from churnkit.operators.quantiles import exact_quantiles
     both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    med = {"mx": exact_quantiles(both, x, [0.5]).first()["quantile"],
-           "my": exact_quantiles(both, y, [0.5]).first()["quantile"]}
+    long = both.select(F.col(x).cast("double").alias("mx"), F.col(y).cast("double").alias("my")).unpivot(
+        [], ["mx", "my"], "_axis", "_v")
+    med = {r["_axis"]: r["quantile"] for r in exact_quantiles(long, "_v", [0.5], ["_axis"]).collect()}
     hx = F.when(F.col(x) >= F.lit(med["mx"]), "high").otherwise("low")
     hy = F.when(F.col(y) >= F.lit(med["my"]), "high").otherwise("low")
     return (df.where(F.col(x).isNotNull() & F.col(y).isNotNull())

@@ -72,10 +72,14 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFram
             aggs.append(_q(c, [0.25, 0.5, 0.75], False).alias(f"q{i}"))
     one = df.agg(*aggs)
     quart = {}
+    if exact:
+        # all columns in one set of passes: long form grouped by column name
+        long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "_col", "_v")
+        qs = {(r["_col"], r["prob"]): r["quantile"]
+              for r in exact_quantiles(long, "_v", [0.25, 0.5, 0.75], ["_col"]).collect()}
     for i, c in enumerate(cols):
         if exact:
-            qs = {r["prob"]: r["quantile"] for r in exact_quantiles(df, c, [0.25, 0.5, 0.75]).collect()}
-            quart[c] = [F.lit(qs.get(p)).cast("double") for p in (0.25, 0.5, 0.75)]
+            quart[c] = [F.lit(qs.get((c, p))).cast("double") for p in (0.25, 0.5, 0.75)]
         else:
             quart[c] = [F.col(f"q{i}")[j].cast("double") for j in range(3)]
     items = [(c, {"count": F.col(f"c{i}"), "mean": F.col(f"m{i}"), "std": F.col(f"s{i}"), "min": F.col(f"lo{i}"),
