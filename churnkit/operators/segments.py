@@ -53,14 +53,12 @@ def assign_nearest(df: DataFrame, vec: str, centres: list[tuple], out: str = "cl
                    dist_out: str | None = "distance") -> DataFrame:
     """C2 assignment step: nearest centre by squared Euclidean distance (ties ->
     lowest centre id).  Centres are k x d literals — no join."""
-    ids = [c[0] for c in centres]
     d2 = F.array(*[F.struct(sq_dist(F.col(vec), _lit_vec(v)).alias("d"), F.lit(cid).alias("id"))
                    for cid, v in centres])
     best = F.array_min(d2)  # struct ordering: distance first, then id
     cols = {out: best["id"]}
     if dist_out:
         cols[dist_out] = F.sqrt(best["d"])
-    del ids
     return df.withColumns(cols)
 
 
@@ -152,7 +150,6 @@ def cluster_kpis(profile: DataFrame, cluster: str, rate: str = "churn_rate") ->
 def radar(df: DataFrame, cluster: str, features: Sequence[str]) -> DataFrame:
     """Per-cluster and whole-table means of each feature, min-max normalised
     against the column's range (zero range -> 1e-9), long form."""
-    from churnkit.operators.profile import _long
     rng = df.agg(*[F.min(c).cast("double").alias(f"lo{i}") for i, c in enumerate(features)],
                  *[F.max(c).cast("double").alias(f"hi{i}") for i, c in enumerate(features)],
                  *[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)]).first()
@@ -165,7 +162,6 @@ def radar(df: DataFrame, cluster: str, features: Sequence[str]) -> DataFrame:
         structs.append(F.struct(F.lit(c).alias("feature"), F.lit("dataset").alias("scope"),
                                 F.lit(rng[f"m{i}"]).alias("mean"),
                                 minmax_normalise(F.lit(rng[f"m{i}"]), lo, hi).alias("normalised")))
-    del _long
     return per.select(cluster, F.inline(F.array(*structs)))
 
 
