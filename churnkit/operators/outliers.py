@@ -195,6 +195,8 @@ def isolation_forest(df: DataFrame, key: str, features: Sequence[str], n_trees:
     import numpy as np
     import pandas as pd
 
+    from churnkit.session import ship_package
+    ship_package(df.sparkSession)
     feats = list(features)
     n = df.count()
     m = min(max_samples, n)
