@@ -80,10 +80,12 @@ def predict_proba(model: PipelineModel, df: DataFrame, keep: Sequence[str], out:
 def oof_predictions(train: DataFrame, spec: ModelSpec, features: Sequence[str], label: str, key: str,
                     fold_col: str = "fold", folds: int = 5) -> DataFrame:
     """M9: out-of-fold probabilities — fit on fold != i, score fold i, union."""
-    parts = []
-    for i in range(folds):
+    from churnkit.operators.segments import parallel_map
+
+    def one(i):
         m = fit(train.where(F.col(fold_col) != i), spec, features, label)
-        parts.append(predict_proba(m, train.where(F.col(fold_col) == i), [key, label]))
+        return predict_proba(m, train.where(F.col(fold_col) == i), [key, label])
+    parts = parallel_map(one, list(range(folds)))  # fold fits as concurrent jobs
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -133,9 +135,10 @@ def train_all(data: DataFrame, features: Sequence[str], label: str, key: str,
     train_val = data.where(F.col("split").isin("train", "val"))
     out = {}
     for spec in specs:
+        from churnkit.operators.segments import parallel_map
         metrics = cv_metrics(oof_predictions(train, spec, features, label, key), label) if cv else {}
-        t = tune_threshold(fit(train, spec, features, label), val, label, key)
-        final = fit(train_val, spec, features, label)
+        tune_model, final = parallel_map(lambda d: fit(d, spec, features, label), [train, train_val])
+        t = tune_threshold(tune_model, val, label, key)
         p_test = predict_proba(final, test, [key, label])
         k = evaluate.threshold_kpis(p_test, "p", label, t).first()
         metrics.update({"test_recall": k["recall"], "test_precision": k["precision"], "test_f2": k["f2"],

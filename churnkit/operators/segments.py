@@ -211,15 +211,27 @@ def kmeans_best(df: DataFrame, features: str, k: int, seeds: Sequence[int] = tup
     """Spark's KMeans has no n_init; fit one model per seed and keep the
     lowest training cost (10 inits like the reference)."""
     from pyspark.ml.clustering import KMeans
-    best = None
-    for s in seeds:
+
+    def one(s):
         m = KMeans(k=k, seed=s, featuresCol=features, maxIter=max_iter).fit(df)
-        cost = m.summary.trainingCost
+        return m, m.summary.trainingCost
+    fits = parallel_map(one, list(seeds))  # independent fits as concurrent Spark jobs
+    best = None
+    for m, cost in fits:  # seed order: the first lowest cost wins
         if best is None or cost < best[1]:
             best = (m, cost)
     return best[0]
 
 
+def parallel_map(fn, items, workers: int = 4):
+    """Run independent Spark jobs from a few driver threads (order preserved)."""
+    from concurrent.futures import ThreadPoolExecutor
+    if len(items) <= 1:
+        return [fn(i) for i in items]
+    with ThreadPoolExecutor(max_workers=min(workers, len(items))) as ex:
+        return list(ex.map(fn, items))
+
+
 def gmm_fit(df: DataFrame, features: str, k: int, seed: int = 42):
     """Gaussian mixture with full covariance."""
     from pyspark.ml.clustering import GaussianMixture
@@ -232,10 +244,10 @@ def choose_k(df: DataFrame, features: str, method: str = "kmeans", ks=range(2, 1
     from pyspark.ml.evaluation import ClusteringEvaluator
     ev = ClusteringEvaluator(featuresCol=features, predictionCol="prediction", metricName="silhouette",
                              distanceMeasure="squaredEuclidean")
-    rows = []
-    for k in ks:
+    def one(k):
         m = kmeans_best(df, features, k, seeds) if method == "kmeans" else gmm_fit(df, features, k, seeds[0])
         pred = m.transform(df)
         n_used = pred.select("prediction").distinct().count()
-        rows.append((method, int(k), float(ev.evaluate(pred)) if n_used > 1 else None))
+        return (method, int(k), float(ev.evaluate(pred)) if n_used > 1 else None)
+    rows = [one(k) for k in ks] if method == "kmeans" else parallel_map(one, list(ks))
     return df.sparkSession.createDataFrame(rows, "method string, k int, silhouette double")
