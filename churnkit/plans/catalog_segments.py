@@ -74,10 +74,16 @@ def customer_clusters(spark, d):
     # the region label rides along from the raw row (no join back on the key)
     cur = etl.curated_from_raw(r, passthrough=("region",)).withColumnRenamed("raw_region", "region")
     vec = cur.withColumn("vec", segments.as_array(NUM))
-    g1 = segments.group_centroids(vec.withColumn("_g", F.struct("churn", "dependents")), "vec", "_g")
-    c1 = [(i, v) for i, (_, v) in enumerate(g1)]
-    g2 = segments.group_centroids(vec.where(F.col("region").isNotNull()), "vec", "region")
-    c2 = [(i, v) for i, (_, v) in enumerate(g2)]
+    # both centre sets in one pass: GROUPING SETS ((churn, dependents), (region))
+    g = vec.withColumn("_g", F.struct("churn", "dependents"))
+    rows = (g.groupingSets([[F.col("_g")], [F.col("region")]], "_g", "region")
+            .agg(*[F.avg(F.col("vec")[i]).alias(f"m{i}") for i in range(len(NUM))], F.grouping_id().alias("_gid"))
+            .collect())
+    by_pair = sorted((r["_g"], [r[f"m{i}"] for i in range(len(NUM))]) for r in rows if r["_gid"] == 1)
+    by_region = sorted((r["region"], [r[f"m{i}"] for i in range(len(NUM))])
+                       for r in rows if r["_gid"] == 2 and r["region"] is not None)
+    c1 = [(i, v) for i, (_, v) in enumerate(by_pair)]
+    c2 = [(i, v) for i, (_, v) in enumerate(by_region)]
     out = segments.assign_nearest(vec, "vec", c1, "cluster", "distance")
     out = segments.assign_nearest(out, "vec", c2, "region_cluster", None)
     return out.drop("vec", "region")
