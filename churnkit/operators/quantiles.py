@@ -77,6 +77,10 @@ def _exact(spark, x, keys, probs, method, accuracy):
         # pass 1: count + sketch per group (one row per group)
         sk = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
                                   F.percentile_approx("_x", lo_ps + hi_ps, accuracy).alias("_q")).collect()
+        sk = [r for r in sk if r["_n"] and r["_q"] is not None]  # an empty group has no quantile
+        if not sk:
+            pending = []
+            break
         counts = {tuple(r[k] for k in keys): r["_n"] for r in sk}
         bounds = {tuple(r[k] for k in keys): ([float(v) for v in r["_q"][:P]], [float(v) for v in r["_q"][P:]])
                   for r in sk}

@@ -23,3 +23,13 @@ def test_matches_linear_and_disc(spark):
     allv = sorted(vals)
     for p in (0.05, 0.5, 0.95):
         assert disc[p] == allv[max(0, math.ceil(p * len(allv)) - 1)]
+
+
+def test_empty_and_all_null(spark):
+    from churnkit.operators import profile
+    df = spark.createDataFrame([(1, None), (2, None)], "k long, v double")
+    assert exact_quantiles(df, "v", [0.5]).count() == 0
+    d = profile.describe(df, ["v"]).first()
+    assert d["count"] == 0 and d["p50"] is None and d["mean"] is None
+    empty = spark.createDataFrame([], "k long, v double")
+    assert exact_quantiles(empty, "v", [0.25, 0.75], ["k"]).count() == 0
