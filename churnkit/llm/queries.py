@@ -61,3 +61,19 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents by mixture inference, learned from those not held out."""
     return langid.label_languages(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op9_seed_extend")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages of 50 words and more removed from all documents."""
+    from churnkit.llm import substring_dedup
+
+    return substring_dedup.remove_repeats(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op2_heavy_light_jaccard")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under 4-word-shingle Jaccard similarity of 0.85."""
+    from churnkit.llm import jaccard_join
+
+    return jaccard_join.jaccard_components(spark, table(spark, sf_dir, "documents"))
