@@ -77,3 +77,19 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnkit.llm import jaccard_join
 
     return jaccard_join.jaccard_components(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op4_site_style_tree")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    from churnkit.llm import style_tree
+
+    return style_tree.extract(spark, table(spark, sf_dir, "pages"))
+
+
+@query("op3_template_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that any document contains, verbatim or re-parameterised."""
+    from churnkit.llm import decontamination
+
+    return decontamination.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tkey")
