@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnkit.llm import exact_dedup, langid, packing, sharding, warc
+from churnkit.llm import (decontamination, exact_dedup, jaccard_join, langid, packing, quality, sharding, style_tree,
+                          substring_dedup, warc)
 from churnkit.session import ship_package
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -39,12 +40,36 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, table(spark, sf_dir, "pages")).drop("url")
 
 
+@query("op2_heavy_light_jaccard")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under 4-word-shingle Jaccard similarity of 0.85."""
+    return jaccard_join.jaccard_components(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op3_template_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that any document contains, verbatim or re-parameterised."""
+    return decontamination.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tkey")
+
+
+@query("op4_site_style_tree")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return style_tree.extract(spark, table(spark, sf_dir, "pages"))
+
+
 @query("op5_tree_merge_dedup", exact_dedup.ORACLE)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of all documents by a tree merge of digest runs."""
     return exact_dedup.exact_dedup(spark, table(spark, sf_dir, "documents"))
 
 
+@query("op6_subword_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents, learned from labelled documents that are not held out."""
+    return quality.score_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op7_hilbert_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into 4096-token sequences along a Hilbert curve."""
@@ -57,39 +82,21 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(spark, table(spark, sf_dir, "documents"))
 
 
-@query("op10_language_mixture")
-def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Language of all documents by mixture inference, learned from those not held out."""
-    return langid.label_languages(spark, table(spark, sf_dir, "documents"))
-
-
 @query("op9_seed_extend")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated passages of 50 words and more removed from all documents."""
-    from churnkit.llm import substring_dedup
-
     return substring_dedup.remove_repeats(spark, table(spark, sf_dir, "documents"))
 
 
-@query("op2_heavy_light_jaccard")
-def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Components of all documents under 4-word-shingle Jaccard similarity of 0.85."""
-    from churnkit.llm import jaccard_join
-
-    return jaccard_join.jaccard_components(spark, table(spark, sf_dir, "documents"))
-
-
-@query("op4_site_style_tree")
-def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Main text of all pages."""
-    from churnkit.llm import style_tree
-
-    return style_tree.extract(spark, table(spark, sf_dir, "pages"))
+@query("op10_language_mixture")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents by mixture inference, learned from those not held out."""
+    return langid.label_languages(spark, table(spark, sf_dir, "documents"))
 
 
-@query("op3_template_decontamination")
-def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every benchmark item that any document contains, verbatim or re-parameterised."""
-    from churnkit.llm import decontamination
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline.py over all documents."""
+    import corpus_pipeline
 
-    return decontamination.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tkey")
+    return corpus_pipeline.run(spark, sf_dir)
