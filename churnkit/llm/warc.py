@@ -29,6 +29,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ from churnkit.session import scratch_path
 
 CRLF = b"\r\n"
 VERSION = b"WARC/1.1"
-EMPTY_HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
+HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 #: Fixed date of the records: an archive of a table has no capture times.
 DATE = b"2000-01-01T00:00:00Z"
 
@@ -103,8 +104,8 @@ def records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = stop + 4
 
 
-def _identifier(page_id: int | None, row: str) -> str:
-    return f"<urn:page:{'' if page_id is None else page_id}:{row}>"
+#: Profile of a revisit whose payload is that of another record, found by its digest.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def write_archive(spark: SparkSession, pages: DataFrame, path: str, *, segment_bytes: int = 32768, chunk_bytes: int = 8192,
@@ -126,18 +127,19 @@ def write_archive(spark: SparkSession, pages: DataFrame, path: str, *, segment_b
                       F.octet_length("body").cast("long").alias("bytes"), "first"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, row = TaskContext.get().partitionId(), 0
         for batch in batches:
             out = []
             for page, url, payload, sha, size, earlier in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 name = base64.b32encode(sha).decode()
-                own = _identifier(page, name)
+                own, row = f"<urn:page:{'' if page is None else page}:{part}.{row}>", row + 1  # repeated rows are records of their own
                 common = [("WARC-Date", DATE.decode()), ("WARC-Target-URI", url and re.sub(r"[\r\n]", "", url)),
                           ("WARC-Payload-Digest", f"sha1:{name}"), ("X-Page-Id", page), ("X-Payload-Length", size)]
                 if payload is None:
                     out.append(record([("WARC-Type", "revisit"), ("WARC-Record-ID", own), *common,
-                                       ("WARC-Refers-To", _identifier(earlier, name)), ("X-Refers-To-Page", earlier)], b""))
+                                       ("WARC-Profile", PROFILE), ("X-Refers-To-Page", earlier)], b""))
                     continue
-                block = EMPTY_HTTP + chunked(payload, chunk_bytes)
+                block = HTTP_HEAD + chunked(payload, chunk_bytes)
                 pieces = [block[i: i + segment_bytes] for i in range(0, len(block), segment_bytes)]
                 more = [("WARC-Segment-Number", 1)] if len(pieces) > 1 else []
                 out.append(record([("WARC-Type", "response"), ("WARC-Record-ID", own), *common, *more], pieces[0]))
