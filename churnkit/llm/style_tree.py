@@ -259,13 +259,17 @@ def noise_nodes(spark: SparkSession, pages: DataFrame, *, least_pages: int = 5,
 
 def main_text(page: str | None, noise: set[int]) -> str:
     blocks, _ = parse(page)
-    branches: dict[str, bool] = {}
+    branches: dict[str, bool] = {"": _long("") in noise}
 
     def lost(path: str) -> bool:
-        if path not in branches:
-            above = path.rpartition("/")[0]
-            branches[path] = _long(path) in noise or (path != above and lost(above))
-        return branches[path]
+        below = []
+        while path not in branches:
+            below.append(path)
+            path = path.rpartition("/")[0]
+        gone = branches[path]
+        for p in reversed(below):
+            gone = branches[p] = gone or _long(p) in noise
+        return gone
 
     kept = [(t, main) for p, t, dead, main in blocks if not dead and not (noise and lost(p))]
     if any(main for _, main in kept):
