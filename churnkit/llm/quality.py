@@ -156,8 +156,9 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, max_rows:
         model = fit([t for _, t, _ in got], np.array([q for _, _, q in got], np.int64), **options)
         yield pa.record_batch([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
-    # One task by design: the sample is bounded.  An empty sample still gives a model.
-    return pickle.loads(rows.select("doc_id", "text", "quality").repartition(1).mapInArrow(work, "model binary").first()[0])
+    # One task by design: the sample is bounded.  Spark may run no task at all for an empty one.
+    trained = rows.select("doc_id", "text", "quality").repartition(1).mapInArrow(work, "model binary").first()
+    return pickle.loads(trained[0]) if trained else fit([], np.zeros(0, np.int64), **options)
 
 
 def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, **options) -> DataFrame:
