@@ -62,13 +62,17 @@ def _row_key(df: DataFrame, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.col("__row"))
 
 
-def shuffle_to_shards(spark: SparkSession, df: DataFrame, *, shards: int = 24, parts: int = 96, blocks: int = 16,
+def shuffle_to_shards(spark: SparkSession, df: DataFrame, *, shards: int = 24, rows_per_task: int = 10_000, most_parts: int = 65_536,
                       seed: int = 1) -> DataFrame:
     """``df`` with ``shard`` (0 .. shards-1) and ``slot`` (0 .. size-1 within the shard).
 
-    ``parts`` bounds a virtual partition to about N / parts rows, ``blocks`` a
-    piece of a shard to about N / (shards * blocks).
+    The number of virtual partitions and of blocks in a shard follows the table, so
+    that each has about ``rows_per_task`` rows; ``most_parts`` bounds the matrix, and
+    partitions grow (and sort on disk) beyond rows_per_task * most_parts rows.
     """
+    rows = df.count()
+    parts = max(1, min(most_parts, -(-rows // rows_per_task)))
+    blocks = -(-parts // shards)
     names = df.columns
     data = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__data"))
     plain = [F.col(f"__data.`{f.name}`") for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]

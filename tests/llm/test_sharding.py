@@ -24,9 +24,9 @@ def test_large_hypergeometric():
 ROWS = [(i, f"text {i}") for i in range(200)] + [(7, "again")] * 30 + [(None, None), (None, ""), (500, "x" * 200_000), (501, "é")]
 
 
-@pytest.mark.parametrize("shards,parts,blocks", [(24, 96, 16), (5, 1, 1), (300, 8, 2)])
-def test_exact_sizes_and_slots(spark, docs, shards, parts, blocks):
-    got = S.shuffle_to_shards(spark, docs(ROWS), shards=shards, parts=parts, blocks=blocks).collect()
+@pytest.mark.parametrize("shards,rows_per_task,most", [(24, 10_000, 100), (5, 4, 1000), (300, 20, 8)])
+def test_exact_sizes_and_slots(spark, docs, shards, rows_per_task, most):
+    got = S.shuffle_to_shards(spark, docs(ROWS), shards=shards, rows_per_task=rows_per_task, most_parts=most).collect()
     assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(ROWS, key=str)
     by = {}
     for r in got:
