@@ -10,17 +10,27 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: A number as text: digits with an optional sign, fraction and exponent.
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
+def strip(text) -> Column:
+    """The text without any white space (also tabs, line ends) at its ends."""
+    return F.regexp_replace(_c(text), r"^\s+|\s+$", "")
+
+
 def is_blank(text) -> Column:
-    """True where the trimmed text is empty (NULL stays NULL)."""
-    return F.trim(_c(text)) == F.lit("")
+    """True where the stripped text is empty (NULL stays NULL)."""
+    return strip(text) == F.lit("")
 
 
 def lenient_double(text) -> Column:
-    """Trim then parse; anything unparseable (blank, garbage) becomes NULL.
+    """Strip then parse; anything that is not a number (blank, garbage, ``12d``) becomes NULL.
 
     ``try_cast`` keeps this safe under ANSI mode, where a plain cast raises.
     """
-    return F.trim(_c(text)).try_cast("double")
+    t = strip(text)
+    return F.when(t.rlike(NUMBER), t.try_cast("double"))
 
 
 def impute_blank(text, fallback) -> Column:

@@ -2,8 +2,8 @@
 
 Everything reduces the scored table to small aggregates first:
 
-* distinct-score counts ``(by, score, pos, neg)`` for AUC and PR curves —
-  bounded by the score resolution;
+* distinct-score counts ``(by, score, pos, neg)`` for AUC and PR curves, with
+  range-partitioned running sums (any number of distinct scores);
 * 201 threshold buckets per group for the threshold sweep — each score is
   assigned to the last grid threshold <= score, so the sweep is one pass
   plus reverse running sums over 201 rows (never a 201 x n matrix).
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from churnkit.operators.ranking import running_counts_desc
+from churnkit.operators.ranking import join_null_safe, running_counts_desc, running_sums
 
 
 def _t(t) -> Column:
@@ -39,9 +39,8 @@ def score_counts(df: DataFrame, score: str, label: str, by=None) -> DataFrame:
 def roc_auc(df: DataFrame, score: str, label: str, by=None) -> DataFrame:
     """Exact ROC-AUC with ties counted half: sum_s pos_s (neg_below_s + neg_s / 2) / (P N)."""
     by = list(by or [])
-    c = score_counts(df, score, label, by)
-    w = Window.partitionBy(*by).orderBy(F.col(score).asc()).rowsBetween(Window.unboundedPreceding, -1)
-    c = c.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
+    c = running_sums(score_counts(df, score, label, by), score, ["neg"], by, descending=False, inclusive=False)
+    c = c.withColumnRenamed("cum_neg", "neg_below")
     agg = c.groupBy(*by).agg(F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * 0.5)).alias("_u"),
                              F.sum("pos").alias("_tot_pos"), F.sum("neg").alias("_tot_neg"))
     return agg.select(*by, F.try_divide(F.col("_u"), F.col("_tot_pos") * F.col("_tot_neg")).alias("auc"),
@@ -153,16 +152,16 @@ def pr_curve(df: DataFrame, score: str, label: str, t=None, by=None) -> DataFram
     by = list(by or [])
     c = score_counts(df, score, label, by)
     c = running_counts_desc(c, score, ["pos", "neg"], by)
-    tot = Window.partitionBy(*by)
-    c = c.withColumn("_total_pos", F.sum("pos").over(tot))
+    above = F.when(F.col(score) >= _t(t), F.col(score)) if t is not None else F.lit(None).cast("double")
+    tot = c.groupBy(*by).agg(F.sum("pos").alias("_total_pos"), F.min(above).alias("_op"))
+    c = join_null_safe(c, tot, by)
     c = c.where((F.col("cum_pos") - F.col("pos")) < F.col("_total_pos"))
-    pts = c.select(*by, F.col(score).alias("score"),
+    pts = c.select(*by, "_op", F.col(score).alias("score"),
                    F.try_divide(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
                    F.coalesce(F.try_divide(F.col("cum_pos"), F.col("_total_pos")), F.lit(0.0)).alias("recall"))
     if t is not None:
-        above = F.when(F.col("score") >= _t(t), F.col("score"))
-        pts = pts.withColumn("_op", F.min(above).over(tot)).withColumn(
-            "is_operating", F.coalesce(F.col("score") == F.col("_op"), F.lit(False))).drop("_op")
+        pts = pts.withColumn("is_operating", F.coalesce(F.col("score") == F.col("_op"), F.lit(False)))
+    pts = pts.drop("_op")
     end_cols = [F.lit(None).cast("double").alias("score"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")]
     if t is not None:
         end_cols.append(F.lit(False).alias("is_operating"))

@@ -2,8 +2,7 @@
 persistence (M5-M9, M11, M18, M24, E7) on Spark ML.
 
 The estimators are Spark ML's own (distributed fits); this module only
-wires weights, folds and evaluation.  Probabilities are rounded to 6
-places so evaluation aggregates stay bounded by the score resolution.
+wires weights, folds and evaluation.  Probabilities are not rounded.
 """
 
 from __future__ import annotations
@@ -35,7 +34,7 @@ class ModelSpec:
 DEFAULT_MODELS = (
     ModelSpec("LogisticRegression", "lr", {"maxIter": 2000}),
     ModelSpec("RandomForest", "rf", {"numTrees": 200, "maxDepth": 30, "featureSubsetStrategy": "sqrt"}),
-    ModelSpec("XGBoost", "gbt", {"maxIter": 200, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.9,
+    ModelSpec("BoostedTrees", "gbt", {"maxIter": 200, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.9,
                                  "featureSubsetStrategy": "0.9"}),
 )
 
@@ -72,9 +71,9 @@ def fit(df: DataFrame, spec: ModelSpec, features: Sequence[str], label: str, see
 
 
 def predict_proba(model: PipelineModel, df: DataFrame, keep: Sequence[str], out: str = "p") -> DataFrame:
-    """Positive-class probability (rounded to 6 places) next to ``keep`` columns."""
+    """Positive-class probability next to ``keep`` columns."""
     scored = model.transform(df.withColumn("weight", F.lit(1.0)))
-    return scored.select(*keep, F.round(vector_to_array("probability")[1], 6).alias(out))
+    return scored.select(*keep, vector_to_array("probability")[1].alias(out))
 
 
 def oof_predictions(train: DataFrame, spec: ModelSpec, features: Sequence[str], label: str, key: str,
@@ -178,7 +177,7 @@ def score_all(models: dict[str, PipelineModel], thresholds: dict, df: DataFrame,
     cur = df.withColumn("weight", F.lit(1.0))
     cols = []
     for name, m in models.items():
-        cur = m.transform(cur).withColumn(f"p_{name}", F.round(vector_to_array("probability")[1], 6)).drop(
+        cur = m.transform(cur).withColumn(f"p_{name}", vector_to_array("probability")[1]).drop(
             "features", "probability", "rawPrediction", "prediction")
         cols.append(f"p_{name}")
     scored = cur.select(key, F.col(label).alias("churn_actual"), *cols)

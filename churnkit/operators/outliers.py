@@ -184,8 +184,8 @@ def _avg_path(n):
 
 
 def isolation_forest(df: DataFrame, key: str, features: Sequence[str], n_trees: int = 100, max_samples: int = 256,
-                     seed: int = 42, out: str = "iso_score") -> DataFrame:
-    """O1: isolation-forest score s = 2^(-E[h(x)] / c(max_samples)) per row.
+                     seed: int = 42, out: str = "iso_score", keep: Sequence[str] = ()) -> DataFrame:
+    """O1: isolation-forest score s = 2^(-E[h(x)] / c(max_samples)) per row, next to ``key`` and ``keep``.
 
     Samples: row r belongs to tree t's candidate pool when a seeded hash of
     (key, t) falls below ~4 x max_samples / n; the ``max_samples`` smallest
@@ -201,8 +201,8 @@ def isolation_forest(df: DataFrame, key: str, features: Sequence[str], n_trees:
     n = df.count()
     m = min(max_samples, n)
     frac = min(1.0, 4.0 * m / max(n, 1))
-    h = lambda t: F.abs(F.xxhash64(F.col(key), F.lit(seed), t)) % F.lit(1_000_000_007)
-    cut = int(frac * 1_000_000_007)
+    h = lambda t: F.xxhash64(F.col(key), F.lit(seed), t)  # noqa: E731  all 64 bits: no smallest share
+    cut = min(2**63 - 1, int(frac * 2**64) - 2**63)
     pools = df.select(key, *feats, F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree")) \
         if frac >= 1.0 else \
         df.select(key, *feats, F.explode(F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
@@ -267,7 +267,8 @@ def isolation_forest(df: DataFrame, key: str, features: Sequence[str], n_trees:
                     cur[ia] = np.where(go_left, left[cur[ia]], right[cur[ia]])
                     active = feat[cur] >= 0
                 total += depth[cur] + _avg_path(size[cur])
-            yield pd.DataFrame({key: pdf[key].to_numpy(), out: np.power(2.0, -(total / len(trees)) / c_m)})
+            yield pd.DataFrame({**{c: pdf[c] for c in cols}, out: np.power(2.0, -(total / len(trees)) / c_m)})
 
-    key_type = df.schema[key].dataType.simpleString()
-    return df.select(key, *feats).mapInPandas(score, f"{key} {key_type}, {out} double")
+    cols = [key, *keep]
+    types = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in cols)
+    return df.select(*dict.fromkeys([*cols, *feats])).mapInPandas(score, f"{types}, {out} double")

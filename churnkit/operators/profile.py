@@ -156,7 +156,7 @@ def stats_by_label(df: DataFrame, features: Sequence[str], label: str, exact: bo
         return agg
     med = exact_quantiles(long, "value", [0.5], ["feature", label]).select(
         "feature", label, F.round("quantile", digits).alias("median"))
-    return agg.join(F.broadcast(med), ["feature", label])  # features x labels rows
+    return agg.join(med, ["feature", label])
 
 
 def histogram(df: DataFrame, features: Sequence[str], label: str | None = None, bins: int = 30) -> DataFrame:
@@ -204,7 +204,7 @@ def box_stats(df: DataFrame, feature: str, label: str, exact: bool = True, whisk
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_f = F.col("q1") - whisker * F.col("iqr")
     hi_f = F.col("q3") + whisker * F.col("iqr")
-    j = base.join(F.broadcast(q), label)
+    j = base.join(q, label)
     return j.groupBy(label).agg(
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
         F.first("mean").alias("mean"), F.first("iqr").alias("iqr"),

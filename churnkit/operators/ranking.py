@@ -1,11 +1,12 @@
-"""Global ranks, running counts and top-k without a single-partition pass over
-the rows (W1, W2, W7, W8).
+"""Global ranks, running counts and top-k without a single-partition pass
+(W1, W2, W7, W8).
 
 Scores are grouped to their distinct values first (partial aggregation, so a
-value shared by a third of all rows costs one row per map task).  The
-running sums then run over the distinct-value table, whose size is bounded
-by the score resolution (10**digits + 1 for probabilities rounded to
-``digits`` places), and the result is joined back.
+value shared by a third of all rows costs one row per map task).  Running sums
+over the distinct values are range-partitioned: quantiles of the values cut them
+into buckets, each bucket is summed on its own, and the sums of the buckets
+before it (a table of ``BUCKETS`` rows per group) are added.  So any number of
+distinct scores works, rounded or not.
 """
 
 from __future__ import annotations
@@ -14,28 +15,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BROADCAST_ROWS = 2_000_000
+from churnkit.session import stored
 
+#: Parts that a running sum over distinct scores is cut into.
+BUCKETS = 256
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join, broadcasting ``small`` only after its row count is checked.
 
-    Above the bound the join is left to the planner (sort-merge, with AQE
-    splitting skewed partitions).
-    """
-    n = small.count()
-    side = F.broadcast(small) if n <= max_rows else small
-    return big.join(side, on, how)
+def join_null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join in which NULL keys match NULL keys; the key columns of ``left`` stay."""
+    if not on:
+        return left.crossJoin(right)  # one row on the right
+    renamed = right.select(*[F.col(c).alias(f"_on_{c}") if c in on else F.col(c) for c in right.columns])
+    cond = [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on]
+    return left.join(renamed, cond, how).drop(*[f"_on_{c}" for c in on])
+
+
+def running_sums(counts: DataFrame, score: str, cols: list[str], by: list[str], descending: bool, inclusive: bool) -> DataFrame:
+    """``counts`` (one row per ``by`` and distinct ``score``) with ``cum_<col>`` in score order inside each group."""
+    counts = stored(counts.sparkSession, counts, "scores")
+    cuts = counts.agg(F.percentile_approx(score, [i / BUCKETS for i in range(1, BUCKETS)], 10_000)).first()[0]
+    cuts = sorted(set(cuts or []))
+    upto = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c <= F.col(score))) if cuts else F.lit(0)
+    bucket = (-upto if descending else upto).cast("int")
+    counts = counts.withColumn("_b", bucket)
+    key = F.col(score).desc() if descending else F.col(score).asc()
+    local = Window.partitionBy(*by, "_b").orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # BUCKETS rows at most
+    offsets = counts.groupBy(*by, "_b").agg(*[F.sum(c).alias(c) for c in cols]).select(
+        *by, "_b", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in cols])
+    out = counts.withColumns({f"cum_{c}": F.coalesce(F.sum(c).over(local), F.lit(0)) for c in cols})
+    out = join_null_safe(out, offsets, [*by, "_b"])
+    return out.withColumns({f"cum_{c}": (F.col(f"cum_{c}") + F.col(f"_off_{c}")).cast("long") for c in cols}).drop(
+        "_b", *[f"_off_{c}" for c in cols])
 
 
 def min_rank_desc(df: DataFrame, score: str, out: str = "rank", by: list[str] | None = None) -> DataFrame:
     """Rank by descending score, ties share the minimum rank
-    (``rank(method='min', ascending=False)``): rank = 1 + #rows with a higher score."""
+    (``rank(method='min', ascending=False)``): rank = 1 + #rows with a higher score.
+    A row with a NULL score keeps a NULL rank; NULL groups are a group."""
     by = by or []
-    hist = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*by).orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = hist.select(*by, score, (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).cast("long").alias(out))
-    return join_small(df, ranks, [*by, score])
+    hist = df.where(F.col(score).isNotNull()).groupBy(*by, score).agg(F.count(F.lit(1)).alias("_n"))
+    ranks = running_sums(hist, score, ["_n"], by, descending=True, inclusive=False).select(
+        *by, score, (F.col("cum__n") + 1).cast("long").alias(out))
+    return join_null_safe(df, ranks, [*by, score], "left")
 
 
 def top_k(df: DataFrame, score: str, key: str, k: int) -> DataFrame:
@@ -44,12 +66,6 @@ def top_k(df: DataFrame, score: str, key: str, k: int) -> DataFrame:
     return df.orderBy(F.col(score).desc(), F.col(key).asc()).limit(k)
 
 
-def top_k_per_group(df: DataFrame, group: str, score: str, key: str, k: int, out: str = "pos") -> DataFrame:
-    """Top-k inside each group, for groups of bounded size (e.g. features of one row)."""
-    w = Window.partitionBy(group).orderBy(F.col(score).desc(), F.col(key).asc())
-    return df.withColumn(out, F.row_number().over(w)).where(F.col(out) <= k)
-
-
 def first_max(df: DataFrame, metric: str, candidate: str, by: list[str] | None = None) -> DataFrame:
     """Argmax of ``metric`` over candidates, the smallest candidate wins ties."""
     by = by or []
@@ -62,7 +78,4 @@ def first_max(df: DataFrame, metric: str, candidate: str, by: list[str] | None =
 def running_counts_desc(counts: DataFrame, score: str, cols: list[str], by: list[str] | None = None,
                         inclusive: bool = True) -> DataFrame:
     """Cumulative sums of ``cols`` over descending distinct scores."""
-    by = by or []
-    end = Window.currentRow if inclusive else -1
-    w = Window.partitionBy(*by).orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, end)
-    return counts.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).cast("long").alias(f"cum_{c}") for c in cols])
+    return running_sums(counts, score, cols, list(by or []), descending=True, inclusive=inclusive)

@@ -22,25 +22,28 @@ from churnkit.operators.ranking import min_rank_desc, top_k
 
 @dataclass(frozen=True)
 class LinearScorer:
-    """Intercept + coefficients over named features; probabilities rounded to
-    ``digits`` places (which also bounds the number of distinct scores)."""
+    """Intercept + coefficients over named features.  With ``digits`` the score is
+    defined at that many places (for scores that two engines must agree on)."""
     name: str
     intercept: float
     coefs: dict
     threshold: float = 0.5
-    digits: int = 6
+    digits: int | None = None
 
     def logit(self) -> Column:
         terms = [F.lit(float(self.intercept))] + [F.col(f) * F.lit(float(c)) for f, c in self.coefs.items()]
         return reduce(lambda a, b: a + b, terms)
 
+    def _score(self, z: Column) -> Column:
+        return sigmoid(z) if self.digits is None else F.round(sigmoid(z), self.digits)
+
     def prob(self) -> Column:
-        return F.round(sigmoid(self.logit()), self.digits)
+        return self._score(self.logit())
 
     def prob_with(self, subs: dict) -> Column:
         """Probability with some feature columns replaced by other expressions."""
         terms = [F.lit(float(self.intercept))] + [subs.get(f, F.col(f)) * F.lit(float(c)) for f, c in self.coefs.items()]
-        return F.round(sigmoid(reduce(lambda a, b: a + b, terms)), self.digits)
+        return self._score(reduce(lambda a, b: a + b, terms))
 
 
 # Three stated coefficient sets over the curated test features play
@@ -49,11 +52,11 @@ class LinearScorer:
 FIXED_SCORERS = (
     LinearScorer("lr", -1.2, {"tenure": -0.9, "monthly": 0.35, "total": -0.25, "senior": 0.3, "partner": -0.2,
                               "dependents": -0.8, "paperless": 0.15, "addon_click": -0.2,
-                              "segment_AUTOMOBILE": 0.2, "region_ASIA": 0.15, "priority_1_URGENT": 0.1}, 0.305),
+                              "segment_AUTOMOBILE": 0.2, "region_ASIA": 0.15, "priority_1_URGENT": 0.1}, 0.305, 6),
     LinearScorer("rf", -1.0, {"tenure": -0.6, "monthly": 0.2, "dependents": -1.0, "senior": 0.2,
-                              "addon_view": -0.1, "segment_MACHINERY": -0.15, "region_EUROPE": 0.1}, 0.115),
+                              "addon_view": -0.1, "segment_MACHINERY": -0.15, "region_EUROPE": 0.1}, 0.115, 6),
     LinearScorer("xgb", -1.1, {"tenure": -0.8, "total": -0.1, "dependents": -0.9, "partner": -0.3,
-                               "paperless": 0.2, "priority_5_LOW": 0.2, "region_AFRICA": -0.1}, 0.23),
+                               "paperless": 0.2, "priority_5_LOW": 0.2, "region_AFRICA": -0.1}, 0.23, 6),
 )
 
 
@@ -116,11 +119,9 @@ def linear_attribution(df: DataFrame, scorer: LinearScorer, key: str, background
     the top ``top`` by absolute value, and the base value (log-odds at the
     background mean).  Contributions sum to logit(x) - base.
 
-    Background means come from one aggregate unless given.  The per-row
-    top-k ranks at most d features of one customer (bounded groups).
+    Background means come from one aggregate unless given.  The features of a
+    row are ranked inside the row: nothing is shuffled.
     """
-    from pyspark.sql.window import Window
-
     feats = list(scorer.coefs)
     if background is None:
         row = df.agg(*[F.avg(f).alias(f) for f in feats]).first()
@@ -129,10 +130,11 @@ def linear_attribution(df: DataFrame, scorer: LinearScorer, key: str, background
     parts = [F.struct(F.lit(f).alias("feature"),
                       ((F.col(f) - F.lit(float(background[f]))) * F.lit(float(scorer.coefs[f]))).alias("contribution"))
              for f in feats]
-    long = df.select(key, F.inline(F.array(*parts)))
-    w = Window.partitionBy(key).orderBy(F.abs("contribution").desc(), F.col("feature"))
-    return (long.withColumn("position", F.row_number().over(w)).where(F.col("position") <= top)
-            .withColumn("base_value", F.lit(float(base))))
+    ranked = F.array_sort(F.transform(F.array(*parts), lambda x: F.struct(
+        (-F.abs(x["contribution"])).alias("order"), x["feature"].alias("feature"), x["contribution"].alias("contribution"))))
+    long = df.select(key, F.posexplode(F.slice(ranked, 1, top)).alias("i", "x"))
+    return long.select(key, F.col("x.feature").alias("feature"), F.col("x.contribution").alias("contribution"),
+                       (F.col("i") + 1).alias("position"), F.lit(float(base)).alias("base_value"))
 
 
 def linear_impact(df: DataFrame, scorer: LinearScorer) -> DataFrame:
@@ -203,7 +205,7 @@ def policy_impact(df: DataFrame, scorer: LinearScorer, policies: Sequence[Policy
     ``top_n`` restricts the rewrite to the n highest base-risk customers —
     over all customers (reference meaning) or, with ``scope='matching'``,
     over those the policy applies to.  The top-n set is a key table of at most
-    n rows joined back (W2 + broadcast), never a driver-side list.  All
+    n rows joined back (W2), never a driver-side list.  All
     policies are re-scored in one projection and summarised in one aggregate.
     """
     t = scorer.threshold
@@ -217,7 +219,7 @@ def policy_impact(df: DataFrame, scorer: LinearScorer, policies: Sequence[Policy
                 pool = base.where(mask) if scope == "matching" else base
                 chosen = top_k(pool.select(key, "_p_base"), "_p_base", key, top_n).select(
                     key, F.lit(1).alias(f"_in{k}"))
-                base = base.join(F.broadcast(chosen), key, "left")  # at most top_n rows
+                base = base.join(chosen, key, "left")  # broadcast only below the size threshold
                 chosen_all = f"_in{k}"
             in_col = f"_in{k}" if scope == "matching" else chosen_all
             mask = mask & (F.col(in_col) == 1)

@@ -9,6 +9,7 @@ Silhouette uses the squared-Euclidean identity
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,10 @@ def as_array(cols: Sequence[str]) -> Column:
     return F.array(*[F.col(c).cast("double") for c in cols])
 
 
+#: The ten starts of each k-means fit.
+SEEDS = tuple(range(42, 52))
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
 
@@ -53,18 +58,12 @@ def assign_nearest(df: DataFrame, vec: str, centres: list[tuple], out: str = "cl
                    dist_out: str | None = "distance") -> DataFrame:
     """C2 assignment step: nearest centre by squared Euclidean distance (ties ->
     lowest centre id).  Centres are k x d literals — no join."""
-    d2 = F.array(*[F.struct(sq_dist(F.col(vec), _lit_vec(v)).alias("d"), F.lit(cid).alias("id"))
-                   for cid, v in centres])
-    best = F.array_min(d2)  # struct ordering: distance first, then id
-    cols = {out: best["id"]}
-    if dist_out:
-        cols[dist_out] = F.sqrt(best["d"])
-    return df.withColumns(cols)
-
-
-def lloyd_step(df: DataFrame, vec: str, centres: list[tuple], out: str = "cluster") -> list[tuple]:
-    """One k-means update: new centre = mean of the assigned rows."""
-    return group_centroids(assign_nearest(df, vec, centres, out, None), vec, out)
+    table = F.array(*[F.struct(_lit_vec(v).alias("v"), F.lit(cid).alias("id")) for cid, v in centres])
+    d2 = F.transform(table, lambda c: F.struct(sq_dist(F.col(vec), c["v"]).alias("d"), c["id"].alias("id")))
+    # inline_outer keeps the best (distance, id) as one generated row: each distance is computed once.
+    best = df.select("*", F.inline(F.array(F.array_min(d2))).alias("_d2", "_id"))
+    cols = [F.col("_id").alias(out)] + ([F.sqrt("_d2").alias(dist_out)] if dist_out else [])
+    return best.select(*[c for c in df.columns if c not in (out, dist_out)], *cols)
 
 
 # ------------------------------------------------------------------ silhouette
@@ -83,8 +82,15 @@ def silhouette_points(df: DataFrame, vec: str, cluster: str, noise: int | None =
     clusters give 0.  Rows of the ``noise`` cluster are excluded (C9)."""
     if noise is not None:
         df = df.where(F.col(cluster) != noise)
-    stats = cluster_sums(df, vec, cluster)
-    x = F.col(vec)
+    # Distances don't change when the origin moves to the mean, and the identity then subtracts numbers of their own size.
+    names = df.columns
+    row = df.select(vec).first()
+    if row is None:
+        return df.withColumn("silhouette", F.lit(None).cast("double"))
+    mean = df.agg(*[F.avg(F.col(vec)[i]) for i in range(len(row[0]))]).first()
+    df = df.withColumn("_x", F.zip_with(F.col(vec), _lit_vec(mean), lambda a, b: a - b))
+    stats = cluster_sums(df, "_x", cluster)
+    x = F.col("_x")
     xx = sq_norm(x)
     own_a, others = None, []
     for cid, n, q, s in stats:
@@ -94,12 +100,12 @@ def silhouette_points(df: DataFrame, vec: str, cluster: str, noise: int | None =
         own_a = F.when(own, a_expr) if own_a is None else own_a.when(own, a_expr)
         others.append(F.when(~own, total / F.lit(float(n))))
     if len(stats) < 2:
-        return df.withColumn("silhouette", F.lit(None).cast("double"))
+        return df.select(*names, F.lit(None).cast("double").alias("silhouette"))
     b = F.least(*others)
     a = own_a
     s = F.when(a.isNull(), F.lit(0.0)).otherwise(
         F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
-    return df.withColumn("silhouette", s)
+    return df.select(*names, s.alias("silhouette"))
 
 
 def silhouette_by_cluster(df: DataFrame, vec: str, cluster: str, noise: int | None = None) -> DataFrame:
@@ -207,13 +213,15 @@ def pca_project(df: DataFrame, cols: Sequence[str], model, means: dict, k: int,
                       F.col("pca_all")[1].alias("PCA2"))
 
 
-def kmeans_best(df: DataFrame, features: str, k: int, seeds: Sequence[int] = tuple(range(42, 52)), max_iter: int = 50):
+def kmeans_best(df: DataFrame, features: str, k: int, seeds: Sequence[int] = SEEDS, max_iter: int = 300):
     """Spark's KMeans has no n_init; fit one model per seed and keep the
     lowest training cost (10 inits like the reference)."""
     from pyspark.ml.clustering import KMeans
 
     def one(s):
         m = KMeans(k=k, seed=s, featuresCol=features, maxIter=max_iter).fit(df)
+        if m.summary.numIter >= max_iter:
+            warnings.warn(f"k-means with k={k}, seed={s} stopped after {max_iter} rounds", stacklevel=2)
         return m, m.summary.trainingCost
     fits = parallel_map(one, list(seeds))  # independent fits as concurrent Spark jobs
     best = None
@@ -238,7 +246,7 @@ def gmm_fit(df: DataFrame, features: str, k: int, seed: int = 42):
     return GaussianMixture(k=k, seed=seed, featuresCol=features, maxIter=100).fit(df)
 
 
-def choose_k(df: DataFrame, features: str, method: str = "kmeans", ks=range(2, 11), seeds=(42,)) -> DataFrame:
+def choose_k(df: DataFrame, features: str, method: str = "kmeans", ks=range(2, 11), seeds=SEEDS) -> DataFrame:
     """Fit each k, score by (squared-Euclidean) silhouette, return the
     sweep table (method, k, silhouette); the caller picks the first maximum."""
     from pyspark.ml.evaluation import ClusteringEvaluator

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from churnkit.operators.ranking import join_small
+from churnkit.operators.ranking import join_null_safe
 
 
 def hash_order(key: str, seed: int | str) -> F.Column:
@@ -33,7 +33,7 @@ def stratified_rank(df: DataFrame, label: str, key: str, seed: int = 42, prefix_
     offsets = counts.select(label, "_hb", F.coalesce(F.sum("_bn").over(wc), F.lit(0)).alias("_off"),
                             F.sum("_bn").over(wt).alias("class_n"))
     local = Window.partitionBy(label, "_hb").orderBy("_h", key)
-    ranked = join_small(d, offsets, [label, "_hb"])
+    ranked = join_null_safe(d, offsets, [label, "_hb"])  # rows without a label are a class of their own
     return ranked.withColumn(out, (F.col("_off") + F.row_number().over(local)).cast("long")).drop("_h", "_hb", "_off")
 
 

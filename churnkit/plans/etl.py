@@ -14,39 +14,26 @@ from churnkit.functions.encode import addon_encode, binary_encode, onehot_column
 from churnkit.operators.scaling import apply_zscore, fit_zscore
 from churnkit.spec import DEFAULT_SPEC, ChurnSpec
 
-MAX_LEVELS = 1000
-
 
 def discover_levels(df: DataFrame, cols) -> dict[str, list[str]]:
-    """Sorted distinct non-NULL levels per categorical column in one job.
+    """Sorted distinct non-NULL levels per categorical column.
 
-    Categorical columns are small by nature; a column with more than
-    ``MAX_LEVELS`` values is rejected rather than one-hot encoded.
+    Each level becomes a column of the result, so the list must reach the driver;
+    its rows are counted down by partial aggregation, never gathered in one task.
     """
-    row = df.agg(*[F.slice(F.sort_array(F.collect_set(c)), 1, MAX_LEVELS + 1).alias(c) for c in cols]).first()
-    out = {}
-    for c in cols:
-        vals = list(row[c] or [])
-        if len(vals) > MAX_LEVELS:
-            raise ValueError(f"{c}: more than {MAX_LEVELS} levels; not a one-hot column")
-        out[c] = sorted(vals)
-    return out
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("x"))
+    out: dict[str, list[str]] = {c: [] for c in cols}
+    for r in pairs.where("x.v IS NOT NULL").select("x.c", "x.v").distinct().collect():
+        out[r["c"]].append(r["v"])
+    return {c: sorted(v) for c, v in out.items()}
 
 
 def fit_encoding(raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> tuple[dict, dict]:
-    """One pass for everything the staging and curated layers learn from the
-    data: one-hot levels (bounded by ``MAX_LEVELS``) and the z-score mean /
-    population std of the numeric columns (the values are unchanged by staging)."""
-    aggs = [F.slice(F.sort_array(F.collect_set(c)), 1, MAX_LEVELS + 1).alias(f"l_{c}") for c in spec.onehot]
-    for c in spec.numeric:
-        aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
-    row = raw.agg(*aggs).first()
-    levels = {}
-    for c in spec.onehot:
-        vals = list(row[f"l_{c}"] or [])
-        if len(vals) > MAX_LEVELS:
-            raise ValueError(f"{c}: more than {MAX_LEVELS} levels; not a one-hot column")
-        levels[c] = vals
+    """Everything the staging and curated layers learn from the data: one-hot
+    levels, and the z-score mean / population std of the numeric columns (the
+    values are unchanged by staging)."""
+    levels = discover_levels(raw, spec.onehot) if spec.onehot else {}
+    row = raw.agg(*[f(c).alias(f"{k}_{c}") for c in spec.numeric for k, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
     stats = {c: (row[f"m_{c}"] if row[f"m_{c}"] is not None else 0.0,
                  row[f"s_{c}"] if row[f"s_{c}"] not in (None, 0.0) else 1.0) for c in spec.numeric}
     return levels, stats

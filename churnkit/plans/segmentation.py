@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from churnkit.operators import outliers, segments
 from churnkit.plans import etl
+from churnkit.session import stored
 from churnkit.sources import adapters
 from churnkit.spec import DEFAULT_SPEC
 
@@ -54,8 +55,8 @@ def fitted_clusters(spark: SparkSession, sf_dir: str, k_kmeans: int | None = Non
 def isolation_scores(spark: SparkSession, sf_dir: str, contamination: float = 0.03, n_trees: int = 100) -> DataFrame:
     """O1 + O3: isolation-forest score, anomaly score (> 0 flagged) and label."""
     mm, feats = curated_features(spark, sf_dir)
-    iso = outliers.isolation_forest(mm, "customer_id", feats, n_trees=n_trees)
-    scored = mm.select("customer_id", "churn").join(iso, "customer_id")
+    # Scored once: the label rides along, and the cut and the result read the written scores.
+    scored = stored(spark, outliers.isolation_forest(mm, "customer_id", feats, n_trees=n_trees, keep=["churn"]), "isolation")
     cut = outliers.contamination_cut(scored, "iso_score", contamination)
     return outliers.flag_outliers(scored, "iso_score", cut, "IsoForest_Anomaly_Score", "outlier")
 
@@ -68,6 +69,5 @@ def density_clusters(spark: SparkSession, sf_dir: str, min_points: int = 5, min_
     proj, _, _ = pca_frame(spark, sf_dir)
     s = proj.agg(F.stddev_samp("PCA1").alias("a"), F.stddev_samp("PCA2").alias("b")).first()
     cell = cell_fraction * ((s["a"] or 1.0) + (s["b"] or 1.0)) / 2.0
-    cl = grid_density_clusters(proj, "customer_id", ["PCA1", "PCA2"], cell, min_points, min_cluster_size,
-                               "Cluster_Density")
-    return cl.join(proj.select("customer_id", "churn"), "customer_id")
+    return grid_density_clusters(proj, "customer_id", ["PCA1", "PCA2"], cell, min_points, min_cluster_size,
+                                 "Cluster_Density", keep=["churn"])

@@ -63,6 +63,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/churnkit-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(spark: SparkSession, df, name: str):
+    """Write a table to the shared folder and read it back: its lineage ends there,
+    and what is computed from it twice is computed once."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnkit.functions.clean import impute_blank
+from churnkit.session import stored
 from churnkit.sources.tables import read_table
 
 # The event types of the events table, in sorted order.
@@ -63,8 +64,11 @@ def addon_flags(spark: SparkSession, sf_dir: str, event_types=EVENT_TYPES) -> Da
     per_user = ev.groupBy("user_id", "event_type").agg(F.avg("value").alias("user_mean"))
     # one row per event type: bounded by the category count
     per_type = ev.groupBy("event_type").agg(F.avg("value").alias("type_mean"))
-    flagged = per_user.join(F.broadcast(per_type), "event_type").withColumn(
+    flagged = per_user.join(per_type, "event_type").withColumn(
         "above", F.when(F.col("user_mean") > F.col("type_mean"), 1).otherwise(0))
+    # each event type is a column of the result: one that has none is an error, not a silent loss
+    flagged = flagged.withColumn("above", F.when(F.col("event_type").isin(*event_types), F.col("above")).otherwise(
+        F.raise_error(F.concat(F.lit("event type without a column: "), F.col("event_type"))).cast("int")))
     # conditional aggregates on ints keep this a hash aggregate (a string pivot sorts)
     wide = flagged.groupBy("user_id").agg(
         *[F.max(F.when(F.col("event_type") == t, F.col("above"))).alias(f"_a_{t}") for t in event_types])
@@ -91,7 +95,7 @@ def customer_frame(spark: SparkSession, sf_dir: str, churn_days: int = CHURN_DAY
     churn_cut = snap_lit - F.expr(f"INTERVAL {int(churn_days)} DAYS")
 
     joined = (cust
-              .join(F.broadcast(geo), cust.c_nationkey == geo.n_nationkey, "left")
+              .join(geo, cust.c_nationkey == geo.n_nationkey, "left")
               .join(orders, cust.c_custkey == orders.o_custkey, "left")
               .join(flags, cust.c_custkey == flags.user_id, "left"))
     addon_cols = [
@@ -125,9 +129,20 @@ def clean_customers(raw: DataFrame, text_col: str = "total_text", fallback: str
     return raw.select(*cols)
 
 
+_RAW: dict[tuple[str, str], DataFrame] = {}
+
+
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer_frame cleaned: the reference's raw.parquet layer."""
-    return clean_customers(customer_frame(spark, sf_dir))
+    """customer_frame cleaned: the raw layer, written once per application and folder.
+
+    ``orders`` and ``events`` are aggregated when the layer is first asked for; every
+    later query of the application reads the written table.  The source tables of a
+    folder must not change while an application runs.
+    """
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _RAW:
+        _RAW[at] = stored(spark, clean_customers(customer_frame(spark, sf_dir)), "raw-layer")
+    return _RAW[at]
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

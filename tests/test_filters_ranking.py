@@ -1,4 +1,4 @@
-"""Filter semantics (F1, F2, F3, F6, F7) and the size-checked broadcast join."""
+"""Filter semantics (F1, F2, F3, F6, F7) and global ranks without losses."""
 
 from pyspark.sql import functions as F
 
@@ -36,11 +36,36 @@ def test_drill_through_and_noise(spark):
     assert sorted(r["k"] for r in filters.exclude_noise(cl, "c").collect()) == [2, 3]
 
 
-def test_join_small_falls_back_above_bound(spark):
-    big = spark.range(100).withColumn("g", F.col("id") % 10)
-    small = spark.range(10).withColumnRenamed("id", "g").withColumn("v", F.col("g") * 2)
-    a = ranking.join_small(big, small, "g", max_rows=100)
-    b = ranking.join_small(big, small, "g", max_rows=5)  # over the bound: no broadcast hint
-    plan_b = b._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" not in plan_b.lower()
-    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+def test_null_safe_join(spark):
+    a = spark.createDataFrame([(1, "x"), (None, "y")], "g long, v string")
+    b = spark.createDataFrame([(1, 10), (None, 20)], "g long, w int")
+    assert sorted(map(tuple, ranking.join_null_safe(a, b, ["g"]).collect()), key=str) == [(1, "x", 10), (None, "y", 20)]
+
+
+def test_rank_keeps_every_row(spark):
+    """Rows with a NULL score keep a NULL rank, NULL groups are ranked, ties share the minimum."""
+    df = spark.createDataFrame([("a", 0.9), ("a", 0.9), ("a", 0.1), ("a", None), (None, 0.5), (None, 0.7)], "g string, s double")
+    got = sorted(((r["g"], r["s"], r["rank"]) for r in ranking.min_rank_desc(df, "s", by=["g"]).collect()), key=str)
+    assert got == sorted([("a", 0.9, 1), ("a", 0.9, 1), ("a", 0.1, 3), ("a", None, None), (None, 0.5, 2), (None, 0.7, 1)], key=str)
+    assert sorted(r["rank"] or 0 for r in ranking.min_rank_desc(df, "s").collect()) == [0, 1, 1, 3, 4, 5]
+
+
+def test_rank_of_many_distinct_scores(spark):
+    """More distinct scores than parts; only the sums of the parts meet in one task."""
+    df = spark.range(5000).select("id", (F.sin(F.col("id").cast("double"))).alias("s"))
+    out = ranking.min_rank_desc(df, "s")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SinglePartition") == 1 and "HashAggregate(keys=[_b" in plan.split("SinglePartition")[1]
+    pdf = out.toPandas()
+    assert (pdf["rank"] == pdf["s"].rank(method="min", ascending=False)).all()
+
+
+def test_unrounded_scores(spark):
+    """Scores that six places would make equal stay apart."""
+    from churnkit.operators import evaluate, scoring
+    df = spark.createDataFrame([(1, -16.0, 1), (2, -17.0, 0), (3, -18.0, 0)], "k long, x double, y int")
+    p = df.select("k", "y", scoring.LinearScorer("m", 0.0, {"x": 1.0}).prob().alias("p"))
+    assert evaluate.roc_auc(p, "p", "y").first()["auc"] == 1.0
+    assert len({r["p"] for r in p.collect()}) == 3
+    points = evaluate.pr_curve(p, "p", "y", 0.5).collect()
+    assert [(r["precision"], r["recall"]) for r in points if r["score"] is not None] == [(1.0, 1.0)]
