@@ -32,11 +32,17 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of finished, unreachable jobs."""
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more, and let Spark's cleaner drop
+    the shuffle files of finished, unreachable jobs."""
+    for t in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.scratch)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

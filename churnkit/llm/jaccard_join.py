@@ -284,28 +284,30 @@ def _blocked(rows: DataFrame, block: int) -> DataFrame:
     return rows.join(weight, "family").withColumn("blk", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
 
 
-def verified(spark: SparkSession, nodes: DataFrame, texts: DataFrame, words: int, percent: int, block: int) -> DataFrame:
-    """nodes (family, node, n) with ``label``: one value for all nodes that links connect."""
+def verified(spark: SparkSession, texts: DataFrame, words: int, percent: int, block: int) -> DataFrame:
+    """texts (family, node, n, blk, blocks, text) -> node, label: one label for all nodes that links connect."""
     links = _block_links(words, percent)
-    found = lambda rows, *by: stored(spark, rows.join(texts, "node").groupBy("family", *by).applyInArrow(links, "a long, b long"),
-                                     "jaccard-links")
-    nodes = nodes.withColumn("label", F.col("node"))
-    within = _blocked(nodes, block).withColumn("side", F.lit(0))
-    nodes = _relabel(spark, nodes, found(within, "blk"))
-    large = stored(spark, within.where("blocks > 1").select("family").distinct(), "jaccard-large")
-    if large.limit(1).count() == 0:
-        return nodes
+    columns = ["node", "label", "side", "text"]
+    found = lambda rows, *by: stored(spark, rows.select("family", *by, *columns).groupBy("family", *by)
+                                     .applyInArrow(links, "a long, b long"), "jaccard-links")
+    nodes = texts.select("family", "node", "n", F.col("node").alias("label"))
+    nodes = _relabel(spark, nodes, found(texts.withColumns({"label": F.col("node"), "side": F.lit(0)}), "blk"))
+    if texts.where("blocks > 1").limit(1).count() == 0:
+        return nodes.select("node", "label")
+    # Families of several blocks; from here on only their texts are read.
+    large = stored(spark, texts.where("blocks > 1").select("node", "text"), "jaccard-large")
+    release(spark)
+    mine = stored(spark, nodes.join(texts.where("blocks > 1").select("node"), "node", "left_semi"), "jaccard-labels")
+    rest = nodes.join(texts.where("blocks = 1").select("node"), "node", "left_semi").select("node", "label")
     while True:  # one set for each component, in blocks, while that joins some
-        heads = nodes.join(large, "family").where("node = label")
-        new = found(_blocked(heads, block).withColumn("side", F.lit(0)), "blk")
+        heads = _blocked(mine.where("node = label"), block).withColumn("side", F.lit(0))
+        new = found(heads.join(large, "node"), "blk")
         if new.limit(1).count() == 0:
             break
-        nodes = _relabel(spark, nodes, new)
-    mine = nodes.join(large, "family")
+        mine = _relabel(spark, mine, new)
     share = mine.groupBy("family", "label").agg(F.count(F.lit(1)).alias("c"))
     top = share.groupBy("family").agg(F.max(F.struct("c", "label"))["label"].alias("top"))
-    mine = mine.join(top, "family")
-    outer = _blocked(mine.where("label <> top"), block)
+    outer = _blocked(mine.join(top, "family").where("label <> top"), block)
     rounds = outer.groupBy("family").agg(F.max("blocks").alias("outer"))
     inner = _blocked(mine, block).withColumnRenamed("blocks", "inner").join(rounds, "family")
     # Each block of outer sets meets each block of the family.
@@ -315,13 +317,14 @@ def verified(spark: SparkSession, nodes: DataFrame, texts: DataFrame, words: int
     meets = meets.unionByName(outer.join(sizes, "family").select(
         "family", F.col("blk").alias("oblk"), F.explode(F.sequence(F.lit(0), F.col("inner") - 1)).alias("blk"), "node", "label",
         F.lit(0).alias("side")))
-    return _relabel(spark, nodes, found(meets, "oblk", "blk"))
+    mine = _relabel(spark, mine, found(meets.join(large, "node"), "oblk", "blk"))
+    return mine.select("node", "label").unionByName(rest)
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame, *, words: int = 4, percent: int = 85, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     table = stored(spark, postings(docs, words, percent), "jaccard-postings")
-    narrow = table.select("doc_id", "n", "node", "second")
+    narrow = stored(spark, table.select("doc_id", "n", "node", "second"), "jaccard-narrow")
     sets = stored(spark, narrow.where("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc"), F.min("second").alias("s0"),
                                                                    F.max("second").alias("s1"), F.max("n").alias("n1")), "jaccard-sets")
     if sets.where("s0 <> s1 OR n <> n1").limit(1).count():
@@ -332,25 +335,30 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, *, words: int = 4,
     if x:
         light = table.where((F.col("n") > 0) & (F.col("n") <= x)).select("node", "small").mapInArrow(_subsets(x, percent), "key long, node long")
         lists = lists.unionByName(light)
-    links = (lists.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_lead, "a long, b long").distinct())
-    links = stored(spark, links, "jaccard-candidates")
-    release(spark)
+    links = stored(spark, lists.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_lead, "a long, b long").distinct(),
+                   "jaccard-candidates")
+    del lists
+    release(spark, table)
     families = components(spark, links).select("node", F.col("component").alias("family"))
-    nodes = stored(spark, families.join(sets, "node").select("family", "node", "n", "doc"), "jaccard-families")
+    nodes = stored(spark, _blocked(families.join(sets, "node").select("family", "node", "n", "doc"), block), "jaccard-families")
     # The text of each set: the row of its smallest doc_id whose set this is.
     tagged = (docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-              .join(nodes.select(F.col("doc").alias("id"), "node"), F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "text"))
-    texts = stored(spark, tagged.mapInArrow(_own_text(words), "node long, text binary").dropDuplicates(["node"]), "jaccard-texts")
+              .join(nodes.withColumnRenamed("doc", "id"), F.col("doc_id").eqNullSafe(F.col("id")))
+              .select("node", "text", "family", "n", "blk", "blocks"))
+    texts = stored(spark, tagged.mapInArrow(_own_text(words), "node long, text binary, family long, n long, blk int, blocks int"),
+                   "jaccard-texts")
     release(spark)
-    labels = verified(spark, nodes.select("family", "node", "n"), texts, words, percent, block).select("node", "label")
-    named = stored(spark, narrow.join(labels, "node", "left").select("doc_id", "n", F.coalesce("label", "node").alias("label")), "jaccard-named")
+    labels = verified(spark, texts, words, percent, block)
+    named = stored(spark, narrow.join(labels.distinct(), "node", "left").select("doc_id", "n", F.coalesce("label", "node").alias("label")),
+                   "jaccard-named")
+    release(spark, texts)
     lowest = named.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     linked = named.where("n > 0").join(lowest, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return linked.unionByName(named.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def _own_text(words: int):
-    """Rows (node, text) whose text has the set of the node; a doc_id may stand for several texts."""
+    """Rows (node, text, ...) whose text has the set of the node; a doc_id may stand for several texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
