@@ -76,50 +76,30 @@ def anomalies_per_cluster(top: DataFrame, cluster_cols: Sequence[str]) -> DataFr
     return long.groupBy("method", "cluster").agg(F.count(F.lit(1)).alias("n_anomalies"))
 
 
-def _betacf(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function (modified Lentz)."""
-    tiny, eps = 1e-300, 3e-16
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 10000):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < eps:
-            break
-    return h
-
-
-def reg_incomplete_beta(a: float, b: float, x: float) -> float:
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    ln = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log(1.0 - x)
-    front = math.exp(ln)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1.0 - x) / b
+def t_two_sided_p(t: float, dof: float) -> float:
+    """Two-sided p-value of Student's t.
 
+    With t = sqrt(dof) tan(a) the density becomes cos(x)^(dof - 1): the tail beyond
+    a is integrated panel by panel (in logs, so p may be as small as a double
+    can be) and divided by the integral over the half circle.
+    """
+    import numpy as np
 
-def t_two_sided_p(t: float, dof: float) -> float:
-    """Two-sided p-value of Student's t: I_{dof/(dof+t^2)}(dof/2, 1/2)."""
     if t is None or dof <= 0:
         return float("nan")
-    return reg_incomplete_beta(dof / 2.0, 0.5, dof / (dof + t * t))
+    a, end = math.atan(abs(t) / math.sqrt(dof)), math.pi / 2
+    whole = 0.5 * math.log(math.pi) + math.lgamma(dof / 2) - math.lgamma((dof + 1) / 2) - math.log(2)
+    x, w = np.polynomial.legendre.leggauss(64)
+    top = (dof - 1) * math.log(math.cos(a)) if a < end else 0.0
+    total, width = 0.0, min(end - a, 2 / math.sqrt(dof))
+    while a < end:
+        b = min(end, a + width)
+        points = a + (b - a) * (x + 1) / 2
+        part = float((w * np.exp((dof - 1) * np.log(np.cos(points)) - top)).sum()) * (b - a) / 2
+        total, a = total + part, b
+        if part <= 1e-17 * total:
+            break
+    return min(1.0, math.exp(math.log(total) + top - whole)) if total > 0 else 0.0
 
 
 def point_biserial(df: DataFrame, label: str, score: str) -> DataFrame:

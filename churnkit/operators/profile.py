@@ -20,6 +20,8 @@ from pyspark.sql.types import StringType
 
 from churnkit.operators.quantiles import exact_quantiles
 
+from churnkit.operators.ranking import join_null_safe
+
 
 def _q(c, p, exact: bool = False, accuracy: int = 10000) -> Column:
     """Sketch quantile (bounded memory); exact quantiles go through ``exact_quantiles``."""
@@ -175,11 +177,16 @@ def histogram(df: DataFrame, features: Sequence[str], label: str | None = None,
             continue
         width = (hi - lo) / bins if hi > lo else 1.0
         b = F.least(F.floor((F.col(c).cast("double") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-        parts.append(F.struct(F.lit(c).alias("feature"), b.alias("bin"), F.lit(lo).alias("lo"),
-                              F.lit(width).alias("width")))
+        parts.append(F.struct(F.lit(c).alias("feature"), b.alias("bin")))
     long = df.select(*keys, F.inline(F.array(*parts))).where(F.col("bin").isNotNull())
-    out = long.groupBy("feature", *keys, "bin").agg(F.count(F.lit(1)).alias("n"), F.first("lo").alias("lo"),
-                                                    F.first("width").alias("width"))
+    counts = long.groupBy("feature", *keys, "bin").agg(F.count(F.lit(1)).alias("n"))
+    # every bin of every feature and label, also the empty ones
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(one[f"lo{i}"]).alias("lo"), F.lit(
+        (one[f"hi{i}"] - one[f"lo{i}"]) / bins if one[f"hi{i}"] > one[f"lo{i}"] else 1.0).alias("width"))
+        for i, c in enumerate(features) if one[f"lo{i}"] is not None])
+    groups = df.select(*keys).distinct() if label else df.sparkSession.range(1).select()
+    grid = groups.select(*keys, F.inline(cells)).select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    out = join_null_safe(grid, counts, ["feature", *keys, "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return out.select("feature", *keys, "bin", (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_start"),
                       (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("bin_end"), "n")
 
@@ -237,3 +244,34 @@ def feature_means(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Global mean per feature, long form."""
     one = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)])
     return _long(one, [(c, {"mean": F.col(f"m{i}")}) for i, c in enumerate(features)], "feature")
+
+
+def covariance_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Population covariance of every pair of columns (rows with a NULL are left out), long form.
+
+    Each task reduces its rows to one d x d matrix of sums around the means; the
+    matrices are added up by entry, so d * d rows per task are shuffled.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    cols = list(cols)
+    clean = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    mean = clean.agg(*[F.avg(c) for c in cols]).first()
+    if mean[0] is None:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, covariance double")
+    centre = np.array(list(mean))
+
+    def gram(batches):
+        total, n = np.zeros((len(centre), len(centre))), 0
+        for b in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns]) - centre
+            total += x.T @ x
+            n += len(x)
+        i, j = np.indices(total.shape)
+        yield pa.record_batch([pa.array(i.ravel()), pa.array(j.ravel()), pa.array(total.ravel()), pa.array(np.full(total.size, n))],
+                              ["i", "j", "s", "n"])
+
+    sums = clean.mapInArrow(gram, "i long, j long, s double, n long").groupBy("i", "j").agg((F.sum("s") / F.sum("n")).alias("covariance"))
+    names = F.array(*[F.lit(c) for c in cols])
+    return sums.select(F.get(names, F.col("i").cast("int")).alias("col_a"), F.get(names, F.col("j").cast("int")).alias("col_b"), "covariance")

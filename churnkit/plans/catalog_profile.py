@@ -137,14 +137,16 @@ def _hist_sql():
     parts = []
     for c in HIST_COLS:
         parts.append(
-            f"SELECT '{c}' AS feature, churn, b AS bin, lo + b * w AS bin_start, lo + (b + 1) * w AS bin_end FROM ("
-            f"SELECT churn, lo, w, CAST(least(floor((CAST({c} AS DOUBLE) - lo) / w), 29) AS INTEGER) AS b FROM raw,"
-            f" (SELECT CAST(min({c}) AS DOUBLE) AS lo, CASE WHEN max({c}) > min({c}) THEN"
-            f" (CAST(max({c}) AS DOUBLE) - CAST(min({c}) AS DOUBLE)) / 30 ELSE 1.0 END AS w FROM raw) e"
-            f" WHERE {c} IS NOT NULL)")
-    return with_customers(
-        f", h AS ({union_all(parts)}) SELECT feature, churn, bin, round(min(bin_start), 6) AS bin_start,"
-        " round(min(bin_end), 6) AS bin_end, count(*) AS n FROM h GROUP BY feature, churn, bin")
+            f"SELECT '{c}' AS feature, g.churn, CAST(i AS INTEGER) AS bin, round(lo + i * w, 6) AS bin_start,"
+            f" round(lo + (i + 1) * w, 6) AS bin_end, count(b.b) AS n FROM (SELECT DISTINCT churn FROM raw) g"
+            f" CROSS JOIN e_{c} CROSS JOIN range(0, 30) r(i) LEFT JOIN b_{c} b ON b.churn = g.churn AND b.b = i"
+            f" GROUP BY g.churn, i, lo, w")
+    edges = "".join(
+        f", e_{c} AS (SELECT CAST(min({c}) AS DOUBLE) AS lo, CASE WHEN max({c}) > min({c}) THEN"
+        f" (CAST(max({c}) AS DOUBLE) - CAST(min({c}) AS DOUBLE)) / 30 ELSE 1.0 END AS w FROM raw)"
+        f", b_{c} AS (SELECT churn, CAST(least(floor((CAST({c} AS DOUBLE) - lo) / w), 29) AS INTEGER) AS b FROM raw, e_{c}"
+        f" WHERE {c} IS NOT NULL)" for c in HIST_COLS)
+    return with_customers(f"{edges} {union_all(parts)}")
 
 
 @query("histogram_by_label", _hist_sql())

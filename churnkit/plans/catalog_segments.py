@@ -11,14 +11,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnkit.operators import outliers, segments
+from churnkit.operators import outliers, profile, segments
 from churnkit.plans.catalog import query, r6
 from churnkit.plans.catalog_eval import LR, SCORED_CTE, curated, sql_prob
+from churnkit.plans.catalog_profile import CURATED_FEATURES
 from churnkit.plans.oracle_sql import with_curated
 from churnkit.sources import adapters
 
 NUM = ("tenure", "monthly", "total")
-PROFILE_FEATURES = ("tenure", "monthly", "total", "senior", "dependents", "partner", "paperless")
+PROFILE_FEATURES = CURATED_FEATURES
 SEGMENT_LEVELS = ("segment_AUTOMOBILE", "segment_BUILDING", "segment_FURNITURE", "segment_HOUSEHOLD",
                   "segment_MACHINERY")
 
@@ -198,15 +199,13 @@ def q_cluster_silhouette(spark, d):
     return r6(segments.silhouette_by_cluster(cl, "vec", "cluster"))
 
 
-@query("feature_covariance", with_curated(" UNION ALL ".join(
-    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(covar_pop({a}, {b}), 6) AS covariance FROM curated"
-    for a in NUM for b in NUM)))
+@query("feature_covariance", with_curated(
+    "SELECT s.* FROM (SELECT unnest([" + ", ".join(
+        f"{{'col_a': '{a}', 'col_b': '{b}', 'covariance': round(covar_pop({a}, {b}), 6)}}"
+        for a in CURATED_FEATURES for b in CURATED_FEATURES) + "]) AS s FROM curated)"))
 def q_covariance(spark, d):
-    """C1 input: population covariance matrix of the scaled features (what PCA decomposes)."""
-    cur = curated(spark, d)
-    structs = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.covar_pop(a, b).alias("covariance"))
-               for a in NUM for b in NUM]
-    return r6(cur.agg(F.array(*structs).alias("m")).select(F.inline("m")))
+    """C1 input: population covariance matrix of all model features (what PCA decomposes)."""
+    return r6(profile.covariance_matrix(curated(spark, d), CURATED_FEATURES))
 
 
 # ------------------------------------------------------------------ outliers on a deterministic score
