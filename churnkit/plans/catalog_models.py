@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from churnkit.operators import evaluate, models, outliers, segments
 from churnkit.plans import segmentation, training
 from churnkit.plans.catalog import query, r6
+from churnkit.plans.catalog_eval import SPLIT_SQL
 
 LR_SPEC = models.DEFAULT_MODELS[0]
 
@@ -16,9 +17,8 @@ LR_SPEC = models.DEFAULT_MODELS[0]
 @query("lr_coefficients")
 def q_lr_coefficients(spark, d):
     """M5 + M24 + P20: weighted L2 logistic regression refit on train+val; coefficients and odds ratios."""
-    data, feats = training.model_table(spark, d)
-    m = models.fit(data.where(F.col("split").isin("train", "val")), LR_SPEC, feats, "churn")
-    return r6(models.lr_coefficients(m, feats))
+    loaded, rows = training.load_fitted(spark, d, (LR_SPEC,))
+    return r6(models.lr_coefficients(loaded[LR_SPEC.name], rows[0]["feature_order"]))
 
 
 @query("baseline_lr_report")
@@ -38,27 +38,83 @@ def q_lr_cv(spark, d):
     return r6(auc.withColumn("_k", F.lit(1)).join(f2.withColumn("_k", F.lit(1)), "_k").drop("_k"))
 
 
-def _report(spark, d, spec):
-    data, feats = training.model_table(spark, d)
-    return r6(training.training_report(data, feats, specs=(spec,)))
-
-
 @query("training_report_lr")
 def q_training_lr(spark, d):
-    """Weighted LR — threshold tuned on validation by F2, refit on train+val, test metrics."""
-    return _report(spark, d, models.DEFAULT_MODELS[0])
+    """Weighted LR, cross-validated, threshold tuned on validation by F2, refit on train+val, test metrics."""
+    return r6(training.manifest_table(spark, d, models.DEFAULT_MODELS[:1]))
 
 
 @query("training_report_rf")
 def q_training_rf(spark, d):
-    """Balanced random forest (200 trees) with the same tune/refit/test protocol."""
-    return _report(spark, d, models.DEFAULT_MODELS[1])
+    """Balanced random forest (200 trees) with the same protocol."""
+    return r6(training.manifest_table(spark, d, models.DEFAULT_MODELS[1:2]))
 
 
 @query("training_report_gbt")
 def q_training_gbt(spark, d):
-    """Boosted trees (200 x depth 5, lr 0.1, sampling 0.9, positive-class weight)."""
-    return _report(spark, d, models.DEFAULT_MODELS[2])
+    """Boosted trees (200 x depth 5, lr 0.1, sampling 0.9, positive-class weight)."""
+    return r6(training.manifest_table(spark, d, models.DEFAULT_MODELS[2:]))
+
+
+@query("fitted_model_comparison")
+def q_fitted_comparison(spark, d):
+    """M21 + E7: the three saved models by cross-validated AUC, from their manifests."""
+    return r6(training.manifest_table(spark, d)).orderBy(F.col("cv_auc").desc())
+
+
+@query("fitted_votes")
+def q_fitted_votes(spark, d):
+    """E7 + M19 + M20: all customers scored by the loaded models: probabilities, decisions, votes, consensus."""
+    return r6(training.fitted_scores(spark, d))
+
+
+@query("fitted_risk_ranking")
+def q_fitted_risk(spark, d):
+    """M22 + W1 on fitted, unrounded probabilities of the boosted trees."""
+    name = models.DEFAULT_MODELS[2].name
+    scores = training.fitted_scores(spark, d)
+    t = training.manifest_table(spark, d, models.DEFAULT_MODELS[2:]).first()["threshold"]
+    from churnkit.operators import scoring
+    return r6(scoring.risk_table(scores, f"p_{name}", t, carry=("churn_pred_count", "consensus_label")))
+
+
+FITTED_CHECKS = ("a_vote_for_each_model", "decisions_follow_thresholds", "one_score_per_customer", "out_of_fold_once",
+                 "ranks_count_higher_scores")
+
+
+@query("fitted_checks", " UNION ALL ".join(
+    f"SELECT '{c}' AS check_name, CAST((SELECT count(*) FROM customer) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS violations"
+    for c in FITTED_CHECKS if c != "out_of_fold_once") + " UNION ALL " + SPLIT_SQL.replace("WITH ", "SELECT * FROM (WITH ", 1)
+    + " SELECT 'out_of_fold_once', count(*), CAST(0 AS BIGINT) FROM split WHERE split = 'train') oof")
+def q_fitted_checks(spark, d):
+    """Invariants of the fitted models: rows checked and rows that break them."""
+    scores = training.fitted_scores(spark, d)
+    manifest = training.manifest_table(spark, d).collect()
+    names, key = [r["model"] for r in manifest], "customer_id"
+    wrong = F.lit(False)
+    for r in manifest:
+        wrong = wrong | ((F.col(f"p_{r['model']}") >= r["threshold"]).cast("int") != F.col(f"pred_{r['model']}"))
+    votes = sum((F.col(f"pred_{n}") for n in names[1:]), F.col(f"pred_{names[0]}"))
+    count = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+    one = scores.agg(F.count(F.lit(1)).alias("n"), count(votes != F.col("churn_pred_count")).alias("votes"), count(wrong).alias("wrong"),
+                     (F.count(F.lit(1)) - F.count_distinct(key)).alias("twice")).first()
+    data, feats = training.model_table(spark, d)
+    oof = models.oof_predictions(data.where(F.col("split") == "train"), LR_SPEC, feats, "churn", key)
+    train = data.where(F.col("split") == "train").select(key)
+    folds = oof.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("k")).first()
+    missing = train.join(oof, key, "left_anti").count() + folds["n"] - folds["k"]
+    from churnkit.operators.ranking import min_rank_desc
+    p = f"p_{names[0]}"
+    ranked = min_rank_desc(scores.select(key, p), p)
+    above = ranked.groupBy(p, "rank").count().orderBy(F.col(p).desc()).limit(1000).collect()  # the first ranks, recounted
+    upto, bad = 0, 0
+    for r in above:
+        bad += r["count"] if r["rank"] != upto + 1 else 0
+        upto += r["count"]
+    rows = [("a_vote_for_each_model", one["n"], one["votes"]), ("decisions_follow_thresholds", one["n"], one["wrong"]),
+            ("one_score_per_customer", one["n"], one["twice"]), ("out_of_fold_once", folds["n"], missing),
+            ("ranks_count_higher_scores", ranked.count(), bad)]
+    return spark.createDataFrame(rows, "check_name string, n_rows long, violations long")
 
 
 @query("pca_variance")
@@ -81,11 +137,8 @@ def q_pca_projection(spark, d):
 
 @query("kmeans_k_sweep")
 def q_kmeans_sweep(spark, d):
-    """Silhouette of the best-of-10 k-means for k = 2..10."""
-    from pyspark.ml.functions import array_to_vector
-    proj, _, _ = segmentation.pca_frame(spark, d)
-    vec = proj.withColumn("features", array_to_vector("pca")).persist()
-    return r6(segments.choose_k(vec, "features", "kmeans", range(2, 11)))
+    """Silhouette (squared-Euclidean) of the best-of-10 k-means for k = 2..10."""
+    return r6(segmentation.k_sweep(spark, d, "kmeans"))
 
 
 @query("fitted_clusters")
@@ -94,16 +147,36 @@ def q_fitted_clusters(spark, d):
     return segmentation.fitted_clusters(spark, d).select("customer_id", "Cluster_KMeans", "Cluster_GMM")
 
 
+METHODS = ("Cluster_KMeans", "Cluster_GMM", "Cluster_Density")
+
+
+@query("clustered_layer")
+def q_clustered_layer(spark, d):
+    """E3 + D7: curated features with PCA1/PCA2 and the labels of all clusterings."""
+    return r6(segmentation.clustered_layer(spark, d).drop("pca"))
+
+
 @query("segmentation_comparison")
 def q_segmentation_comparison(spark, d):
-    """C10 + A21/A22: per method the number of clusters and the churn-rate variance across them."""
-    cl = segmentation.fitted_clusters(spark, d).persist()
+    """C10 + A21/A22 + C4/C9: per method the clusters (noise left out), the churn-rate variance and the
+    squared-Euclidean silhouette in all kept components."""
+    cl = segmentation.clustered_layer(spark, d)
     parts = []
-    for m in ("Cluster_KMeans", "Cluster_GMM"):
+    for m in METHODS:
         prof = segments.cluster_profile(cl, m, ["PCA1"], "churn", noise=-1)
-        parts.append(segments.churn_variance(prof).withColumn("method", F.lit(m)))
-    out = parts[0].unionByName(parts[1])
-    return r6(out)
+        parts.append(segments.churn_variance(prof).withColumns({
+            "method": F.lit(m), "silhouette_sq_euclidean": F.lit(segments.silhouette_score(cl, "pca", m, noise=-1)).cast("double")}))
+    return r6(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+@query("fitted_cluster_profile")
+def q_fitted_profile(spark, d):
+    """A21 on the fitted clusterings: size, mean of every feature and churn rate per method and cluster."""
+    from churnkit.plans.catalog_profile import CURATED_FEATURES
+    cl = segmentation.clustered_layer(spark, d)
+    parts = [segments.cluster_profile(cl, m, CURATED_FEATURES, "churn", noise=-1).withColumnRenamed(m, "cluster").withColumn(
+        "method", F.lit(m)) for m in METHODS]
+    return r6(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
 @query("isolation_forest_scores")
@@ -112,6 +185,33 @@ def q_iso(spark, d):
     return r6(segmentation.isolation_scores(spark, d))
 
 
+def _isolation_top(spark, d, k=100):
+    """(all customers with features, labels and anomaly score, the k most anomalous)."""
+    s = segmentation.isolation_scores(spark, d).select("customer_id", F.col("IsoForest_Anomaly_Score").alias("anomaly_score"), "outlier")
+    every = segmentation.clustered_layer(spark, d).join(s, "customer_id")
+    return every, outliers.top_anomalies(every, "anomaly_score", "customer_id", k)
+
+
+@query("isolation_top_anomalies")
+def q_iso_top(spark, d):
+    """O5 on the isolation forest: the 100 most anomalous customers with label and clusters."""
+    return r6(_isolation_top(spark, d)[1].select("customer_id", "anomaly_score", "churn", *METHODS))
+
+
+@query("isolation_feature_profile")
+def q_iso_profile(spark, d):
+    """A26 on the isolation forest: global vs top-100 mean of every feature."""
+    from churnkit.plans.catalog_profile import CURATED_FEATURES
+    every, top = _isolation_top(spark, d)
+    return r6(outliers.anomaly_feature_profile(every, top, CURATED_FEATURES))
+
+
+@query("isolation_per_cluster")
+def q_iso_clusters(spark, d):
+    """A27 on the isolation forest: top anomalies per cluster of each fitted clustering."""
+    return outliers.anomalies_per_cluster(_isolation_top(spark, d)[1], list(METHODS))
+
+
 @query("isolation_point_biserial")
 def q_iso_pb(spark, d):
     """Point-biserial correlation of churn vs isolation score with its two-sided p-value."""
@@ -119,11 +219,32 @@ def q_iso_pb(spark, d):
     return r6(outliers.point_biserial_p(s, "churn", "iso_score"))
 
 
+def _tree_attribution(spark, d, spec):
+    from churnkit.operators import attribution
+    loaded, rows = training.load_fitted(spark, d, (spec,))
+    data, _ = training.model_table(spark, d)
+    feats = list(rows[0]["feature_order"])
+    return attribution.path_attribution(data, loaded[spec.name].stages[-1], feats, "customer_id"), feats
+
+
 def _rf_attribution(spark, d):
+    return _tree_attribution(spark, d, models.DEFAULT_MODELS[1])
+
+
+@query("boosted_global_impact")
+def q_boosted_impact(spark, d):
+    """Mean |contribution| per feature of the boosted trees (margin), over every customer."""
     from churnkit.operators import attribution
-    data, feats = training.model_table(spark, d)
-    m = models.fit(data.where(F.col("split").isin("train", "val")), models.DEFAULT_MODELS[1], feats, "churn")
-    return attribution.path_attribution(data, m.stages[-1], feats, "customer_id"), feats
+    attr, feats = _tree_attribution(spark, d, models.DEFAULT_MODELS[2])
+    return r6(attribution.global_impact(attr, feats))
+
+
+@query("boosted_attribution_sums", "SELECT CAST((SELECT count(*) FROM customer) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS violations")
+def q_boosted_sums(spark, d):
+    """Contributions of the boosted trees add up to prediction - base for every customer."""
+    attr, _ = _tree_attribution(spark, d, models.DEFAULT_MODELS[2])
+    off = F.abs(F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x) - (F.col("prediction") - F.col("base_value"))) > 1e-6
+    return attr.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(off.cast("long")), F.lit(0)).alias("violations"))
 
 
 @query("tree_attribution")
@@ -151,7 +272,7 @@ def q_density_clusters(spark, d):
 @query("density_cluster_summary")
 def q_density_summary(spark, d):
     """C6 + F6 + A21/A22 + D1: clusters counted without noise, churn-rate variance across them."""
-    cl = segmentation.density_clusters(spark, d).persist()
+    cl = segmentation.density_clusters(spark, d)
     prof = segments.cluster_profile(cl, "Cluster_Density", ["PCA1", "PCA2"], "churn", noise=-1)
     noise = cl.agg(F.count(F.when(F.col("Cluster_Density") == -1, 1)).alias("n_noise"))
     vec = cl.withColumn("vec", F.array("PCA1", "PCA2"))

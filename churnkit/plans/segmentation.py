@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from churnkit.operators import outliers, segments
 from churnkit.plans import etl
+from churnkit.plans.training import ROWS_PER_TASK
 from churnkit.session import stored
 from churnkit.sources import adapters
 from churnkit.spec import DEFAULT_SPEC
@@ -24,39 +25,69 @@ def curated_features(spark: SparkSession, sf_dir: str, spec=DEFAULT_SPEC) -> tup
     return mm, [c for c in mm.columns if c not in (spec.key, spec.label)]
 
 
+_WRITTEN: dict[tuple, object] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: tuple, make):
+    """What ``make`` returns, made once per application, source folder and name."""
+    at = (spark.sparkContext.applicationId, sf_dir, *name)
+    if at not in _WRITTEN:
+        _WRITTEN[at] = make()
+    return _WRITTEN[at]
+
+
 def pca_frame(spark: SparkSession, sf_dir: str, target: float = 0.90):
     """PCA to >= target variance; returns (projected frame, k, explained variance)."""
-    mm, feats = curated_features(spark, sf_dir)
-    model, k, ev, means = segments.pca_fit(mm, feats, target)
-    proj = segments.pca_project(mm, feats, model, means, k, keep=["customer_id", "churn"])
-    return proj, k, ev
+    def make():
+        mm, feats = curated_features(spark, sf_dir)
+        model, k, ev, means = segments.pca_fit(mm, feats, target)
+        proj = stored(spark, segments.pca_project(mm, feats, model, means, k, keep=["customer_id", "churn"]), "pca")
+        return proj.coalesce(max(1, proj.count() // ROWS_PER_TASK)), k, ev
+    return _once(spark, sf_dir, ("pca", target), make)
+
+
+def k_sweep(spark: SparkSession, sf_dir: str, method: str, ks=range(2, 11)) -> DataFrame:
+    """Silhouette of each k; ten starts for each k-means fit."""
+    def make():
+        from pyspark.ml.functions import array_to_vector
+        vec = pca_frame(spark, sf_dir)[0].withColumn("features", array_to_vector("pca"))
+        return segments.choose_k(vec, "features", method, ks)
+    return _once(spark, sf_dir, ("sweep", method, tuple(ks)), make)
 
 
 def fitted_clusters(spark: SparkSession, sf_dir: str, k_kmeans: int | None = None, k_gmm: int | None = None,
                     ks=range(2, 11)) -> DataFrame:
     """K chosen by silhouette (first maximum) unless given; adds
     Cluster_KMeans and Cluster_GMM to the PCA-projected customers."""
-    from pyspark.ml.functions import array_to_vector
-    proj, _, _ = pca_frame(spark, sf_dir)
-    vec = proj.withColumn("features", array_to_vector("pca")).persist()
-    if k_kmeans is None:
-        sweep = segments.choose_k(vec, "features", "kmeans", ks).orderBy(F.col("silhouette").desc_nulls_last(), "k")
-        k_kmeans = sweep.first()["k"]
-    if k_gmm is None:
-        sweep = segments.choose_k(vec, "features", "gmm", ks).orderBy(F.col("silhouette").desc_nulls_last(), "k")
-        k_gmm = sweep.first()["k"]
-    km = segments.kmeans_best(vec, "features", k_kmeans)
-    out = km.transform(vec).withColumnRenamed("prediction", "Cluster_KMeans")
-    gm = segments.gmm_fit(vec, "features", k_gmm)
-    out = gm.transform(out).withColumnRenamed("prediction", "Cluster_GMM").drop("probability")
-    return out.drop("features")
+    best = lambda method: k_sweep(spark, sf_dir, method, ks).orderBy(F.col("silhouette").desc_nulls_last(), "k").first()["k"]
+
+    def make():
+        from pyspark.ml.functions import array_to_vector
+        vec = pca_frame(spark, sf_dir)[0].withColumn("features", array_to_vector("pca"))
+        km = segments.kmeans_best(vec, "features", k_kmeans or best("kmeans"))
+        out = km.transform(vec).withColumnRenamed("prediction", "Cluster_KMeans")
+        gm = segments.gmm_fit(vec, "features", k_gmm or best("gmm"))
+        out = gm.transform(out).withColumnRenamed("prediction", "Cluster_GMM").drop("probability", "features")
+        return stored(spark, out, "clusters")
+    return _once(spark, sf_dir, ("clusters", k_kmeans, k_gmm, tuple(ks)), make)
+
+
+def clustered_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curated features with PCA1/PCA2 and all cluster labels, written once."""
+    def make():
+        mm, _ = curated_features(spark, sf_dir)
+        cl = fitted_clusters(spark, sf_dir).select("customer_id", "PCA1", "PCA2", "pca", "Cluster_KMeans", "Cluster_GMM")
+        dens = density_clusters(spark, sf_dir).select("customer_id", "Cluster_Density")
+        return stored(spark, mm.join(cl, "customer_id").join(dens, "customer_id"), "clustered")
+    return _once(spark, sf_dir, ("clustered",), make)
 
 
 def isolation_scores(spark: SparkSession, sf_dir: str, contamination: float = 0.03, n_trees: int = 100) -> DataFrame:
     """O1 + O3: isolation-forest score, anomaly score (> 0 flagged) and label."""
-    mm, feats = curated_features(spark, sf_dir)
-    # Scored once: the label rides along, and the cut and the result read the written scores.
-    scored = stored(spark, outliers.isolation_forest(mm, "customer_id", feats, n_trees=n_trees, keep=["churn"]), "isolation")
+    def make():  # scored once: the label rides along, and the cut and the result read the written scores
+        mm, feats = curated_features(spark, sf_dir)
+        return stored(spark, outliers.isolation_forest(mm, "customer_id", feats, n_trees=n_trees, keep=["churn"]), "isolation")
+    scored = _once(spark, sf_dir, ("isolation", n_trees), make)
     cut = outliers.contamination_cut(scored, "iso_score", contamination)
     return outliers.flag_outliers(scored, "iso_score", cut, "IsoForest_Anomaly_Score", "outlier")
 
@@ -66,8 +97,10 @@ def density_clusters(spark: SparkSession, sf_dir: str, min_points: int = 5, min_
     """C6 (re-aimed): grid density clusters in the PCA1/PCA2 plane; cell side =
     ``cell_fraction`` x the mean standard deviation of the two coordinates."""
     from churnkit.operators.density import grid_density_clusters
-    proj, _, _ = pca_frame(spark, sf_dir)
-    s = proj.agg(F.stddev_samp("PCA1").alias("a"), F.stddev_samp("PCA2").alias("b")).first()
-    cell = cell_fraction * ((s["a"] or 1.0) + (s["b"] or 1.0)) / 2.0
-    return grid_density_clusters(proj, "customer_id", ["PCA1", "PCA2"], cell, min_points, min_cluster_size,
-                                 "Cluster_Density", keep=["churn"])
+    def make():
+        proj, _, _ = pca_frame(spark, sf_dir)
+        s = proj.agg(F.stddev_samp("PCA1").alias("a"), F.stddev_samp("PCA2").alias("b")).first()
+        cell = cell_fraction * ((s["a"] or 1.0) + (s["b"] or 1.0)) / 2.0
+        return stored(spark, grid_density_clusters(proj, "customer_id", ["PCA1", "PCA2"], cell, min_points, min_cluster_size,
+                                                   "Cluster_Density", keep=["churn"]), "density")
+    return _once(spark, sf_dir, ("density", min_points, min_cluster_size, cell_fraction), make)

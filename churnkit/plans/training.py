@@ -1,27 +1,43 @@
 """Lifecycle L2: curated table -> split -> tuned classifiers -> reports.
 
-``model_table`` prepares one persisted frame (features, label, split, fold);
-every fit reads it, so the feature derivation runs once.
+``model_table`` and the fitted models are written to the shared folder once per
+application and source folder; every report reads them from there.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnkit.operators import evaluate, models, split
 from churnkit.plans import etl
+from churnkit.session import scratch_path, stored
 from churnkit.sources import adapters
 from churnkit.spec import DEFAULT_SPEC
 
+#: Rows that a fit gives one task at least: small tables are not cut into empty tasks.
+ROWS_PER_TASK = 20_000
+_TABLES: dict[tuple, tuple[DataFrame, list[str]]] = {}
+_FITTED: dict[tuple, str] = {}
+
+
+def _at(spark: SparkSession, sf_dir: str, *more) -> tuple:
+    return (spark.sparkContext.applicationId, sf_dir, *more)
+
 
 def model_table(spark: SparkSession, sf_dir: str, spec=DEFAULT_SPEC) -> tuple[DataFrame, list[str]]:
-    """Finite-cleaned features (P9), 0/1 label, split and fold (M1/M2), persisted."""
-    cur = etl.curated_from_raw(adapters.raw_customers(spark, sf_dir), spec)
-    mm = etl.model_matrix(cur, spec)
-    feats = [c for c in mm.columns if c not in (spec.key, spec.label)]
-    s = split.stratified_split(mm, spec.label, spec.key)
-    return s.persist(), feats
+    """Finite-cleaned features (P9), 0/1 label, split and fold (M1/M2)."""
+    at = _at(spark, sf_dir, repr(spec))
+    if at not in _TABLES:
+        cur = etl.curated_from_raw(adapters.raw_customers(spark, sf_dir), spec)
+        mm = etl.model_matrix(cur, spec)
+        feats = [c for c in mm.columns if c not in (spec.key, spec.label)]
+        table = stored(spark, split.stratified_split(mm, spec.label, spec.key), "model-table")
+        parts = max(1, table.count() // ROWS_PER_TASK)
+        _TABLES[at] = (table.coalesce(parts) if parts < table.rdd.getNumPartitions() else table, feats)
+    return _TABLES[at]
 
 
 def baseline_report(data: DataFrame, feats, label: str = "churn", key: str = "customer_id") -> DataFrame:
@@ -32,15 +48,40 @@ def baseline_report(data: DataFrame, feats, label: str = "churn", key: str = "cu
     return evaluate.classification_report(p, "p", label, 0.5)
 
 
-def training_report(data: DataFrame, feats, label: str = "churn", key: str = "customer_id", cv: bool = True,
-                    specs=models.DEFAULT_MODELS) -> DataFrame:
-    """Per model the tuned threshold and test metrics (CV AUC when ``cv``)."""
-    trained = models.train_all(data, feats, label, key, specs, cv=cv)
+def fitted_path(spark: SparkSession, sf_dir: str, spec: models.ModelSpec, label: str = "churn", key: str = "customer_id") -> str:
+    """Folder of one model, trained with cross-validation and saved with its manifest."""
+    at = _at(spark, sf_dir, spec.name)
+    if at not in _FITTED:
+        data, feats = model_table(spark, sf_dir)
+        path = scratch_path(spark, "models")
+        models.save_models(models.train_all(data, feats, label, key, (spec,), cv=True), path)
+        _FITTED[at] = path
+    return _FITTED[at]
+
+
+def load_fitted(spark: SparkSession, sf_dir: str, specs=models.DEFAULT_MODELS) -> tuple[dict, list]:
+    """(loaded pipelines by name, manifest rows) of the saved models."""
+    loaded, rows = {}, []
+    for spec in specs:
+        found, manifest = models.load_models(fitted_path(spark, sf_dir, spec))
+        loaded |= found
+        rows += manifest.collect()
+    return loaded, rows
+
+
+def manifest_table(spark: SparkSession, sf_dir: str, specs=models.DEFAULT_MODELS) -> DataFrame:
+    """M9/M11/M18 from the manifests: per model the tuned threshold, CV and test metrics."""
     rows = []
-    for name, tm in trained.items():
-        m = tm.metrics
-        rows.append((name, tm.threshold, m.get("cv_roc_auc"), m.get("test_auc"), m.get("test_precision"),
-                     m.get("test_recall"), m.get("test_f2")))
-    spark = data.sparkSession
-    return spark.createDataFrame(rows, "model string, threshold double, cv_auc double, test_auc double, "
-                                       "test_precision double, test_recall double, test_f2 double")
+    for r in load_fitted(spark, sf_dir, specs)[1]:
+        m = json.loads(r["metrics"])
+        rows.append((r["model"], r["default_threshold"], m["cv_roc_auc"], m["cv_f2_at_05"], m["test_auc"], m["test_precision"],
+                     m["test_recall"], m["test_f2"], len(r["feature_order"])))
+    return spark.createDataFrame(rows, "model string, threshold double, cv_auc double, cv_f2_at_05 double, test_auc double, "
+                                       "test_precision double, test_recall double, test_f2 double, n_features int")
+
+
+def fitted_scores(spark: SparkSession, sf_dir: str, specs=models.DEFAULT_MODELS) -> DataFrame:
+    """Every customer scored by the loaded models, with decisions, votes and consensus."""
+    loaded, rows = load_fitted(spark, sf_dir, specs)
+    data, _ = model_table(spark, sf_dir)
+    return models.score_all(loaded, {r["model"]: r["default_threshold"] for r in rows}, data, "customer_id", "churn")
