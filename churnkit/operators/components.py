@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnkit.session import stored
+from churnkit.session import release, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -30,7 +30,9 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
-        edges = stored(spark, small, "components")
+        last, edges = edges, stored(spark, small, "components")
+        del both, low, large, least, small
+        release(spark, last)  # a round's files go before the next round's come
         now = _state(edges)
         if now == state:
             break

@@ -68,7 +68,21 @@ def stored(spark: SparkSession, df, name: str):
     and what is computed from it twice is computed once."""
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def release(spark: SparkSession, *tables) -> None:
+    """Delete stored tables that nothing reads any more, and let Spark's cleaner drop
+    the shuffle files of finished, unreachable jobs."""
+    import gc
+
+    for t in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.scratch)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 _SHIPPED: set[str] = set()
