@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
 
-from churnkit.session import scratch_path
+from churnkit.session import release, stored
+
+__all__ = ["release", "stored"]
 
 #: The white space of every word contract: ``[\x20\x09-\x0D]``.
 WHITE = " \t\n\x0b\x0c\r"
@@ -25,28 +25,6 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared checkpoint folder and read it back.
-
-    Cuts the lineage there: a lost executor costs a reread, not a recomputation.
-    """
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.scratch = path
-    return out
-
-
-def release(spark: SparkSession, *tables: DataFrame) -> None:
-    """Delete stored tables that nothing reads any more, and let Spark's cleaner drop
-    the shuffle files of finished, unreachable jobs."""
-    for t in tables:
-        path = spark._jvm.org.apache.hadoop.fs.Path(t.scratch)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser."""
     x = x ^ (x >> _S33)

@@ -347,7 +347,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, *, words: int = 4,
               .select("node", "text", "family", "n", "blk", "blocks"))
     texts = stored(spark, tagged.mapInArrow(_own_text(words), "node long, text binary, family long, n long, blk int, blocks int"),
                    "jaccard-texts")
-    release(spark)
+    release(spark, links)
     labels = verified(spark, texts, words, percent, block)
     named = stored(spark, narrow.join(labels.distinct(), "node", "left").select("doc_id", "n", F.coalesce("label", "node").alias("label")),
                    "jaccard-named")
