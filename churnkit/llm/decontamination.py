@@ -10,7 +10,8 @@ value and the other way round.  So a question with other numbers or names is
 caught, and text that only shares the template's wording is not.
 
 An item is found in a document when the consistent alignments cover at least
-``coverage`` of the item's windows.
+``coverage`` of the item's windows, or ``enough`` windows (with the defaults 13
+words in a row), whichever is less.
 
 The benchmark is the smaller side and Spark broadcasts its windows only below its
 size threshold; beyond it both sides are shuffled by window hash.
@@ -38,76 +39,110 @@ UNITS = ("%", "mm", "cm", "m", "km", "inch", "inches", "feet", "foot", "ft", "ya
          "percent", "degree", "degrees", "dollar", "dollars", "cent", "cents", "euro", "euros")
 
 
+#: Between words: everything below U+00C0 but letters, digits and the marks of placeholders, and the blocks of
+#: punctuation above.  Plain ranges: Java tests them without looking up character properties.
+_BETWEEN = "[\\x00-\\x24&-/:;?@\\[-^`{-\\x{A9}\\x{AB}-\\x{B4}\\x{B6}-\\x{B9}\\x{BB}-\\x{BF}\\x{D7}\\x{F7}\\x{2000}-\\x{206F}\\x{3000}-\\x{3003}\\x{3008}-\\x{3020}\\x{FF01}-\\x{FF0F}]+"
+
+
 def canonical(text: Column) -> Column:
-    """Template words with their slot values, one space apart: word, <num=7>, <unit=km>, <name=anna>."""
-    t = F.translate(F.coalesce(text, F.lit("")), "<>=_", "    ")
-    t = F.regexp_replace(t, r"(?<=\p{N})[.,:/](?=\p{N})", "_")
-    t = F.regexp_replace(t, r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{L}*", "<name=$0>")
+    """Template words with their slot values, one space apart: word, <num=7>, <unit=km>, <name=anna>.
+
+    Every pattern begins with the rare character it needs, so most texts are only scanned.
+    """
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), "[<>=_]", " ")
+    t = F.regexp_replace(t, r"[.,:/](?<=\p{N}.)(?=\p{N})", "_")
+    t = F.regexp_replace(t, r" (?<=[\p{L}\p{N},;] )(\p{Lu}\p{L}*)", " <name=$1>")
     t = F.lower(F.regexp_replace(t, r"\p{N}[\p{N}_]*", " <num=$0> "))
     units = "|".join(sorted(UNITS, key=len, reverse=True))
     t = F.regexp_replace(t, rf"(<num=[^>]*>) *({units})(?!\p{{L}})", "$1 <unit=$2>")
-    return F.trim(F.regexp_replace(t, r"[^\p{L}\p{M}\p{N}_=<>%]+", " "))
+    return F.trim(F.regexp_replace(t, _BETWEEN, " "))
+
+
+def template(valued: Column) -> Column:
+    """The words of a canonical text without their values."""
+    return F.split(F.when(F.contains(valued, F.lit("=")), F.regexp_replace(valued, "=[^<>]*>", ">")).otherwise(valued), " ")
 
 
 def windows(df: DataFrame, size: int, *keep: str) -> DataFrame:
-    """Rows (keep, pos, h, slots) of the template windows of ``size`` words of ``valued``; slots are (place, type, value)."""
-    words = F.split(F.regexp_replace("valued", "=[^<>]*>", ">"), " ")
-    arrays = df.select(*keep, words.alias("words"), F.when(F.contains(F.col("valued"), F.lit("=")), F.split("valued", " ")).alias("filled"))
-    n = F.size("words")
+    """Rows (keep, pos, h) of the template windows of ``size`` words of ``valued``."""
+    # Each word is hashed once; a window is the hash of its words' hashes.
+    words = df.select(*keep, F.transform(template(F.col("valued")), lambda w: F.xxhash64(w)).alias("words"))
+    starts = F.sequence(F.lit(1), F.size("words") - size + 1)
+    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice("words", i, size)))
+    return words.where(F.size("words") >= size).select(*keep, F.posexplode(hashes).alias("pos", "h"))
+
+
+def slots(valued: Column, start: Column, size: Column) -> Column:
+    """(place, value) of the placeholders among ``size`` words from ``start`` (0-based)."""
+    marked = F.transform(F.slice(F.split(valued, " "), start + 1, size), lambda w, k: F.struct(k.alias("k"), w.alias("w")))
+    return F.filter(marked, lambda x: F.startswith(x["w"], F.lit("<")))
+
+
+def _same(names: list[str]) -> Column:
+    cond = F.lit(True)
+    for c in names:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return cond
 
-    def window(i: Column) -> Column:
-        values = F.filter(F.transform(F.slice("filled", i + 1, size), lambda w, k: F.struct(k.alias("k"), w.alias("w"))),
-                          lambda x: F.startswith(x["w"], F.lit("<")))
-        return F.struct(i.alias("pos"), F.xxhash64(F.slice("words", i + 1, size)).alias("h"),
-                        F.when(F.col("filled").isNotNull(), values).alias("slots"))
 
-    return (arrays.where(n >= size).select(*keep, F.explode(F.transform(F.sequence(F.lit(0), n - size), window)).alias("w"))
-            .select(*keep, "w.*"))
+def _marked(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"__{c}") if c in names else F.col(c) for c in df.columns])
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *, window: int = 8, shortest: int = 5,
-                 coverage: float = 0.5) -> DataFrame:
+                 coverage: float = 0.5, enough: int = 6) -> DataFrame:
     """doc_id, tkey (hash of the text), item_id, windows, matched, slots, kind of every item found in a document."""
     items = (benchmark.select("item_id", F.xxhash64("text").alias("ikey"), canonical(F.col("text")).alias("valued"))
              .where("valued <> ''").withColumn("n", F.size(F.split("valued", " ")))
              .where(F.col("n") >= shortest).dropDuplicates(["item_id", "ikey"]))
     items = stored(spark, items, "decon-items")
     short = [r["n"] for r in items.where(F.col("n") < window).select("n").distinct().collect()]  # fewer than ``window`` values
-    sizes = [window, *sorted(short)]
     texts = docs.select("doc_id", F.xxhash64("text").alias("tkey"), canonical(F.col("text")).alias("valued"))
     found = None
-    for size in sizes:
+    for size in [window, *sorted(short)]:
         of = items.where(F.col("n") >= window) if size == window else items.where(F.col("n") == size)
-        right = (windows(of, size, "item_id", "ikey").withColumnRenamed("pos", "at").withColumnRenamed("slots", "asked"))
-        total = of.select("item_id", "ikey", (F.col("n") - size + 1).alias("windows"))
-        right = stored(spark, right.join(total, (right["item_id"].eqNullSafe(total["item_id"])) & (right["ikey"] == total["ikey"]))
-                       .select(right["item_id"], right["ikey"], "at", "h", "asked", "windows"), "decon-windows")
-        hits = windows(texts, size, "doc_id", "tkey").join(right, "h")
-        hits = hits.select("doc_id", "tkey", "item_id", "ikey", "windows", "at", (F.col("pos") - F.col("at")).alias("shift"), "slots", "asked")
+        right = windows(of, size, "item_id", "ikey", "valued").select(
+            "item_id", "ikey", "h", F.col("pos").alias("at"), slots(F.col("valued"), F.col("pos"), F.lit(size)).alias("asked"),
+            (F.size(F.split("valued", " ")) - size + 1).alias("windows"), F.lit(size).alias("size"))
+        hits = windows(texts, size, "doc_id", "tkey").join(stored(spark, right, "decon-windows"), "h").drop("h")
         found = hits if found is None else found.unionByName(hits)
-    found = stored(spark, found.distinct(), "decon-hits")
-
+    found = stored(spark, found.distinct().withColumn("shift", F.col("pos") - F.col("at")), "decon-hits")
     by = ["doc_id", "tkey", "item_id", "ikey", "shift"]
-    # Slots of the joined windows: (item value, document value) pairs of each alignment.
-    pairs = (found.where("slots IS NOT NULL AND asked IS NOT NULL").select(*by, F.explode(F.arrays_zip("asked", "slots")).alias("p"))
-             .select(*by, F.col("p.asked.w").alias("a"), F.col("p.slots.w").alias("b")).distinct())
-    per_a = pairs.groupBy(*by, "a").agg(F.count(F.lit(1)).alias("c"), F.min("b").alias("b"))
-    per_b = pairs.groupBy(*by, "b").agg(F.count(F.lit(1)).alias("c"))
-    slots = (per_a.groupBy(*by).agg(F.max("c").alias("ca"), F.count(F.lit(1)).alias("slots"),
-                                    F.sum(F.when(F.col("a") != F.col("b"), 1).otherwise(0)).alias("changed"))
-             .join(per_b.groupBy(*by).agg(F.max("c").alias("cb")).select(*[F.col(c).alias(f"__{c}") for c in by], "cb"),
-                   on=[F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]).drop(*[f"__{c}" for c in by]))
-    slots = slots.select(*[F.col(c).alias(f"__{c}") for c in by], "slots", "changed", ((F.col("ca") == 1) & (F.col("cb") == 1)).alias("consistent"))
-    checked = (found.select(*by, "windows", "at").join(slots, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by], "left")
-               .where(F.coalesce("consistent", F.lit(True))))
+    checked = found
+    if found.where(F.size("asked") > 0).limit(1).count():
+        checked = found.join(_marked(_inconsistent(docs, found, by), by), _same(by), "left").drop(*[f"__{c}" for c in by])
+        checked = checked.where(F.coalesce("consistent", F.lit(True)))
+    else:
+        checked = found.withColumns({"slots": F.lit(0), "changed": F.lit(0)})
     per_item = checked.groupBy("doc_id", "tkey", "item_id", "ikey").agg(
         F.max("windows").cast("long").alias("windows"), F.count_distinct("at").alias("matched"),
         F.coalesce(F.max("slots"), F.lit(0)).cast("long").alias("slots"), F.coalesce(F.min("changed"), F.lit(0)).alias("changed"))
-    return (per_item.where(F.col("matched") >= F.col("windows") * F.lit(coverage))
+    return (per_item.where(F.col("matched") >= F.least(F.col("windows") * F.lit(coverage), F.lit(float(enough))))
             .select("doc_id", "tkey", "item_id", "windows", "matched", "slots",
                     F.when(F.col("changed") > 0, F.lit("reparameterised")).otherwise(F.lit("verbatim")).alias("kind")))
 
 
+def _inconsistent(docs: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
+    """The alignments (by) with slots: how many, how many changed, and whether they are consistent.
+
+    Only documents with a window that has slots are read again.
+    """
+    asked = found.where(F.size("asked") > 0)
+    keys = ["doc_id", "tkey"]
+    some = _marked(asked.select(*keys).distinct(), keys)
+    texts = docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").join(some, _same(keys), "left_semi").dropDuplicates(keys)
+    texts = _marked(texts.select(*keys, canonical(F.col("text")).alias("valued")), keys)
+    pairs = (asked.join(texts, _same(keys)).select(*by, F.explode(F.arrays_zip(
+        F.col("asked"), slots(F.col("valued"), F.col("pos"), F.col("size")).alias("filled"))).alias("p"))
+        .select(*by, F.col("p.asked.w").alias("a"), F.col("p.filled.w").alias("b")).distinct())
+    per_a = pairs.groupBy(*by, "a").agg(F.count(F.lit(1)).alias("c"), F.min("b").alias("b"))
+    per_b = pairs.groupBy(*by, "b").agg(F.count(F.lit(1)).alias("c"))
+    one = per_a.groupBy(*by).agg(F.max("c").alias("ca"), F.count(F.lit(1)).alias("slots"),
+                                 F.sum(F.when(F.col("a") != F.col("b"), 1).otherwise(0)).alias("changed"))
+    two = _marked(per_b.groupBy(*by).agg(F.max("c").alias("cb")), by)
+    return one.join(two, _same(by)).select(*by, "slots", "changed", ((F.col("ca") == 1) & (F.col("cb") == 1)).alias("consistent"))
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that contain a benchmark item; a row is dropped for its own text only."""
     bad = stored(spark, contaminated(spark, docs, benchmark, **options).select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key"))

@@ -32,6 +32,12 @@ def test_slots_must_be_consistent(spark, docs):
     assert set(got) == {(1, 1), (3, 1)}
 
 
+def test_part_of_a_long_item(spark, docs):
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    rows = [(1, "x " + " ".join(words[20:33]) + " y"), (2, "x " + " ".join(words[20:32]) + " y")]
+    assert set(found(spark, docs(rows), [(1, " ".join(words))])) == {(1, 1)}
+
+
 def test_table_against_plain_search(spark, small):
     norm = lambda t: " " + " ".join(re.findall(r"\w+", (t or "").lower())) + " "
     items = [(r["item_id"], norm(r["text"])) for r in small("benchmark")]
