@@ -39,7 +39,8 @@ _Q1, _Q2 = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 _I1, _I2 = pow(_Q1, -1, 1 << 64), pow(_Q2, -1, 1 << 64)
 _LAST = (1 << 63) - 1
 
-_RUN = pa.struct([("seed", pa.int64()), ("block", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("at", pa.int32())])
+#: A block of a document: its windows start at lo .. lo + span for each lo, the seed is at lo + place.
+_BLOCK = [("seed", pa.int64()), ("block", pa.int64()), ("span", pa.int32()), ("place", pa.int32()), ("los", pa.list_(pa.int32()))]
 _SPAN = pa.struct([("lo", pa.int32()), ("hi", pa.int32())])
 
 
@@ -67,12 +68,15 @@ def _argmin(value: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def seed_runs(texts: list[bytes | None], length: int, k: int) -> tuple[np.ndarray, ...]:
-    """(text number, seed, block, lo, hi, at) of each run of windows with one seed; words count from the text's first."""
+def seed_blocks(texts: list[bytes | None], length: int, k: int) -> tuple[np.ndarray, pa.StructArray]:
+    """(text number, block) of each distinct block of the texts; words count from the text's first.
+
+    A block that a text repeats (one word over and over) is one entry with all its places.
+    """
     h, _, _, first, _ = words_of(texts)
-    none = np.zeros(0, np.int64)
+    none = np.zeros(0, np.int64), pa.array([], pa.struct(_BLOCK))
     if len(h) < length:
-        return none, none, none, none, none, none
+        return none
     p1, p2 = _prefix(h, _Q1), _prefix(h, _Q2)
     place = np.arange(len(h) - k + 1)
     gram = _span(p1, _I1, place, place + k)
@@ -81,14 +85,20 @@ def seed_runs(texts: list[bytes | None], length: int, k: int) -> tuple[np.ndarra
     s = np.arange(len(at))
     s = s[owner[s] == owner[s + length - 1]]
     if not len(s):
-        return none, none, none, none, none, none
+        return none
     seed_at = at[s]
     new = np.flatnonzero(np.diff(seed_at, prepend=-1))
     lo, hi, p = s[new], s[np.append(new[1:], len(s)) - 1], seed_at[new]
     own = owner[lo]
-    block = mix(_span(p2, _I2, lo, hi + length) + (p - lo).astype(np.uint64) * np.uint64(_Q1) + (hi - lo).astype(np.uint64))
-    base = first[own]
-    return own, signed(gram[p]), signed(block), lo - base, hi - base, p - base
+    block = signed(mix(_span(p2, _I2, lo, hi + length) + (p - lo).astype(np.uint64) * np.uint64(_Q1) + (hi - lo).astype(np.uint64)))
+    seed = signed(gram[p])
+    order = np.lexsort((lo, block, seed, own))
+    own, seed, block, lo, hi, p = (x[order] for x in (own, seed, block, lo, hi, p))
+    new = np.flatnonzero((np.diff(own, prepend=-1) != 0) | (np.diff(seed, prepend=~seed[:1]) != 0) | (np.diff(block, prepend=~block[:1]) != 0))
+    los = pa.ListArray.from_arrays(pa.array(np.append(new, len(lo)).astype(np.int32)), pa.array((lo - first[own]).astype(np.int32)))
+    columns = [seed[new], block[new], (hi - lo)[new], (p - lo)[new]]
+    return own[new], pa.StructArray.from_arrays(
+        [*(pa.array(c).cast(t) for c, (_, t) in zip(columns, _BLOCK, strict=False)), los], fields=[pa.field(*f) for f in _BLOCK])
 
 
 def _sha(words: list[bytes]) -> str:
@@ -110,56 +120,60 @@ def repeats(spark: SparkSession, docs: DataFrame, *, length: int = 50, k: int =
         for batch in batches:
             texts = batch.column(3).to_pylist()
             for i, j in chunks([len(t or b"") for t in texts], _BYTES):
-                own, *cols = seed_runs(texts[i:j], length, k)
-                types = [f.type for f in _RUN]
-                runs = pa.StructArray.from_arrays([pa.array(c).cast(t) for c, t in zip(cols, types, strict=True)], fields=list(_RUN))
+                own, blocks = seed_blocks(texts[i:j], length, k)
                 offsets = pa.array(np.searchsorted(own, np.arange(j - i + 1)).astype(np.int32))
                 words = [(t or b"").split() for t in texts[i:j]]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c)[i:j] for c in range(3)), pa.array([len(w) for w in words], pa.int64()),
-                     pa.array([_sha(w) for w in words]), pa.ListArray.from_arrays(offsets, runs)],
-                    names=["doc_id", "ord", "tkey", "n_words", "kept_sha256", "runs"])
+                     pa.array([_sha(w) for w in words]), pa.ListArray.from_arrays(offsets, blocks)],
+                    names=["doc_id", "ord", "tkey", "n_words", "kept_sha256", "blocks"])
 
     table = stored(spark, rows.mapInArrow(
         seeds, "doc_id long, ord long, tkey long, n_words long, kept_sha256 string, "
-               "runs array<struct<seed: long, block: long, lo: int, hi: int, at: int>>"), "substring-seeds")
-    occ = table.select("ord", "tkey", F.explode("runs").alias("r")).select("ord", "tkey", "r.*")
+               "blocks array<struct<seed: long, block: long, span: int, place: int, los: array<int>>>"), "substring-seeds")
+    occ = table.select("ord", "tkey", F.explode("blocks").alias("r")).select("ord", "tkey", "r.*")
     shared = stored(spark, occ.groupBy("seed").agg(F.min("ord").alias("o0"), F.max("ord").alias("o1"), F.min("block").alias("b0"),
                                                    F.max("block").alias("b1"))
                     .where("o0 < o1").select("seed", (F.col("b0") < F.col("b1")).alias("several")), "substring-shared")
     release(spark)
     occ = stored(spark, occ.join(shared, "seed"), "substring-occurrences")
-    first = occ.groupBy("seed", "block").agg(F.min("ord").alias("first"))
+    # Written, so that the join reads two plain shuffles and a block that many documents share can be split.
+    first = stored(spark, occ.groupBy("seed", "block").agg(F.min("ord").alias("first")), "substring-first")
     occ = stored(spark, occ.join(first, ["seed", "block"]).withColumn("again", F.col("first") < F.col("ord"))
                  .where("again OR several").drop("several", "first", "block"), "substring-blocks")
     release(spark)
-    whole = occ.where("again").select("ord", "tkey", "lo", (F.col("hi") + length).cast("int").alias("hi"))
+    whole = (occ.where("again").select("ord", "tkey", F.explode("los").alias("lo"), "span")
+             .select("ord", "tkey", "lo", (F.col("lo") + F.col("span") + length).cast("int").alias("hi")))
     open_ = (occ.where("NOT again").groupBy("ord", "tkey")
-             .agg(F.collect_set(F.struct("seed", "lo", "hi", "at")).alias("open")))  # at most a document's own blocks
+             .agg(F.collect_set(F.struct("seed", "span", "place", "los")).alias("open")))  # at most a document's own blocks
     wanted = occ.select("ord", "tkey").distinct()
     texts = stored(spark, rows.select("ord", "tkey", "text").join(wanted, ["ord", "tkey"], "left_semi"), "substring-texts")
     release(spark)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["ord", "tkey", "seed", "place", "window", "lo"]
+        names = ["ord", "tkey", "seed", "place", "window", "los"]
         for batch in batches:
             for order, tkey, text, blocks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 p2 = _prefix(words_of([text])[0], _Q2)
-                lo = np.array([b["lo"] for b in blocks])
-                count = np.array([b["hi"] for b in blocks]) - lo + 1
-                s = np.repeat(lo - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-                seed, at = (np.repeat(np.array([b[x] for b in blocks], np.int64), count) for x in ("seed", "at"))
+                first = np.array([b["los"][0] for b in blocks])
+                count = np.array([b["span"] for b in blocks]) + 1
+                step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                s = np.repeat(first, count) + step
+                seed, place = (np.repeat(np.array([b[x] for b in blocks], np.int64), count) for x in ("seed", "place"))
+                los = pa.array([b["los"] if not j else [x + j for x in b["los"]] for b in blocks for j in range(b["span"] + 1)],
+                               pa.list_(pa.int32()))
                 yield pa.record_batch([pa.array(np.full(len(s), order)), pa.array(np.full(len(s), tkey)), pa.array(seed),
-                                       pa.array((at - s).astype(np.int32)), pa.array(signed(_span(p2, _I2, s, s + length))),
-                                       pa.array(s.astype(np.int32))], names)
+                                       pa.array((place - step).astype(np.int32)), pa.array(signed(_span(p2, _I2, s, s + length))), los], names)
 
     cut = stored(spark, texts.dropDuplicates(["ord", "tkey"]).join(open_, ["ord", "tkey"]).select("ord", "tkey", "text", "open")
-                 .mapInArrow(windows, "ord long, tkey long, seed long, place int, window long, lo int"), "substring-windows")
+                 .mapInArrow(windows, "ord long, tkey long, seed long, place int, window long, los array<int>"), "substring-windows")
     release(spark)
     key = ["seed", "place", "window"]
-    first = cut.groupBy(*key).agg(F.min("ord").alias("first"), F.max("ord").alias("last")).where("first < last").drop("last")
-    single = cut.join(first, key).where("first < ord").select("ord", "tkey", "lo", (F.col("lo") + length).cast("int").alias("hi"))
-    return table.drop("runs"), whole.unionByName(single), texts
+    first = stored(spark, cut.groupBy(*key).agg(F.min("ord").alias("first"), F.max("ord").alias("last")).where("first < last").drop("last"),
+                   "substring-first")
+    single = (cut.join(first, key).where("first < ord").select("ord", "tkey", F.explode("los").alias("lo"))
+              .select("ord", "tkey", "lo", (F.col("lo") + length).cast("int").alias("hi")))
+    return table.drop("blocks"), whole.unionByName(single), texts
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
