@@ -77,12 +77,15 @@ def release(spark: SparkSession, *tables) -> None:
     """Delete stored tables that nothing reads any more, and let Spark's cleaner drop
     the shuffle files of finished, unreachable jobs."""
     import gc
+    import time
 
     for t in tables:
         path = spark._jvm.org.apache.hadoop.fs.Path(t.scratch)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # plans become unreachable in the first collection, their shuffles in the second
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)  # the cleaner works beside the driver's main thread
 
 
 _SHIPPED: set[str] = set()
