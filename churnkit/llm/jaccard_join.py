@@ -53,8 +53,8 @@ _A, _B = np.uint64(0x9FB21C651E98DF25), np.uint64(0xA0761D6478BD642F)
 LIGHT_MOST = 24
 #: A size class ends before CLASS_RATIO times its first size.
 CLASS_RATIO = 1.5
-#: Shingles verified against each other in one task.
-BLOCK = 250_000
+#: Shingles verified against each other in one task (16 MB of hashes); a family of b blocks ships its texts b times at most.
+BLOCK = 2_000_000
 
 
 def needed(n: int, m: int, percent: int) -> int:
