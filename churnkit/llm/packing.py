@@ -14,9 +14,12 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +30,11 @@ from pyspark.sql import functions as F
 from churnkit.llm.common import chunks, mix, stored
 
 _CHARS = 2_000_000
-_CACHED_WORDS = 300_000
-_LOADED: dict[str, tuple] = {}
+_CACHED_WORDS = 1_200_000  # about 180 MB in each Python worker
+#: Type codes of unsigned integers by size.
+_CODE = {2: "H", 4: "I"}
+_TAILS = (b".", b",")
+_LOADED: dict[str, _Words] = {}
 
 
 def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
@@ -67,28 +73,73 @@ def curve_key(counts: np.ndarray, dims: int, bits: int, seed: int) -> np.ndarray
     return hilbert_key(np.minimum((spread * (1 << bits)).astype(np.int64), (1 << bits) - 1), bits)
 
 
-def _tokenizer(path: str):
-    """(tokenizer, id type, ids by word); a word between ASCII white space is tokenised on its own by these vocabularies."""
+@dataclass
+class _Words:
+    """A tokenizer, and for vocabularies that tokenise each word on its own the ids of words met so far."""
+
+    full: object
+    bare: object | None  # the same without normaliser; None: texts are tokenised whole
+    bar: int | None  # the id of a word that is "|" alone, if it is one
+    kind: np.dtype
+    ids: dict[bytes, bytes]
+
+
+def _tokenizer(path: str) -> _Words:
     if path not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        _LOADED[path] = (t, np.dtype("<u2" if t.get_vocab_size() <= 1 << 16 else "<u4"), {})
+        spec = json.loads(t.to_str())
+        steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        first = ((spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+        bare = bar = None
+        # White space never joins two words, and the text is lower-cased: then a word's ids don't depend on its neighbours.
+        if steps == ["NFC", "Replace", "Lowercase"] and first.get("behavior") == "Removed" and not spec["post_processor"]:
+            bare = Tokenizer.from_str(json.dumps(spec | {"normalizer": None}))
+            one = bare.encode("|", add_special_tokens=False).ids
+            bar = one[0] if len(one) == 1 else None
+        _LOADED[path] = _Words(t, bare, bar, np.dtype("<u2" if t.get_vocab_size() <= 1 << 16 else "<u4"), {})
     return _LOADED[path]
 
 
+def _plain(word: str) -> bool:
+    """The normaliser leaves the word as it is: Latin-1 without capitals."""
+    return word.isascii() or (max(word) < "\u0100" and word.lower() == word)
+
+
 def token_bytes(texts: list[str | None], path: str, end: int) -> tuple[list[bytes], np.dtype]:
     """The ids of every text with the end id, as packed integers."""
-    t, kind, cache = _tokenizer(path)
-    words = [(x or "").encode().split() for x in texts]
-    if len(cache) > _CACHED_WORDS:
-        cache.clear()
-    missing = list(set().union(*words) - cache.keys())
-    for w, e in zip(missing, t.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False), strict=True):
-        cache[w] = np.array(e.ids, kind).tobytes()
-    last = np.array([end], kind).tobytes()
-    return [b"".join(map(cache.__getitem__, x)) + last for x in words], kind
+    t = _tokenizer(path)
+    last = np.array([end], t.kind).tobytes()
+    packed = lambda e: array(_CODE[t.kind.itemsize], e.ids).tobytes()
+    if t.bare is None:
+        return [packed(e) + last for e in t.full.encode_batch_fast([x or "" for x in texts], add_special_tokens=False)], t.kind
+    # ASCII capitals are folded at once, but not where they might spell a special token.
+    words = [(x if b"<|" in x else x.lower()).split() for x in ((x or "").encode() for x in texts)]
+    if len(t.ids) > _CACHED_WORDS:
+        t.ids.clear()
+    missing = set().union(*words) - t.ids.keys()
+    # A point or comma after a letter or digit is a token of its own.
+    tailed = {w: w[:-1] for w in missing if w[-1:] in _TAILS and w[-2:-1].isalnum()}
+    needed = {*tailed.values(), *_TAILS}.union(missing.difference(tailed)) - t.ids.keys()
+    plain, rest = [], []
+    for w in needed:
+        (plain if t.bar is not None and b"|" not in w and _plain(w.decode()) else rest).append(w)
+    # Many words in one call, told apart by the bars between them.
+    groups = [plain[i: i + 100] for i in range(0, len(plain), 100)]
+    for some, e in zip(groups, t.bare.encode_batch_fast([b" | ".join(g).decode() for g in groups], add_special_tokens=False), strict=True):
+        ids, at = e.ids, 0
+        for w in some[:-1]:
+            end = ids.index(t.bar, at)
+            t.ids[w] = array(_CODE[t.kind.itemsize], ids[at:end]).tobytes()
+            at = end + 1
+        t.ids[some[-1]] = array(_CODE[t.kind.itemsize], ids[at:]).tobytes()
+    for w, e in zip(rest, t.full.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False), strict=True):
+        t.ids[w] = packed(e)
+    for w, stem in tailed.items():
+        t.ids[w] = t.ids[stem] + t.ids[w[-1:]]
+    return [b"".join(map(t.ids.__getitem__, x)) + last for x in words], t.kind
 
 
 def tokenised(docs: DataFrame, path: str, *, end: int = 2, buckets: int = 256, dims: int = 3, bits: int = 10,
@@ -136,7 +187,7 @@ def pack(spark: SparkSession, docs: DataFrame, path: str, *, length: int = 4096,
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
-        kind = _tokenizer(path)[1]
+        kind = _tokenizer(path).kind
         for batch in batches:
             rows = []
             for doc, n, at, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
