@@ -3,7 +3,8 @@
 Texts become templates: numbers, units after a number and capitalised words
 inside a sentence are replaced by typed placeholders, case and punctuation go.
 Windows of ``window`` template words of the documents are hash-joined with those
-of the benchmark items.  Each matching window carries its slot values; windows
+of the benchmark items; a window with names also with the names as words, so that
+copies in other capitals or other white space match.  Each matching window carries its slot values; windows
 with the same shift between document and item are one alignment, and an alignment
 counts only if its slots are consistent: every item value stands for one document
 value and the other way round.  So a question with other numbers or names is
@@ -39,9 +40,10 @@ UNITS = ("%", "mm", "cm", "m", "km", "inch", "inches", "feet", "foot", "ft", "ya
          "percent", "degree", "degrees", "dollar", "dollars", "cent", "cents", "euro", "euros")
 
 
-#: Between words: everything below U+00C0 but letters, digits and the marks of placeholders, and the blocks of
-#: punctuation above.  Plain ranges: Java tests them without looking up character properties.
-_BETWEEN = "[\\x00-\\x24&-/:;?@\\[-^`{-\\x{A9}\\x{AB}-\\x{B4}\\x{B6}-\\x{B9}\\x{BB}-\\x{BF}\\x{D7}\\x{F7}\\x{2000}-\\x{206F}\\x{3000}-\\x{3003}\\x{3008}-\\x{3020}\\x{FF01}-\\x{FF0F}]+"
+#: Between words: all but letters, marks, digits and the marks of placeholders.  The plain ranges come first: Java
+#: looks up character properties only for what is outside them.
+_BETWEEN = "[^%0-9A-Za-z<>=_\\x{AA}\\x{B5}\\x{BA}\\x{C0}-\\x{D6}\\x{D8}-\\x{F6}\\x{F8}-\\x{24F}\\p{L}\\p{M}\\p{N}]+"
+_UPPER = r"[A-Z[[^\x00-\x7F]&&\p{Lu}]]"
 
 
 def canonical(text: Column) -> Column:
@@ -51,11 +53,17 @@ def canonical(text: Column) -> Column:
     """
     t = F.regexp_replace(F.coalesce(text, F.lit("")), "[<>=_]", " ")
     t = F.regexp_replace(t, r"[.,:/](?<=\p{N}.)(?=\p{N})", "_")
-    t = F.regexp_replace(t, r" (?<=[\p{L}\p{N},;] )(\p{Lu}\p{L}*)", " <name=$1>")
-    t = F.lower(F.regexp_replace(t, r"\p{N}[\p{N}_]*", " <num=$0> "))
+    t = F.regexp_replace(t, rf"{_UPPER}(?<=[\p{{L}}\p{{N}},;][^\p{{L}}\p{{M}}\p{{N}}.!?]{{1,8}}.)\p{{L}}*", "<name=$0>")
+    # Upper case first: lower case alone keeps apart what upper case makes equal (final sigma, sharp s).
+    t = F.lower(F.upper(F.regexp_replace(t, r"\p{N}[\p{N}_]*", " <num=$0> ")))
+    t = F.trim(F.regexp_replace(t, _BETWEEN, " "))
     units = "|".join(sorted(UNITS, key=len, reverse=True))
-    t = F.regexp_replace(t, rf"(<num=[^>]*>) *({units})(?!\p{{L}})", "$1 <unit=$2>")
-    return F.trim(F.regexp_replace(t, _BETWEEN, " "))
+    return F.regexp_replace(t, rf"(<num=[^>]*>) (?:<name=)?({units})>?(?!\S)", "$1 <unit=$2>")
+
+
+def plain(valued: Column) -> Column:
+    """A canonical text with its names as words."""
+    return F.when(F.contains(valued, F.lit("<name=")), F.regexp_replace(valued, "<name=([^>]*)>", "$1")).otherwise(valued)
 
 
 def template(valued: Column) -> Column:
@@ -64,18 +72,25 @@ def template(valued: Column) -> Column:
 
 
 def windows(df: DataFrame, size: int, *keep: str) -> DataFrame:
-    """Rows (keep, pos, h) of the template windows of ``size`` words of ``valued``."""
+    """Rows (keep, pos, h) of the windows of ``size`` words of ``valued``: of the template, and where a window has names
+    also with the names as words, which does not depend on capitals."""
     # Each word is hashed once; a window is the hash of its words' hashes.
-    words = df.select(*keep, F.transform(template(F.col("valued")), lambda w: F.xxhash64(w)).alias("words"))
-    starts = F.sequence(F.lit(1), F.size("words") - size + 1)
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice("words", i, size)))
-    return words.where(F.size("words") >= size).select(*keep, F.posexplode(hashes).alias("pos", "h"))
+    hashed = lambda words: F.transform(words, lambda w: F.xxhash64(w))
+    words = df.select(*keep, hashed(template(F.col("valued"))).alias("typed"), F.when(
+        F.contains("valued", F.lit("<name=")), hashed(template(plain(F.col("valued"))))).alias("folded"))
+    starts = F.sequence(F.lit(1), F.size("typed") - size + 1)
+    of = lambda c: F.transform(starts, lambda i: F.struct((i - 1).alias("pos"), F.xxhash64(F.slice(c, i, size)).alias("h")))
+    named = F.filter(starts, lambda i: F.slice("typed", i, size) != F.slice("folded", i, size))
+    second = F.transform(named, lambda i: F.struct((i - 1).alias("pos"), F.xxhash64(F.slice("folded", i, size)).alias("h")))
+    both = F.when(F.col("folded").isNull(), of("typed")).otherwise(F.concat(of("typed"), second))
+    return words.where(F.size("typed") >= size).select(*keep, F.inline(both))
 
 
 def slots(valued: Column, start: Column, size: Column) -> Column:
-    """(place, value) of the placeholders among ``size`` words from ``start`` (0-based)."""
+    """(place, value) of the placeholders among ``size`` words from ``start`` (0-based); a name's value is its word."""
     marked = F.transform(F.slice(F.split(valued, " "), start + 1, size), lambda w, k: F.struct(k.alias("k"), w.alias("w")))
-    return F.filter(marked, lambda x: F.startswith(x["w"], F.lit("<")))
+    return F.transform(F.filter(marked, lambda x: F.startswith(x["w"], F.lit("<"))),
+                       lambda x: F.struct(x["k"].alias("k"), plain(x["w"]).alias("w")))
 
 
 def _same(names: list[str]) -> Column:
@@ -101,12 +116,16 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *,
     found = None
     for size in [window, *sorted(short)]:
         of = items.where(F.col("n") >= window) if size == window else items.where(F.col("n") == size)
-        right = windows(of, size, "item_id", "ikey", "valued").select(
-            "item_id", "ikey", "h", F.col("pos").alias("at"), slots(F.col("valued"), F.col("pos"), F.lit(size)).alias("asked"),
-            (F.size(F.split("valued", " ")) - size + 1).alias("windows"), F.lit(size).alias("size"))
-        hits = windows(texts, size, "doc_id", "tkey").join(stored(spark, right, "decon-windows"), "h").drop("h")
+        right = windows(of, size, "item_id", "ikey").select("item_id", "ikey", "h", F.col("pos").alias("at"))
+        hits = (windows(texts, size, "doc_id", "tkey").join(stored(spark, right, "decon-windows"), "h").drop("h")
+                .withColumn("size", F.lit(size)))
         found = hits if found is None else found.unionByName(hits)
-    found = stored(spark, found.distinct().withColumn("shift", F.col("pos") - F.col("at")), "decon-hits")
+    # The windows' slots are looked up for matches only, so the joined table stays narrow.
+    ids = ["item_id", "ikey"]
+    found = found.distinct().join(_marked(items.select(*ids, F.col("valued").alias("whole"), "n"), ids), _same(ids)).select(
+        "doc_id", "tkey", *ids, "pos", "at", "size", (F.col("pos") - F.col("at")).alias("shift"),
+        (F.col("n") - F.col("size") + 1).alias("windows"), slots(F.col("whole"), F.col("at"), F.col("size")).alias("asked"))
+    found = stored(spark, found, "decon-hits")
     by = ["doc_id", "tkey", "item_id", "ikey", "shift"]
     checked = found
     if found.where(F.size("asked") > 0).limit(1).count():
@@ -131,10 +150,9 @@ def _inconsistent(docs: DataFrame, found: DataFrame, by: list[str]) -> DataFrame
     keys = ["doc_id", "tkey"]
     some = _marked(asked.select(*keys).distinct(), keys)
     texts = docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").join(some, _same(keys), "left_semi").dropDuplicates(keys)
-    texts = _marked(texts.select(*keys, canonical(F.col("text")).alias("valued")), keys)
-    pairs = (asked.join(texts, _same(keys)).select(*by, F.explode(F.arrays_zip(
-        F.col("asked"), slots(F.col("valued"), F.col("pos"), F.col("size")).alias("filled"))).alias("p"))
-        .select(*by, F.col("p.asked.w").alias("a"), F.col("p.filled.w").alias("b")).distinct())
+    texts = _marked(texts.select(*keys, F.split(plain(canonical(F.col("text"))), " ").alias("words")), keys)
+    pairs = (asked.join(texts, _same(keys)).select(*by, F.explode(F.transform("asked", lambda x: F.struct(
+        x["w"].alias("a"), F.get("words", F.col("pos") + x["k"]).alias("b")))).alias("p")).select(*by, "p.a", "p.b").distinct())
     per_a = pairs.groupBy(*by, "a").agg(F.count(F.lit(1)).alias("c"), F.min("b").alias("b"))
     per_b = pairs.groupBy(*by, "b").agg(F.count(F.lit(1)).alias("c"))
     one = per_a.groupBy(*by).agg(F.max("c").alias("ca"), F.count(F.lit(1)).alias("slots"),

@@ -24,6 +24,14 @@ def test_reparameterised_question(spark, docs):
     assert (4, 7) not in got and got[(2, 7)]["slots"] >= 5
 
 
+def test_copies_in_other_capitals_and_white_space(spark, docs):
+    short = "Paris lies on the river Seine"
+    rows = [(1, ITEM.lower().replace(" ", "\n")), (2, ITEM.upper()), (3, ITEM.replace(" ", "  ")), (4, ITEM.replace(" ", "\u00a0\n")), (5, f"we know that {short} today"),
+            (6, f"WE KNOW. {short.upper()}"), (7, f"so,{short.title()}!")]
+    got = found(spark, docs(rows), [(7, ITEM), (8, short)])
+    assert {k: r["kind"] for k, r in got.items()} == {(i, 7 if i < 5 else 8): "verbatim" for i in range(1, 8)}
+
+
 def test_slots_must_be_consistent(spark, docs):
     item = "Anna gave Bob 5 apples and then Bob gave Anna 5 apples back so Anna has what she had"
     good = "when Carl gave Dora 8 apples and then Dora gave Carl 8 apples back so Carl has what she had"
