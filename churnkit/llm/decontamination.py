@@ -5,12 +5,14 @@ inside a sentence are replaced by typed placeholders, case and punctuation go.
 Windows of ``window`` template words of the documents are hash-joined with those
 of the benchmark items; a window with names also with the names as words, so that
 copies in other capitals or other white space match.  Each matching window carries its slot values; windows
-with the same shift between document and item are one alignment, and an alignment
-counts only if its slots are consistent: every item value stands for one document
-value and the other way round.  So a question with other numbers or names is
-caught, and text that only shares the template's wording is not.
-
-An item is found in a document when the consistent alignments cover at least
+with the same shift between document and item are one alignment, in which every item
+value stands for one document value, the most frequent one.  A window counts if each
+of its slots is unchanged or has that value; different item values may stand for
+equal ones.  So a question with other numbers or names is caught, one inconsistent
+slot drops only the windows that hold it, and text that only shares the template's
+wording is not found.
+
+An item is found in a document when the windows that count are at least
 ``coverage`` of the item's windows, or ``enough`` windows (with the defaults 13
 words in a row), whichever is less.
 
@@ -129,8 +131,8 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *,
     by = ["doc_id", "tkey", "item_id", "ikey", "shift"]
     checked = found
     if found.where(F.size("asked") > 0).limit(1).count():
-        checked = found.join(_marked(_inconsistent(docs, found, by), by), _same(by), "left").drop(*[f"__{c}" for c in by])
-        checked = checked.where(F.coalesce("consistent", F.lit(True)))
+        checked = found.where(F.size("asked") == 0).withColumns({"slots": F.lit(0), "changed": F.lit(None).cast("int")}).unionByName(
+            _consistent(spark, docs, found, by))
     else:
         checked = found.withColumns({"slots": F.lit(0), "changed": F.lit(0)})
     per_item = checked.groupBy("doc_id", "tkey", "item_id", "ikey").agg(
@@ -141,24 +143,26 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *,
                     F.when(F.col("changed") > 0, F.lit("reparameterised")).otherwise(F.lit("verbatim")).alias("kind")))
 
 
-def _inconsistent(docs: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
-    """The alignments (by) with slots: how many, how many changed, and whether they are consistent.
+def _consistent(spark: SparkSession, docs: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
+    """The windows with slots that count, with their alignment's (by) number of item values and of changed ones.
 
-    Only documents with a window that has slots are read again.
+    A slot counts if it is unchanged or has the document value that stands most often for its item value in the
+    alignment (the first place of the item decides ties).  Only documents with a window that has slots are read again.
     """
     asked = found.where(F.size("asked") > 0)
     keys = ["doc_id", "tkey"]
     some = _marked(asked.select(*keys).distinct(), keys)
     texts = docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").join(some, _same(keys), "left_semi").dropDuplicates(keys)
     texts = _marked(texts.select(*keys, F.split(plain(canonical(F.col("text"))), " ").alias("words")), keys)
-    pairs = (asked.join(texts, _same(keys)).select(*by, F.explode(F.transform("asked", lambda x: F.struct(
-        x["w"].alias("a"), F.get("words", F.col("pos") + x["k"]).alias("b")))).alias("p")).select(*by, "p.a", "p.b").distinct())
-    per_a = pairs.groupBy(*by, "a").agg(F.count(F.lit(1)).alias("c"), F.min("b").alias("b"))
-    per_b = pairs.groupBy(*by, "b").agg(F.count(F.lit(1)).alias("c"))
-    one = per_a.groupBy(*by).agg(F.max("c").alias("ca"), F.count(F.lit(1)).alias("slots"),
-                                 F.sum(F.when(F.col("a") != F.col("b"), 1).otherwise(0)).alias("changed"))
-    two = _marked(per_b.groupBy(*by).agg(F.max("c").alias("cb")), by)
-    return one.join(two, _same(by)).select(*by, "slots", "changed", ((F.col("ca") == 1) & (F.col("cb") == 1)).alias("consistent"))
+    filled = stored(spark, asked.join(texts, _same(keys)).select(*found.columns, F.transform("asked", lambda x: F.struct(
+        (F.col("at") + x["k"]).alias("place"), x["w"].alias("a"), F.get("words", F.col("pos") + x["k"]).alias("b"))).alias("pairs")), "decon-slots")
+    pairs = filled.select(*by, F.explode("pairs").alias("p")).select(*by, "p.place", "p.a", "p.b").distinct()
+    times = pairs.groupBy(*by, "a", "b").agg(F.count(F.lit(1)).alias("c"), F.min("place").alias("place"))
+    stands = times.groupBy(*by, "a").agg(F.max_by("b", F.struct("c", -F.col("place"))).alias("b"))
+    one = stands.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("a", "b"))).alias("stands"), F.count(F.lit(1)).cast("int").alias("slots"),
+                                  F.sum(F.when(F.col("a") != F.col("b"), 1).otherwise(0)).cast("int").alias("changed"))
+    counts = F.forall("pairs", lambda p: (p["a"] == p["b"]) | (F.col("stands")[p["a"]] == p["b"]))
+    return filled.join(_marked(one, by), _same(by)).where(counts).select(*found.columns, "slots", "changed")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -40,6 +40,18 @@ def test_slots_must_be_consistent(spark, docs):
     assert set(got) == {(1, 1), (3, 1)}
 
 
+def test_an_inconsistent_slot_drops_only_its_windows(spark, docs):
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(100)]
+    words[10] = words[90] = "1990"
+    long = " ".join(words)
+    sums = "there were 3 red apples and there were 5 green apples in the same old basket"
+    rows = [(1, " ".join([*words[:90], "1991", *words[91:]])), (2, sums.replace("3", "4").replace("5", "4")),
+            (3, long.replace("1990", "1991"))]
+    got = found(spark, docs(rows), [(1, long), (2, sums)])
+    assert {k: r["kind"] for k, r in got.items()} == {(1, 1): "verbatim", (2, 2): "reparameterised", (3, 1): "reparameterised"}
+    assert got[(1, 1)]["matched"] == 93 - 8 and got[(1, 1)]["windows"] == 93
+
+
 def test_part_of_a_long_item(spark, docs):
     words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
     rows = [(1, "x " + " ".join(words[20:33]) + " y"), (2, "x " + " ".join(words[20:32]) + " y")]
