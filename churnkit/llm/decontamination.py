@@ -1,7 +1,10 @@
 """Benchmark decontamination by template canonicalisation (DataFrame functions only).
 
-Texts become templates: numbers, units after a number and capitalised words
-inside a sentence are replaced by typed placeholders, case and punctuation go.
+Texts become templates: numbers in digits or words, units after a number and
+capitalised words are replaced by typed placeholders, case and punctuation go.  A
+capitalised word is a name wherever it stands, at the beginning of a sentence or
+text too, unless it is one of a fixed list of function words: so a word's type
+does not depend on what surrounds it, and an item and its copy get the same types.
 Windows of ``window`` template words of the documents are hash-joined with those
 of the benchmark items; a window with names also with the names as words, so that
 copies in other capitals or other white space match.  Each matching window carries its slot values; windows
@@ -40,6 +43,20 @@ UNITS = ("%", "mm", "cm", "m", "km", "inch", "inches", "feet", "foot", "ft", "ya
          "l", "liter", "liters", "litre", "litres", "gallon", "gallons", "s", "sec", "second", "seconds", "min", "minute",
          "minutes", "h", "hr", "hour", "hours", "day", "days", "week", "weeks", "month", "months", "year", "years", "mph", "kmh",
          "percent", "degree", "degrees", "dollar", "dollars", "cent", "cents", "euro", "euros")
+# Number words; a ten and a one after it are one number.
+TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+ONES = "one two three four five six seven eight nine".split()
+NUMBERS = [*TENS, *ONES, *("zero ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
+                           "hundred thousand million billion dozen").split()]
+# Words that are no names, capitalised or not.
+NO_NAMES = ("a an the this that these those he she it its they them their we us our you your his her him i my me and or but nor so yet if "
+            "when whenever while where wherever who whom whose which what why how that then than thus there here as at by for from in into "
+            "of off on onto out over to up down under with without within about above after before below between during since until "
+            "through against among around because although though unless whether not no yes all any both each every either neither "
+            "some many much more most few fewer less least several other another such only also even just still now today later "
+            "is are was were be been being am do does did done has have had can could should would shall must let given suppose find "
+            "calculate determine solve explain consider assume choose write read answer question note however therefore hence finally "
+            "first next last once again").split()
 
 
 #: Between words: all but letters, marks, digits and the marks of placeholders.  The plain ranges come first: Java
@@ -48,6 +65,12 @@ _BETWEEN = "[^%0-9A-Za-z<>=_\\x{AA}\\x{B5}\\x{BA}\\x{C0}-\\x{D6}\\x{D8}-\\x{F6}\
 _UPPER = r"[A-Z[[^\x00-\x7F]&&\p{Lu}]]"
 
 
+def _choice(words: list[str]) -> str:
+    """A pattern of any of the words, grouped by first letter."""
+    heads = sorted({w[0] for w in words})
+    return "|".join(f"{h}(?:{'|'.join(sorted({w[1:] for w in words if w[0] == h}, reverse=True))})" for h in heads)
+
+
 def canonical(text: Column) -> Column:
     """Template words with their slot values, one space apart: word, <num=7>, <unit=km>, <name=anna>.
 
@@ -55,12 +78,15 @@ def canonical(text: Column) -> Column:
     """
     t = F.regexp_replace(F.coalesce(text, F.lit("")), "[<>=_]", " ")
     t = F.regexp_replace(t, r"[.,:/](?<=\p{N}.)(?=\p{N})", "_")
-    t = F.regexp_replace(t, rf"{_UPPER}(?<=[\p{{L}}\p{{N}},;][^\p{{L}}\p{{M}}\p{{N}}.!?]{{1,8}}.)\p{{L}}*", "<name=$0>")
+    t = F.regexp_replace(t, rf"{_UPPER}(?<![\p{{L}}\p{{M}}\p{{N}}].)\p{{L}}*", "<name=$0>")
     # Upper case first: lower case alone keeps apart what upper case makes equal (final sigma, sharp s).
     t = F.lower(F.upper(F.regexp_replace(t, r"\p{N}[\p{N}_]*", " <num=$0> ")))
     t = F.trim(F.regexp_replace(t, _BETWEEN, " "))
+    t = F.concat(F.lit(" "), t, F.lit(" "))
+    t = F.regexp_replace(t, rf"<name=({_choice([*NO_NAMES, *NUMBERS])})>(?= )", "$1")
+    t = F.regexp_replace(t, rf" (?:({'|'.join(TENS)}) ({'|'.join(ONES)})|({_choice(NUMBERS)}))(?= )", " <num=$1$2$3>")
     units = "|".join(sorted(UNITS, key=len, reverse=True))
-    return F.regexp_replace(t, rf"(<num=[^>]*>) (?:<name=)?({units})>?(?!\S)", "$1 <unit=$2>")
+    return F.trim(F.regexp_replace(t, rf"(<num=[^>]*>) (?:<name=)?({units})>?(?= )", "$1 <unit=$2>"))
 
 
 def plain(valued: Column) -> Column:

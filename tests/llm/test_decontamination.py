@@ -52,6 +52,21 @@ def test_an_inconsistent_slot_drops_only_its_windows(spark, docs):
     assert got[(1, 1)]["matched"] == 93 - 8 and got[(1, 1)]["windows"] == 93
 
 
+def test_short_sentences_that_begin_with_names(spark, docs):
+    clips = "Anna sold 5 clips. Anna kept 3. How many clips did Anna have?"
+    pears = "Tom has three apples and twenty-five pears. Tom eats Five miles from home."
+    rows = [(1, "Maria sold 7 clips. Maria kept 2. How many clips did Maria have?"), (2, "so Maria sold 7 clips. Maria kept 2. How many clips did Maria have?"),
+            (3, "Eva has two apples and 7 pears. Eva eats ten miles from home."), (4, f"Quiz: {clips}"), (5, clips.lower()),
+            (6, "She sold 7 bags and he kept some. How many bags did they have?")]
+    got = found(spark, docs(rows), [(1, clips), (2, pears)])
+    assert {k: r["kind"] for k, r in got.items()} == {
+        (1, 1): "reparameterised", (2, 1): "reparameterised", (3, 2): "reparameterised", (4, 1): "verbatim", (5, 1): "verbatim"}
+    item = "Anna gave Bob 5 apples and then Bob gave Anna 5 apples back so Anna has what she had"
+    good = "Carl gave Dora 8 apples and then Dora gave Carl 8 apples back so Carl has what she had"
+    bad = "Carl gave Dora 8 apples and then Emil gave Fred 9 apples back so Gina has what she had"
+    assert set(found(spark, docs([(1, good), (2, bad)]), [(1, item)])) == {(1, 1)}
+
+
 def test_part_of_a_long_item(spark, docs):
     words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
     rows = [(1, "x " + " ".join(words[20:33]) + " y"), (2, "x " + " ".join(words[20:32]) + " y")]
