@@ -2,7 +2,8 @@
 
 The DOMs of all pages of a host are merged: elements with the same path (tags,
 class names and ids without digits, inline tags left out) are one node.  Two
-kinds of entropy give a node its importance, after the number m of pages it is on:
+kinds of entropy give a node its importance, after the number m of pages it is on
+(equal pages of a host count once):
 
 * presentation: the entropy (base m) of the child sequences it shows; a menu
   that always looks alike has none;
@@ -185,7 +186,9 @@ def host(url: str = "url") -> Column:
 
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each page, node and distinct feature: (host, node, feature, c, c ln c, 1 on the page's first row of the node).
+    """For each page, node and distinct feature: (host, page, node, feature, c, c ln c, 1 on the page's first row of the node).
+
+    ``page`` is a digest of the html: equal pages have equal rows.
 
     Features of text are even, child sequences odd; a node's parent is sent with its first row.
     """
@@ -193,16 +196,17 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for site, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             blocks, elements = parse(page)
+            digest = _long(page or "")
             count = Counter((p, _long(t) & ~1) for p, t, _, _ in blocks)
             count.update((p, _long(">".join(c)) | 1) for p, c in elements)
             seen = set()
             for (path, feature), c in count.items():
-                rows.append((site, _long(path), _long(path.rpartition("/")[0]), feature, c, c * math.log(c), int(path not in seen)))
+                rows.append((site, digest, _long(path), _long(path.rpartition("/")[0]), feature, c, c * math.log(c), int(path not in seen)))
                 seen.add(path)
-        cols = list(zip(*rows, strict=True)) or [[]] * 7
-        types = [pa.string(), *[pa.int64()] * 4, pa.float64(), pa.int64()]
+        cols = list(zip(*rows, strict=True)) or [[]] * 8
+        types = [pa.string(), *[pa.int64()] * 5, pa.float64(), pa.int64()]
         yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
-                              ["host", "node", "parent", "feature", "c", "clnc", "first"])
+                              ["host", "page", "node", "parent", "feature", "c", "clnc", "first"])
 
 
 def _noise(gamma: float, threshold: float):
@@ -241,7 +245,10 @@ def _noise(gamma: float, threshold: float):
 def noise_nodes(spark: SparkSession, pages: DataFrame, *, least_pages: int = 5, gamma: float = 0.9, threshold: float = 0.4) -> DataFrame:
     """host, noise: the nodes of each host's tree that its pages lose."""
     rows = pages.select(host().alias("host"), "html").mapInArrow(
-        _statistics, "host string, node long, parent long, feature long, c long, clnc double, first long")
+        _statistics, "host string, page long, node long, parent long, feature long, c long, clnc double, first long")
+    # A page counts once however often a host has copies of it.
+    rows = rows.groupBy("host", "page", "node", "feature").agg(F.max("c").alias("c"), F.max("clnc").alias("clnc"), F.max("first").alias("first"),
+                                                               F.min("parent").alias("parent"))
     features = rows.groupBy("host", "node", "feature").agg(F.sum("c").alias("c"), F.sum("clnc").alias("clnc"), F.sum("first").alias("first"),
                                                            F.min("parent").alias("parent"))
     text = F.pmod("feature", F.lit(2)) == 0

@@ -50,6 +50,16 @@ def test_site_noise_is_learned(spark):
     assert got[100].startswith("Welcome") and got[100].endswith("All rights")
 
 
+def test_copies_of_a_page_count_once(spark):
+    one = "<article><h1>Title</h1><p>The only story of this site</p></article>"
+    rows = [(i, f"http://copies.example/{i}", one) for i in range(12)]
+    rows += [(100 + i, f"http://mixed.example/{i}", f"<div><p>Story {i}</p></div>") for i in range(20)]
+    rows += [(200 + i, f"http://mixed.example/c{i}", "<div><p>Copied story</p><blockquote>Copied quote</blockquote></div>") for i in range(8)]
+    got = texts(S.extract(spark, pages(spark, rows)))
+    assert all(got[i] == "Title\n\nThe only story of this site" for i in range(12))
+    assert all(got[100 + i] == f"Story {i}" for i in range(20)) and all(got[200 + i] == "Copied story\n\nCopied quote" for i in range(8))
+
+
 def test_named_roles_and_importance(spark):
     rows = [(i, "http://a.example/x", f"<nav>menu {i}</nav><article><p>text {i}</p></article>") for i in range(10)]
     assert texts(S.extract(spark, pages(spark, rows))) == {i: f"text {i}" for i in range(10)}
