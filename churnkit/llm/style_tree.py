@@ -15,9 +15,11 @@ An inner node's importance mixes its presentation and its children's, a node wit
 l children weighing presentation by 1 - gamma**l.  A branch on at least
 ``least_pages`` pages of which no node reaches ``threshold`` is noise, and every
 page of the host loses it.  Elements that the markup itself declares to be no
-content (nav, footer, form, script, class "ad", role "navigation" ...) are noise
-on any host, also one with a single page; where a page has an article or main
-element with text, blocks outside are no part of the article.
+content (nav, footer, form, script, role "navigation" ...) are noise on any host,
+also one with a single page.  Names ("ad", "sidebar" ...) and the article element
+only decide about what the tree has left: a branch with such a class or id goes if
+it holds at most half of that text and no article or main (and some text stays);
+blocks outside article and main go where these hold at least a third of the text.
 
 Statistics are aggregated before and after the shuffle by node; a host's list of
 noise nodes grows with its templates, not with its pages.
@@ -64,6 +66,9 @@ NO_CONTENT_NAMES = frozenset("ad ads advert adverts advertisement advertising sp
                              "breadcrumb breadcrumbs footer header masthead comment comments disqus share sharing social related "
                              "recommended newsletter subscribe subscription login signup search widget pagination pager".split())
 
+#: Blocks outside article and main go where these hold one part in so many of the text.
+ARTICLE_SHARE = 3
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
@@ -74,15 +79,30 @@ def _long(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+class _Branch:
+    """An element whose class or id has one of ``NO_CONTENT_NAMES``; ``outer`` is the next such element around it."""
+
+    __slots__ = ("outer", "article", "size")
+
+    def __init__(self, outer: _Branch | None):
+        self.outer, self.article, self.size = outer, False, 0
+
+    def around(self) -> Iterator[_Branch]:
+        b = self
+        while b:
+            yield b
+            b = b.outer
+
+
 class _Element:
-    __slots__ = ("tag", "path", "dead", "main", "children", "inline")
+    __slots__ = ("tag", "path", "dead", "main", "children", "inline", "named")
 
-    def __init__(self, tag: str, path: str, dead: bool, main: bool, inline: bool = False):
-        self.tag, self.path, self.dead, self.main, self.children, self.inline = tag, path, dead, main, [], inline
+    def __init__(self, tag: str, path: str, dead: bool, main: bool, inline: bool = False, named: _Branch | None = None):
+        self.tag, self.path, self.dead, self.main, self.children, self.inline, self.named = tag, path, dead, main, [], inline, named
 
 
 def _open(parent: _Element, tag: str, rest: str) -> _Element:
-    label, dead = tag, tag in NO_CONTENT
+    label, dead, suspect = tag, tag in NO_CONTENT, False
     if rest:
         names = []
         for key, *values in _ATTRIBUTE.findall(rest):
@@ -96,16 +116,21 @@ def _open(parent: _Element, tag: str, rest: str) -> _Element:
                 dead = True
         if names:
             parts = {x.lower() for n in names for x in _NAME.findall(n)}
-            dead |= bool(parts & NO_CONTENT_NAMES) and tag not in ("html", "body", "main", "article")
-            dead |= tag == "article" and not parts.isdisjoint(("comment", "comments"))
+            suspect = bool(parts & NO_CONTENT_NAMES) and tag not in ("html", "body", "main", "article")
+            suspect |= tag == "article" and not parts.isdisjoint(("comment", "comments"))
             label += "." + ".".join(sorted({re.sub(r"\d+", "", n.lower()) for n in names}))
+    named = _Branch(parent.named) if suspect else parent.named
     if tag in INLINE:  # one that declares itself no content ends the block around it, and its own text is no content
-        return _Element(tag, parent.path, parent.dead or dead, parent.main, parent.dead or not dead)
-    return _Element(tag, f"{parent.path}/{label}", parent.dead or dead, parent.main or tag in ("article", "main"))
+        return _Element(tag, parent.path, parent.dead or dead, parent.main, parent.dead or not (dead or suspect), named)
+    main = tag in ("article", "main") and not suspect
+    if main and named and not (parent.dead or dead):
+        for b in named.around():
+            b.article = True
+    return _Element(tag, f"{parent.path}/{label}", parent.dead or dead, parent.main or main, named=named)
 
 
-def parse(page: str | None) -> tuple[list[tuple[str, str, bool, bool]], list[tuple[str, tuple[str, ...]]]]:
-    """(blocks: path, text, declared no content, in main), (elements: path, tags of its children)."""
+def parse(page: str | None) -> tuple[list[tuple[str, str, bool, bool, _Branch | None]], list[tuple[str, tuple[str, ...]]]]:
+    """(blocks: path, text, declared no content, in main, innermost suspect branch), (elements: path, tags of its children)."""
     text = page or ""
     root = _Element("", "", False, False)
     stack, blocks, elements, pending = [root], [], [], []
@@ -116,7 +141,7 @@ def parse(page: str | None) -> tuple[list[tuple[str, str, bool, bool]], list[tup
             pending.clear()
             if own:
                 e = stack[-1]
-                blocks.append((e.path, own, e.dead, e.main))
+                blocks.append((e.path, own, e.dead, e.main, e.named))
 
     def close(count: int) -> None:
         for _ in range(count):
@@ -197,7 +222,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for site, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             blocks, elements = parse(page)
             digest = _long(page or "")
-            count = Counter((p, _long(t) & ~1) for p, t, _, _ in blocks)
+            count = Counter((p, _long(t) & ~1) for p, t, *_ in blocks)
             count.update((p, _long(">".join(c)) | 1) for p, c in elements)
             seen = set()
             for (path, feature), c in count.items():
@@ -278,10 +303,17 @@ def main_text(page: str | None, noise: set[int]) -> str:
             gone = branches[p] = gone or _long(p) in noise
         return gone
 
-    kept = [(t, main) for p, t, dead, main in blocks if not dead and not (noise and lost(p))]
-    if any(main for _, main in kept):
-        kept = [x for x in kept if x[1]]
-    return "\n\n".join(t for t, _ in kept)
+    kept = [(t, main, named) for p, t, dead, main, named in blocks if not dead and not (noise and lost(p))]
+    whole = sum(len(t) for t, _, _ in kept)
+    for t, _, named in kept:
+        for b in named.around() if named else ():
+            b.size += len(t)
+    # Names take a branch away only if it is a minor part of what the tree left, without an article, and something stays.
+    minor = [x for x in kept if not (x[2] and any(not b.article and 2 * b.size <= whole for b in x[2].around()))]
+    kept = minor or kept
+    if ARTICLE_SHARE * sum(len(t) for t, main, _ in kept if main) >= sum(len(t) for t, _, _ in kept):
+        kept = [x for x in kept if x[1]] or kept
+    return "\n\n".join(t for t, _, _ in kept)
 
 
 def extract(spark: SparkSession, pages: DataFrame, **options) -> DataFrame:

@@ -31,6 +31,18 @@ def test_markup():
     assert text("<p>a</p></div></p><p>b<") == "a\n\nb<"
 
 
+def test_names_do_not_take_the_article():
+    story = "<p>The story has many words and says what happened on that day</p><p>and it goes on</p>"
+    want = "The story has many words and says what happened on that day\n\nand it goes on"
+    for name in ("layout has-sidebar", "search-results", "page-header-fixed", "comment-open"):
+        assert text(f"<div class='{name}'><article>{story}</article><div class=sidebar>more</div></div>") == want
+        assert text(f"<div class='{name}'>{story}<div class=sidebar>more</div></div>") == want
+        assert text(f"<article class='{name}'>{story}</article><div>more</div>").startswith(want)
+        assert text(f"<div><p>short</p><div class='{name}'><article>{story}</article></div></div>") == want
+    assert text(f"<div>{story}</div><article>See also</article>") == f"{want}\n\nSee also"
+    assert text("<div class=widget>a</div><div class=widget>b</div><div class=widget>c</div>") == "a\n\nb\n\nc"
+
+
 def test_long_and_broken():
     assert len(text("<p>" + "word " * 100_000)) == 499_999
     assert text("<div>" * 5000 + "x") == "x"
