@@ -60,6 +60,26 @@ def min_rank_desc(df: DataFrame, score: str, out: str = "rank", by: list[str] |
     return join_null_safe(df, ranks, [*by, score], "left")
 
 
+def rank_violations(ranked: DataFrame, score: str, rank: str = "rank") -> DataFrame:
+    """One row (n_rows, violations) over all rows of a ranked table, by joins of its distinct ranks.
+
+    The highest score has rank 1; any other rank has one score, and the score whose rows end before it is higher.
+    NULL scores have NULL ranks.
+    """
+    groups = stored(ranked.sparkSession, ranked.groupBy(F.col(score).alias("_s"), F.col(rank).cast("long").alias("_r"))
+                    .agg(F.count(F.lit(1)).alias("_n")), "ranks")
+    top = groups.agg(F.max("_s")).first()[0]
+    by_rank = groups.where("_s IS NOT NULL").groupBy(F.col("_r").alias("_at")).agg(F.count(F.lit(1)).alias("_scores"))
+    ends = groups.where("_s IS NOT NULL").groupBy((F.col("_r") + F.col("_n")).alias("_end")).agg(
+        F.count(F.lit(1)).alias("_before"), F.min("_s").alias("_higher"))
+    joined = groups.join(by_rank, groups["_r"] == by_rank["_at"], "left").join(ends, groups["_r"] == ends["_end"], "left")
+    right = (F.col("_scores") == 1) & F.when(F.col("_r") == 1, F.col("_s") == F.lit(top)).otherwise(
+        (F.col("_before") == 1) & (F.col("_higher") > F.col("_s")))
+    right = F.when(F.col("_s").isNull(), F.col("_r").isNull()).otherwise(F.coalesce(right, F.lit(False)))
+    return joined.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
+                      F.coalesce(F.sum(F.when(~right, F.col("_n"))), F.lit(0)).alias("violations"))
+
+
 def top_k(df: DataFrame, score: str, key: str, k: int) -> DataFrame:
     """The k highest scores, ties broken by key (TakeOrderedAndProject:
     each task keeps k rows, the driver merges k x tasks)."""

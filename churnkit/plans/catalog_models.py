@@ -103,17 +103,12 @@ def q_fitted_checks(spark, d):
     train = data.where(F.col("split") == "train").select(key)
     folds = oof.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("k")).first()
     missing = train.join(oof, key, "left_anti").count() + folds["n"] - folds["k"]
-    from churnkit.operators.ranking import min_rank_desc
+    from churnkit.operators.ranking import min_rank_desc, rank_violations
     p = f"p_{names[0]}"
-    ranked = min_rank_desc(scores.select(key, p), p)
-    above = ranked.groupBy(p, "rank").count().orderBy(F.col(p).desc()).limit(1000).collect()  # the first ranks, recounted
-    upto, bad = 0, 0
-    for r in above:
-        bad += r["count"] if r["rank"] != upto + 1 else 0
-        upto += r["count"]
+    ranks = rank_violations(min_rank_desc(scores.select(key, p), p), p).first()
     rows = [("a_vote_for_each_model", one["n"], one["votes"]), ("decisions_follow_thresholds", one["n"], one["wrong"]),
             ("one_score_per_customer", one["n"], one["twice"]), ("out_of_fold_once", folds["n"], missing),
-            ("ranks_count_higher_scores", ranked.count(), bad)]
+            ("ranks_count_higher_scores", ranks["n_rows"], ranks["violations"])]
     return spark.createDataFrame(rows, "check_name string, n_rows long, violations long")
 
 

@@ -69,3 +69,13 @@ def test_unrounded_scores(spark):
     assert len({r["p"] for r in p.collect()}) == 3
     points = evaluate.pr_curve(p, "p", "y", 0.5).collect()
     assert [(r["precision"], r["recall"]) for r in points if r["score"] is not None] == [(1.0, 1.0)]
+
+
+def test_every_rank_is_checked(spark):
+    df = spark.range(6000).select("id", F.when(F.col("id") < 5990, F.floor(F.col("id") / 2).cast("double")).alias("s"))
+    ranked = ranking.min_rank_desc(df, "s")
+    checked = lambda x: tuple(ranking.rank_violations(x, "s").first())
+    assert checked(ranked) == (6000, 0) and checked(ranked.limit(0)) == (0, 0)
+    for low in (F.col("rank") + 1, F.col("rank") - 2, F.lit(None)):
+        n, bad = checked(ranked.withColumn("rank", F.when(F.col("s") == 7.0, low).otherwise(F.col("rank"))))
+        assert n == 6000 and bad >= 2
