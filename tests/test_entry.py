@@ -6,7 +6,7 @@ import math
 import duckdb
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 

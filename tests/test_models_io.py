@@ -8,7 +8,7 @@ from churnkit.operators import models
 from churnkit.plans import training
 from churnkit.sources import layers
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_lr_fit_save_load_and_score(spark):

@@ -3,7 +3,7 @@
 from churnkit.operators import olap
 from churnkit.sources import adapters
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _rows(df, *cols):

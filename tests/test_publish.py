@@ -4,7 +4,7 @@ import tempfile
 
 from churnkit.plans.publish import publish
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_publish_writes_keyed_layers(spark):

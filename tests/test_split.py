@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from churnkit.operators import split
 from churnkit.sources import adapters
 
-from conftest import SF_MID
+from paths import SF_MID
 
 
 def test_split_sizes_exact_and_disjoint(spark):

@@ -7,7 +7,7 @@ from churnkit.plans import etl
 from churnkit.sources import adapters
 from churnkit.streaming import start_scoring_stream
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_stream_matches_batch(spark):
