@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnkit.llm import (decontamination, exact_dedup, jaccard_join, langid, packing, quality, sharding, style_tree,
+from churnkit.llm import (conversation_repair, decontamination, exact_dedup, jaccard_join, langid, packing, quality, sharding, style_tree,
                           substring_dedup, warc)
 from churnkit.session import ship_package
 
@@ -94,6 +94,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.label_languages(spark, table(spark, sf_dir, "documents"))
 
 
+@query("op12_lightest_repair", conversation_repair.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations damaged as their turns' hashes say, and repaired at the least cost."""
+    return conversation_repair.report(spark, table(spark, sf_dir, "conversations"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over all documents."""
