@@ -91,3 +91,12 @@ def chunks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
 def signed(x: np.ndarray) -> np.ndarray:
     """uint64 as the int64 of the same bits (Spark's long)."""
     return x.view(np.int64)
+
+
+# Words of letters and digits: A-Z become a-z, ASCII other than digits and letters separates, all else belongs to words.
+_PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+
+
+def plain_words(text: bytes | None) -> list[bytes]:
+    """Longest runs of ``[0-9A-Za-z]`` and non-ASCII characters of a UTF-8 text, A-Z lower-cased."""
+    return text.translate(_PLAIN).split() if text else []

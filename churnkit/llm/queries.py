@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnkit.llm import (conversation_repair, decontamination, exact_dedup, jaccard_join, langid, packing, quality, sharding, style_tree,
-                          substring_dedup, warc)
+from churnkit.llm import (conversation_repair, decontamination, exact_dedup, jaccard_join, langid, license_scan, packing, quality,
+                          ranked_search, sharding, style_tree, substring_dedup, warc)
 from churnkit.session import ship_package
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -94,12 +94,24 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.label_languages(spark, table(spark, sf_dir, "documents"))
 
 
+@query("op11_nra_search", ranked_search.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best of all documents for every benchmark item."""
+    return ranked_search.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 @query("op12_lightest_repair", conversation_repair.ORACLE)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations damaged as their turns' hashes say, and repaired at the least cost."""
     return conversation_repair.report(spark, table(spark, sf_dir, "conversations"))
 
 
+@query("op13_license_templates", license_scan.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and licence templates in all documents."""
+    return license_scan.report(spark, table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over all documents."""
