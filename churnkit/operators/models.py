@@ -1,7 +1,8 @@
 """Class-weighted classifiers, out-of-fold CV, threshold tuning, refit and
-persistence (M5-M9, M11, M18, M24, E7) on Spark ML.
+persistence (M5-M9, M11, M18, M24, E7).
 
-The estimators are Spark ML's own (distributed fits); this module only
+Logistic regression and the random forest are Spark ML's estimators; boosted trees are
+``operators.boosting``, which fits the folds and both refits together.  This module
 wires weights, folds and evaluation.  Probabilities are not rounded.
 """
 
@@ -12,13 +13,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnkit.operators import evaluate, split
+from churnkit.operators import boosting, evaluate, split
 
 
 @dataclass
@@ -34,15 +35,12 @@ class ModelSpec:
 DEFAULT_MODELS = (
     ModelSpec("LogisticRegression", "lr", {"maxIter": 2000}),
     ModelSpec("RandomForest", "rf", {"numTrees": 200, "maxDepth": 30, "featureSubsetStrategy": "sqrt"}),
-    ModelSpec("BoostedTrees", "gbt", {"maxIter": 200, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.9,
-                                 "featureSubsetStrategy": "0.9"}),
+    ModelSpec("BoostedTrees", "gbt", {"rounds": 200, "depth": 5, "rate": 0.1, "rows": 0.9, "columns": 0.9}),
 )
 
 
 def weighted(df: DataFrame, spec: ModelSpec, label: str) -> DataFrame:
-    """M3 for LR/RF (balanced), M4 for boosting (n_neg / n_pos), recomputed on each fit subset."""
-    if spec.kind == "gbt":
-        return split.pos_weights(df, label, 1)
+    """M3 (balanced) for LR/RF, recomputed on each fit subset; boosting weighs its sets itself (M4)."""
     return split.balanced_weights(df, label)
 
 
@@ -57,10 +55,8 @@ def make_pipeline(spec: ModelSpec, features: Sequence[str], label: str, total_we
         # sklearn C=1: 0.5|w|^2 + C sum(w_i loss_i)  ==  Spark (1/sum w) sum(w_i loss_i) + reg/2 |w|^2
         reg = 1.0 / total_weight if total_weight else 0.0
         est = LogisticRegression(regParam=reg, elasticNetParam=0.0, standardization=False, **p, **common)
-    elif spec.kind == "rf":
-        est = RandomForestClassifier(seed=seed, **p, **common)
     else:
-        est = GBTClassifier(seed=seed, **p, **common)
+        est = RandomForestClassifier(seed=seed, **p, **common)
     return Pipeline(stages=[va, est])
 
 
@@ -70,8 +66,10 @@ def fit(df: DataFrame, spec: ModelSpec, features: Sequence[str], label: str, see
     return make_pipeline(spec, features, label, total, seed).fit(w)
 
 
-def predict_proba(model: PipelineModel, df: DataFrame, keep: Sequence[str], out: str = "p") -> DataFrame:
-    """Positive-class probability next to ``keep`` columns."""
+def predict_proba(model, df: DataFrame, keep: Sequence[str], out: str = "p") -> DataFrame:
+    """Positive-class probability next to ``keep`` columns, of a pipeline or a ``Booster``."""
+    if isinstance(model, boosting.Booster):
+        return boosting.predict(df, {None: model}, keep, out=out)
     scored = model.transform(df.withColumn("weight", F.lit(1.0)))
     return scored.select(*keep, vector_to_array("probability")[1].alias(out))
 
@@ -98,7 +96,7 @@ def cv_metrics(oof: DataFrame, label: str) -> dict:
     return {"cv_roc_auc": auc, "cv_f2_at_05": k["f2"]}
 
 
-def tune_threshold(model: PipelineModel, val: DataFrame, label: str, key: str, steps: int = 200) -> float:
+def tune_threshold(model, val: DataFrame, label: str, key: str, steps: int = 200) -> float:
     """F2-maximising threshold on the validation rows (first maximum)."""
     p = predict_proba(model, val, [key, label])
     best = evaluate.best_threshold(evaluate.threshold_sweep(p, "p", label, steps=steps)).first()
@@ -118,7 +116,7 @@ def lr_coefficients(model: PipelineModel, features: Sequence[str]) -> DataFrame:
 @dataclass
 class TrainedModel:
     spec: ModelSpec
-    model: PipelineModel
+    model: object  # PipelineModel or Booster
     threshold: float
     metrics: dict
     features: list
@@ -135,8 +133,11 @@ def train_all(data: DataFrame, features: Sequence[str], label: str, key: str,
     out = {}
     for spec in specs:
         from churnkit.operators.segments import parallel_map
-        metrics = cv_metrics(oof_predictions(train, spec, features, label, key), label) if cv else {}
-        tune_model, final = parallel_map(lambda d: fit(d, spec, features, label), [train, train_val])
+        if spec.kind == "gbt":
+            metrics, tune_model, final = boosted_fits(data, spec, features, label, key, cv)
+        else:
+            metrics = cv_metrics(oof_predictions(train, spec, features, label, key), label) if cv else {}
+            tune_model, final = parallel_map(lambda d: fit(d, spec, features, label), [train, train_val])
         t = tune_threshold(tune_model, val, label, key)
         p_test = predict_proba(final, test, [key, label])
         k = evaluate.threshold_kpis(p_test, "p", label, t).first()
@@ -146,37 +147,63 @@ def train_all(data: DataFrame, features: Sequence[str], label: str, key: str,
     return out
 
 
+def training_sets(folds: int = 5, cv: bool = True, fold_col: str = "fold") -> dict:
+    """The training sets of the protocol as conditions: a fold left out each (M9), train (M11), train + val."""
+    train = F.col("split") == "train"
+    out = {f"fold{i}": train & (F.col(fold_col) != i) for i in range(folds)} if cv else {}
+    return out | {"tune": train, "final": F.col("split").isin("train", "val")}
+
+
+def boosted_fits(data: DataFrame, spec: ModelSpec, features: Sequence[str], label: str, key: str, cv: bool = True, folds: int = 5):
+    """(cross-validation metrics and losses, model fitted on train, model fitted on train + val): one fit of all sets."""
+    fits = boosting.fit_many(data, features, label, key, training_sets(folds, cv), boosting.BoostParams(**spec.params))
+    metrics = {}
+    if cv:
+        oof = boosting.predict(data.where(F.col("split") == "train"), {i: fits[f"fold{i}"] for i in range(folds)}, [key, label], by="fold")
+        metrics = cv_metrics(oof, label)
+    metrics["losses"] = {name: b.losses for name, b in fits.items()}
+    return metrics, fits["tune"], fits["final"]
+
+
 def save_models(models: dict[str, TrainedModel], out_dir: str) -> DataFrame:
-    """One PipelineModel folder per model plus a manifest table (JSON)."""
+    """One folder per model (pipeline or booster) plus a manifest table (JSON)."""
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     rows = []
     for name, tm in models.items():
         path = f"{out_dir.rstrip('/')}/{name.lower()}"
-        tm.model.write().overwrite().save(path)
-        rows.append((name, path, float(tm.threshold), tm.features, json.dumps(tm.metrics)))
-    manifest = spark.createDataFrame(rows, "model string, path string, default_threshold double, "
+        if isinstance(tm.model, boosting.Booster):
+            tm.model.save(spark, path)
+        else:
+            tm.model.write().overwrite().save(path)
+        rows.append((name, path, tm.spec.kind, float(tm.threshold), tm.features, json.dumps(tm.metrics)))
+    manifest = spark.createDataFrame(rows, "model string, path string, kind string, default_threshold double, "
                                            "feature_order array<string>, metrics string")
     manifest.coalesce(1).write.mode("overwrite").json(f"{out_dir.rstrip('/')}/manifest")
     return manifest
 
 
-def load_models(out_dir: str) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """Manifest table and the fitted pipelines it names."""
+def load_models(out_dir: str) -> tuple[dict, DataFrame]:
+    """Manifest table and the fitted models it names."""
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     manifest = spark.read.json(f"{out_dir.rstrip('/')}/manifest")
-    models = {r["model"]: PipelineModel.load(r["path"]) for r in manifest.select("model", "path").collect()}
+    models = {r["model"]: boosting.Booster.load(spark, r["path"]) if r["kind"] == "gbt" else PipelineModel.load(r["path"])
+              for r in manifest.select("model", "path", "kind").collect()}
     return models, manifest
 
 
-def score_all(models: dict[str, PipelineModel], thresholds: dict, df: DataFrame, key: str, label: str) -> DataFrame:
+def score_all(models: dict, thresholds: dict, df: DataFrame, key: str, label: str) -> DataFrame:
     """M20 with fitted models: p_<m>, pred_<m>, votes and consensus per row
     (chained transforms, no join)."""
     from churnkit.operators.scoring import consensus
     cur = df.withColumn("weight", F.lit(1.0))
     cols = []
     for name, m in models.items():
+        if isinstance(m, boosting.Booster):
+            cur = boosting.predict(cur, {None: m}, cur.columns, out=f"p_{name}")
+            cols.append(f"p_{name}")
+            continue
         cur = m.transform(cur).withColumn(f"p_{name}", vector_to_array("probability")[1]).drop(
             "features", "probability", "rawPrediction", "prediction")
         cols.append(f"p_{name}")

@@ -4,12 +4,19 @@ forest.  Random draws and iterative solvers make these rows-only checks
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
-from churnkit.operators import evaluate, models, outliers, segments
+from churnkit.operators import boosting, evaluate, models, outliers, segments
 from churnkit.plans import segmentation, training
 from churnkit.plans.catalog import query, r6
 from churnkit.plans.catalog_eval import SPLIT_SQL
+from churnkit.plans.catalog_profile import CURATED_FEATURES
+from churnkit.plans.oracle_sql import CURATED_CTE, CUSTOMER_CTE
+
+#: The layers after the customers, as further common table expressions.
+CURATED_ON_CUSTOMERS = CURATED_CTE[len(CUSTOMER_CTE):]
 
 LR_SPEC = models.DEFAULT_MODELS[0]
 
@@ -52,10 +59,50 @@ def q_training_rf(spark, d):
 
 @query("training_report_gbt")
 def q_training_gbt(spark, d):
-    """Boosted trees (200 x depth 5, lr 0.1, sampling 0.9, positive-class weight)."""
+    """Boosted trees (200 x depth 5, lr 0.1, row and column sampling 0.9, positive-class weight)."""
     return r6(training.manifest_table(spark, d, models.DEFAULT_MODELS[2:]))
 
 
+FEATURES_SQL = ("cur AS (SELECT c.* EXCLUDE (churn), c.churn AS y, s.split, s.fold FROM curated c JOIN split s USING (customer_id)),"
+                " long AS (UNPIVOT (SELECT * REPLACE (" + ", ".join(
+                    f"CASE WHEN isfinite({c}::DOUBLE) THEN {c}::DOUBLE ELSE 0 END AS {c}" for c in CURATED_FEATURES) + ") FROM cur)"
+                " ON " + ", ".join(CURATED_FEATURES) + " INTO NAME feature VALUE x)")
+
+
+@query("boosted_first_cuts", SPLIT_SQL + CURATED_ON_CUSTOMERS + ", " + FEATURES_SQL + f"""
+, edge AS (SELECT feature, list_filter(list_sort(list_distinct(quantile_disc(x, {[i / 64 for i in range(1, 64)]}))), lambda e: e < max(x)) AS edges
+           FROM long WHERE split <> 'test' GROUP BY feature),
+coded AS (SELECT l.*, len(list_filter(edges, lambda e: e < x)) AS cut, len(edges) AS last,
+                 ((('0x' || substr(md5(customer_id::VARCHAR), 1, 15))::UBIGINT::HUGEINT * {boosting.round_factor(0)}) % 18446744073709551616) // 17592186044416
+                     < {round(0.9 * 2 ** 20)} AS drawn
+          FROM long l JOIN edge USING (feature) WHERE split <> 'test'),
+sets AS (SELECT 'fold' || i AS set_name, i AS fold_out FROM range(5) t(i) UNION ALL VALUES ('tune', -1), ('final', -2)),
+member AS (SELECT set_name, c.* FROM coded c JOIN sets ON (fold_out = -2 OR split = 'train' AND fold <> fold_out)),
+weight AS (SELECT set_name, sum(1 - y)::DOUBLE / greatest(1, sum(y)) AS w FROM member WHERE feature = 'tenure' GROUP BY 1),
+sums AS (SELECT set_name, feature, cut, last, sum(CASE WHEN y = 1 THEN -0.5 * w ELSE 0.5 END) AS g, sum(CASE WHEN y = 1 THEN 0.25 * w ELSE 0.25 END) AS h
+         FROM member JOIN weight USING (set_name) WHERE drawn GROUP BY ALL),
+bins AS (SELECT set_name, feature, last, edges, unnest(range(last + 1)) AS cut FROM (SELECT DISTINCT set_name, feature, last FROM sums) JOIN edge USING (feature)),
+dense AS (SELECT b.set_name, b.feature, b.last, b.edges, b.cut, coalesce(g, 0) AS g, coalesce(h, 0) AS h FROM bins b
+          LEFT JOIN sums s ON b.set_name = s.set_name AND b.feature = s.feature AND b.cut = s.cut),
+along AS (SELECT *, sum(g) OVER up AS gl, sum(h) OVER up AS hl, sum(g) OVER (PARTITION BY set_name, feature) AS gt,
+                 sum(h) OVER (PARTITION BY set_name, feature) AS ht FROM dense WINDOW up AS (PARTITION BY set_name, feature ORDER BY cut)),
+gains AS (SELECT *, gl * gl / (hl + 1) + (gt - gl) * (gt - gl) / (ht - hl + 1) - gt * gt / (ht + 1) AS gain FROM along
+          WHERE cut < last AND hl >= 1 AND ht - hl >= 1),
+best AS (SELECT *, row_number() OVER (PARTITION BY set_name, feature ORDER BY round(gain, 9) DESC, cut) AS rn FROM gains)
+SELECT set_name, feature, cut::INT AS cut, round(edges[cut + 1], 6) AS threshold, round(gain, 6) AS gain, round(hl, 6) AS cover_left FROM best WHERE rn = 1""")
+def q_boosted_first(spark, d):
+    """M8: quantile bins and every feature's best cut at the root of round 1, for the five folds and both refits."""
+    data, feats = training.model_table(spark, d)
+    return r6(boosting.first_cuts(data, feats, "churn", "customer_id", models.training_sets()))
+
+
+@query("boosted_loss_curve")
+def q_boosted_losses(spark, d):
+    """M8/M9: weighted log-loss of the boosted trees before every round and at the end, per training set."""
+    rows = json.loads(training.load_fitted(spark, d, models.DEFAULT_MODELS[2:])[1][0]["metrics"])["losses"]
+    return r6(spark.createDataFrame([(s, i, x) for s, xs in rows.items() for i, x in enumerate(xs)], "set_name string, round int, loss double"), 9)
+
+
 @query("fitted_model_comparison")
 def q_fitted_comparison(spark, d):
     """M21 + E7: the three saved models by cross-validated AUC, from their manifests."""
@@ -219,7 +266,8 @@ def _tree_attribution(spark, d, spec):
     loaded, rows = training.load_fitted(spark, d, (spec,))
     data, _ = training.model_table(spark, d)
     feats = list(rows[0]["feature_order"])
-    return attribution.path_attribution(data, loaded[spec.name].stages[-1], feats, "customer_id"), feats
+    model = loaded[spec.name]
+    return attribution.path_attribution(data, getattr(model, "stages", [model])[-1], feats, "customer_id"), feats
 
 
 def _rf_attribution(spark, d):

@@ -60,10 +60,13 @@ def fitted_path(spark: SparkSession, sf_dir: str, spec: models.ModelSpec, label:
 
 
 def load_fitted(spark: SparkSession, sf_dir: str, specs=models.DEFAULT_MODELS) -> tuple[dict, list]:
-    """(loaded pipelines by name, manifest rows) of the saved models."""
+    """(loaded models by name, manifest rows) of the saved models; those not fitted yet are fitted as concurrent jobs."""
+    from churnkit.operators.segments import parallel_map
+
     loaded, rows = {}, []
-    for spec in specs:
-        found, manifest = models.load_models(fitted_path(spark, sf_dir, spec))
+    model_table(spark, sf_dir)
+    for path in parallel_map(lambda spec: fitted_path(spark, sf_dir, spec), list(specs)):
+        found, manifest = models.load_models(path)
         loaded |= found
         rows += manifest.collect()
     return loaded, rows
