@@ -271,7 +271,7 @@ def q_service_count(spark, d):
 
 
 PARTS = ("churnkit.plans.catalog_profile", "churnkit.plans.catalog_eval", "churnkit.plans.catalog_segments",
-         "churnkit.plans.catalog_models", "churnkit.plans.catalog_io")
+         "churnkit.plans.catalog_models", "churnkit.plans.catalog_neighbours", "churnkit.plans.catalog_io")
 
 
 def _load() -> None:
