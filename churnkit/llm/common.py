@@ -100,3 +100,13 @@ _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
 def plain_words(text: bytes | None) -> list[bytes]:
     """Longest runs of ``[0-9A-Za-z]`` and non-ASCII characters of a UTF-8 text, A-Z lower-cased."""
     return text.translate(_PLAIN).split() if text else []
+
+
+def free_names(df, n: int) -> list[str]:
+    """``n`` column names that ``df`` does not have, whatever their case."""
+    taken, out, i = {c.lower() for c in df.columns}, [], 0
+    while len(out) < n:
+        if f"_free{i}" not in taken:
+            out.append(f"_free{i}")
+        i += 1
+    return out

@@ -7,7 +7,9 @@ text too, unless it is one of a fixed list of function words: so a word's type
 does not depend on what surrounds it, and an item and its copy get the same types.
 Windows of ``window`` template words of the documents are hash-joined with those
 of the benchmark items; a window with names also with the names as words, so that
-copies in other capitals or other white space match.  Each matching window carries its slot values; windows
+copies in other capitals or other white space match.  A window of an item is evidence only
+if at least half of its words are literal (no placeholders) and two literal words stand
+side by side: lists of names, numbers or prices are no evidence for each other.  Windows
 with the same shift between document and item are one alignment, in which every item
 value stands for one document value, the most frequent one.  A window counts if each
 of its slots is unchanged or has that value; different item values may stand for
@@ -16,16 +18,22 @@ slot drops only the windows that hold it, and text that only shares the template
 wording is not found.
 
 An item is found in a document when the windows that count are at least
-``coverage`` of the item's windows, or ``enough`` windows (with the defaults 13
-words in a row), whichever is less.
+``coverage`` of the item's evidence, or ``enough`` windows (with the defaults 13
+words in a row), whichever is less.  An item without evidence (fewer than ``shortest``
+words, or too few literal ones) is found where it is a whole line of a document, case, white
+space and punctuation aside.
 
-The benchmark is the smaller side and Spark broadcasts its windows only below its
-size threshold; beyond it both sides are shuffled by window hash.
+Most texts are never turned into templates.  Every window that is evidence has an anchor: of its
+pairs of adjacent literal words the longest.  A document with a matching window has the anchor's words
+side by side, whatever its values are, so the pairs of adjacent words of all texts are joined with the
+anchors first, and only documents with an anchor are canonicalised, once for all sizes.
+
+The benchmark is the smaller side and Spark broadcasts its anchors and windows only below its
+size threshold; beyond it both sides are shuffled by hash.
 
 Defined cases: null texts and texts without words match nothing; an item with
-fewer than ``window`` words (but one at least) has the whole item as its only
-window, if it has ``shortest`` words or more, else it is too short to be evidence
-and matches nothing; benchmark rows that repeat an item_id are one item each text;
+fewer than ``window`` words but ``shortest`` or more has the whole item as its only
+window; benchmark rows that repeat an item_id are one item each text;
 rows with null ids keep them; documents that repeat are reported once for each
 (doc_id, text); empty tables give no rows; other columns are ignored.
 """
@@ -35,7 +43,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import stored
+from churnkit.llm.common import free_names, stored
 
 # Unit words replaced after a number.
 UNITS = ("%", "mm", "cm", "m", "km", "inch", "inches", "feet", "foot", "ft", "yard", "yards", "mile", "miles", "mg", "g", "kg",
@@ -65,6 +73,10 @@ _BETWEEN = "[^%0-9A-Za-z<>=_\\x{AA}\\x{B5}\\x{BA}\\x{C0}-\\x{D6}\\x{D8}-\\x{F6}\
 _UPPER = r"[A-Z[[^\x00-\x7F]&&\p{Lu}]]"
 
 
+#: Between letters: the same without digits and marks.
+_NO_LETTERS = _BETWEEN.replace("%0-9", "").replace("<>=_", "").replace("\\p{N}", "")
+
+
 def _choice(words: list[str]) -> str:
     """A pattern of any of the words, grouped by first letter."""
     heads = sorted({w[0] for w in words})
@@ -132,55 +144,107 @@ def _marked(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(c).alias(f"__{c}") if c in names else F.col(c) for c in df.columns])
 
 
+def folded(text: Column) -> Column:
+    """Upper case first: lower case alone keeps apart what upper case makes equal (final sigma, sharp s)."""
+    return F.lower(F.upper(F.coalesce(text, F.lit(""))))
+
+
+def evidence(items: DataFrame, size: int) -> DataFrame:
+    """item_id, ikey, at, h, pair of the windows of ``size`` words that are evidence; pair hashes the anchor, n is its length."""
+    words = items.select("item_id", "ikey", F.explode(F.array(template(F.col("valued")), template(plain(F.col("valued"))))).alias("ws")).distinct()
+    cut = words.where(F.size("ws") >= size).select("item_id", "ikey", F.transform("ws", lambda w: F.xxhash64(w)).alias("hs"), "ws",
+                                                   F.explode(F.sequence(F.lit(1), F.size("ws") - size + 1)).alias("i"))
+    cut = cut.select("item_id", "ikey", (F.col("i") - 1).alias("at"), F.xxhash64(F.slice("hs", F.col("i"), size)).alias("h"),
+                     F.slice("ws", F.col("i"), size).alias("ws"))
+    literal = lambda w: ~(F.startswith(w, F.lit("<")) | F.contains(w, F.lit("%")))
+    pairs = F.filter(F.zip_with(F.slice("ws", 1, size - 1), F.slice("ws", 2, size - 1), lambda a, b: F.when(
+        literal(a) & literal(b), F.struct((F.length(a) + F.length(b)).alias("n"), a.alias("a"), b.alias("b")))), lambda x: x.isNotNull()) \
+        if size > 1 else F.array().cast("array<struct<n:int,a:string,b:string>>")
+    cut = cut.withColumns({"literals": F.size(F.filter("ws", literal)), "best": F.array_max(pairs)})
+    return cut.where((2 * F.col("literals") >= size) & F.col("best").isNotNull()).select(
+        "item_id", "ikey", "at", "h", F.xxhash64("best.a", "best.b").alias("pair"), F.col("best.n").alias("n"))
+
+
+def with_anchors(spark: SparkSession, docs: DataFrame, anchors: DataFrame) -> DataFrame:
+    """doc_id, tkey, valued of the documents in which the words of an anchor (pair, n) stand side by side."""
+    least = anchors.agg(F.min("n")).first()[0]
+    if least is None:
+        return docs.select("doc_id", F.xxhash64("text").alias("tkey"), F.col("text").alias("valued")).where("false")
+    words = docs.select("doc_id", "text", F.split(folded(F.col("text")), _NO_LETTERS).alias("ws"))
+    pairs = F.zip_with("ws", F.slice("ws", 2, F.size("ws")), lambda a, b: F.when(F.length(a) + F.length(b) >= least, F.xxhash64(a, b)))
+    held = (words.select("doc_id", F.xxhash64("text").alias("tkey"), F.explode(F.filter(pairs, lambda h: h.isNotNull())).alias("pair"))
+            .join(anchors.select("pair").distinct(), "pair", "left_semi").select("doc_id", "tkey").distinct())
+    keys = ["doc_id", "tkey"]
+    some = _marked(stored(spark, held, "decon-some"), keys)  # written, so that its size is known
+    return (docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").join(some, _same(keys), "left_semi").dropDuplicates(keys)
+            .select(*keys, canonical(F.col("text")).alias("valued")))
+
+
+def whole_lines(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """doc_id, tkey, item_id, ikey of the documents that have an item's text as a line, up to case, white space and punctuation."""
+    bare = lambda c: F.trim(F.regexp_replace(folded(c), _BETWEEN.replace("<>=_", ""), " "))
+    wanted = items.select("item_id", "ikey", bare(F.col("text")).alias("line")).where("line <> ''")
+    lines = docs.select("doc_id", F.xxhash64("text").alias("tkey"), F.explode(F.split(F.coalesce("text", F.lit("")), "[\n\r]+")).alias("line"))
+    return lines.withColumn("line", bare(F.col("line"))).join(wanted, "line").select("doc_id", "tkey", "item_id", "ikey").distinct()
+
+
 def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *, window: int = 8, shortest: int = 5,
                  coverage: float = 0.5, enough: int = 6) -> DataFrame:
-    """doc_id, tkey (hash of the text), item_id, windows, matched, slots, kind of every item found in a document."""
-    items = (benchmark.select("item_id", F.xxhash64("text").alias("ikey"), canonical(F.col("text")).alias("valued"))
-             .where("valued <> ''").withColumn("n", F.size(F.split("valued", " ")))
-             .where(F.col("n") >= shortest).dropDuplicates(["item_id", "ikey"]))
+    """doc_id, tkey (hash of the text), item_id, windows (the item's evidence), matched, slots, kind of every item found in a document."""
+    items = (benchmark.select("item_id", "text", F.xxhash64("text").alias("ikey"), canonical(F.col("text")).alias("valued"))
+             .where("valued <> ''").withColumn("n", F.size(F.split("valued", " "))).dropDuplicates(["item_id", "ikey"]))
     items = stored(spark, items, "decon-items")
-    short = [r["n"] for r in items.where(F.col("n") < window).select("n").distinct().collect()]  # fewer than ``window`` values
-    texts = docs.select("doc_id", F.xxhash64("text").alias("tkey"), canonical(F.col("text")).alias("valued"))
-    found = None
-    for size in [window, *sorted(short)]:
+    sizes = [window, *sorted(r["n"] for r in items.where((F.col("n") >= shortest) & (F.col("n") < window)).select("n").distinct().collect())]
+    known = None
+    for size in sizes:  # at most ``window`` sizes
         of = items.where(F.col("n") >= window) if size == window else items.where(F.col("n") == size)
-        right = windows(of, size, "item_id", "ikey").select("item_id", "ikey", "h", F.col("pos").alias("at"))
-        hits = (windows(texts, size, "doc_id", "tkey").join(stored(spark, right, "decon-windows"), "h").drop("h")
-                .withColumn("size", F.lit(size)))
+        part = evidence(of, size).withColumn("size", F.lit(size))
+        known = part if known is None else known.unionByName(part)
+    known = stored(spark, known, "decon-windows")
+    ids = ["item_id", "ikey"]
+    total = known.groupBy(*ids).agg(F.count_distinct("at").alias("windows"))
+    bare = items.join(_marked(total.select(*ids), ids), _same(ids), "left_anti")
+    texts = stored(spark, with_anchors(spark, docs, known.select("pair", "n")), "decon-texts")
+    found = None
+    for size in sizes:
+        right = known.where(F.col("size") == size).select(*ids, "h", "at").distinct()
+        hits = windows(texts, size, "doc_id", "tkey").distinct().join(right, "h").drop("h").withColumn("size", F.lit(size))
         found = hits if found is None else found.unionByName(hits)
     # The windows' slots are looked up for matches only, so the joined table stays narrow.
-    ids = ["item_id", "ikey"]
-    found = found.distinct().join(_marked(items.select(*ids, F.col("valued").alias("whole"), "n"), ids), _same(ids)).select(
+    found = found.distinct().join(_marked(items.select(*ids, F.col("valued").alias("whole")), ids), _same(ids)).select(
         "doc_id", "tkey", *ids, "pos", "at", "size", (F.col("pos") - F.col("at")).alias("shift"),
-        (F.col("n") - F.col("size") + 1).alias("windows"), slots(F.col("whole"), F.col("at"), F.col("size")).alias("asked"))
+        slots(F.col("whole"), F.col("at"), F.col("size")).alias("asked"))
     found = stored(spark, found, "decon-hits")
     by = ["doc_id", "tkey", "item_id", "ikey", "shift"]
-    checked = found
     if found.where(F.size("asked") > 0).limit(1).count():
         checked = found.where(F.size("asked") == 0).withColumns({"slots": F.lit(0), "changed": F.lit(None).cast("int")}).unionByName(
-            _consistent(spark, docs, found, by))
+            _consistent(spark, texts, found, by))
     else:
         checked = found.withColumns({"slots": F.lit(0), "changed": F.lit(0)})
-    per_item = checked.groupBy("doc_id", "tkey", "item_id", "ikey").agg(
-        F.max("windows").cast("long").alias("windows"), F.count_distinct("at").alias("matched"),
-        F.coalesce(F.max("slots"), F.lit(0)).cast("long").alias("slots"), F.coalesce(F.min("changed"), F.lit(0)).alias("changed"))
-    return (per_item.where(F.col("matched") >= F.least(F.col("windows") * F.lit(coverage), F.lit(float(enough))))
-            .select("doc_id", "tkey", "item_id", "windows", "matched", "slots",
-                    F.when(F.col("changed") > 0, F.lit("reparameterised")).otherwise(F.lit("verbatim")).alias("kind")))
-
-
-def _consistent(spark: SparkSession, docs: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
+    per_item = checked.groupBy("doc_id", "tkey", *ids).agg(
+        F.count_distinct("at").alias("matched"), F.coalesce(F.max("slots"), F.lit(0)).cast("long").alias("slots"),
+        F.coalesce(F.min("changed"), F.lit(0)).alias("changed"))
+    per_item = per_item.join(_marked(total, ids), _same(ids)).drop(*[f"__{c}" for c in ids])
+    enough_ = F.col("matched") >= F.least(F.col("windows") * F.lit(coverage), F.lit(float(enough)))
+    out = per_item.where(enough_).select("doc_id", "tkey", "item_id", "windows", "matched", "slots", F.when(
+        F.col("changed") > 0, F.lit("reparameterised")).otherwise(F.lit("verbatim")).alias("kind"))
+    if bare.limit(1).count():
+        one = F.lit(1).cast("long")
+        out = out.unionByName(whole_lines(docs, bare).select("doc_id", "tkey", "item_id", one.alias("windows"), one.alias("matched"),
+                                                             F.lit(0).cast("long").alias("slots"), F.lit("verbatim").alias("kind")))
+    return out
+
+
+def _consistent(spark: SparkSession, texts: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
     """The windows with slots that count, with their alignment's (by) number of item values and of changed ones.
 
     A slot counts if it is unchanged or has the document value that stands most often for its item value in the
-    alignment (the first place of the item decides ties).  Only documents with a window that has slots are read again.
+    alignment (the first place of the item decides ties).  ``texts`` has the canonical documents.
     """
     asked = found.where(F.size("asked") > 0)
     keys = ["doc_id", "tkey"]
-    some = _marked(asked.select(*keys).distinct(), keys)
-    texts = docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").join(some, _same(keys), "left_semi").dropDuplicates(keys)
-    texts = _marked(texts.select(*keys, F.split(plain(canonical(F.col("text"))), " ").alias("words")), keys)
-    filled = stored(spark, asked.join(texts, _same(keys)).select(*found.columns, F.transform("asked", lambda x: F.struct(
+    words = _marked(texts.select(*keys, F.split(plain(F.col("valued")), " ").alias("words")), keys)
+    filled = stored(spark, asked.join(words, _same(keys)).select(*found.columns, F.transform("asked", lambda x: F.struct(
         (F.col("at") + x["k"]).alias("place"), x["w"].alias("a"), F.get("words", F.col("pos") + x["k"]).alias("b"))).alias("pairs")), "decon-slots")
     pairs = filled.select(*by, F.explode("pairs").alias("p")).select(*by, "p.place", "p.a", "p.b").distinct()
     times = pairs.groupBy(*by, "a", "b").agg(F.count(F.lit(1)).alias("c"), F.min("place").alias("place"))
@@ -193,6 +257,7 @@ def _consistent(spark: SparkSession, docs: DataFrame, found: DataFrame, by: list
 
 def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that contain a benchmark item; a row is dropped for its own text only."""
-    bad = stored(spark, contaminated(spark, docs, benchmark, **options).select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key"))
+    a, b = free_names(docs, 2)
+    bad = stored(spark, contaminated(spark, docs, benchmark, **options).select(F.col("doc_id").alias(a), F.col("tkey").alias(b))
                  .distinct(), "decon-found")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left_anti")
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(a)) & (F.xxhash64("text") == F.col(b)), "left_anti")

@@ -86,13 +86,89 @@ def test_edges(spark, docs, clashing):
     rows = [(1, None), (2, ""), (3, "Now five words are just enough!"), (4, "too short"), (None, ITEM), (6, "x " * 60_000 + ITEM), (6, "x " * 60_000 + ITEM),
             (8, "an item without any id that is long enough to search"), (9, "five words are")]
     got = found(spark, docs(rows), items)
-    assert set(got) == {(3, 3), (None, 5), (6, 5), (8, None)}
+    assert set(got) == {(3, 3), (4, 4), (None, 5), (6, 5), (8, None)}
     assert found(spark, docs([]), items) == {} and found(spark, docs(rows), []) == {}
     bench = spark.createDataFrame([(5, ITEM)], "item_id long, text string")
     kept = D.decontaminate(spark, clashing([(1, ITEM), (1, "clean"), (2, "clean"), (None, ITEM)]), bench)
     assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, "clean"), (2, "clean")] and "a b" in kept.columns
 
 
+def test_lists_of_names_and_numbers_are_no_evidence(spark, docs):
+    authors = "Anna Bell, Carl Dunn, Emma Frost, Gina Hall, Ivan Jones, Karl Lang, Mona Nash, Olga Pratt and Quentin Reed"
+    primes = " ".join(str(n) for n in (2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37) * 5)
+    rows = [(1, "RED CARS DRIVE FAST ALONG WIDE OPEN ROADS WHILE BLUE BIRDS FLY HIGH ABOVE GREEN HILLS EVERY SINGLE DAY"),
+            (2, "Present: Tom Wood, Una Voss, Will York, Zoe Adams, Ben Clark, Dora Evans, Fred Green, Hans Irving"),
+            (3, " ".join(map(str, range(11, 80)))), (4, " ".join(map(str, range(3000)))), (5, f"They are {authors}."), (6, f"here\n{primes}\nthere"),
+            (7, f"some {primes} more")]
+    got = found(spark, docs(rows), [(1, authors), (2, primes), (3, "Name the capital")])
+    assert set(got) == {(5, 1), (6, 2)}
+    assert set(found(spark, docs([(1, "x\n NAME  the, capital!\r\ny"), (2, "so name the capital now")]), [(3, "Name the capital")])) == {(1, 3)}
+
+
+def brute(rows, items, window=8, shortest=5, coverage=0.5, enough=6):
+    """The definition in plain Python, on the canonical texts."""
+    out = set()
+    for doc, dv in rows:
+        for item, iv in items:
+            iw = iv.split(" ")
+            if len(iw) < shortest:
+                continue
+            size, kinds = min(window, len(iw)), (lambda w: re.sub("=[^<>]*>", ">", w), lambda w: re.sub("=[^<>]*>", ">", re.sub("<name=([^>]*)>", r"\1", w)))
+            value = lambda w: re.sub("<name=([^>]*)>", r"\1", w)
+            dw, evidence, hits = dv.split(" "), set(), {}
+            for kind in kinds:
+                it, dt = [kind(w) for w in iw], [kind(w) for w in dw]
+                for at in range(len(it) - size + 1):
+                    lit = [not w.startswith("<") and "%" not in w for w in it[at:at + size]]
+                    if 2 * sum(lit) < size or not any(a and b for a, b in zip(lit, lit[1:])):
+                        continue
+                    evidence.add(at)
+                    for pos in range(len(dt) - size + 1):
+                        if dt[pos:pos + size] == it[at:at + size]:
+                            hits.setdefault(pos - at, set()).add((pos, at))
+            matched = set()
+            for shift, found_ in hits.items():
+                pairs = {(at + k, value(iw[at + k]), value(dw[pos + k])) for pos, at in found_ for k in range(size) if iw[at + k].startswith("<")}
+                votes = {}
+                for place, a, b in pairs:
+                    c, p = votes.setdefault(a, {}).get(b, (0, 10**9))
+                    votes[a][b] = (c + 1, min(p, place))
+                stands = {a: max(v, key=lambda b: (v[b][0], -v[b][1])) for a, v in votes.items()}  # noqa: B023
+                for pos, at in found_:
+                    own = [(value(iw[at + k]), value(dw[pos + k])) for k in range(size) if iw[at + k].startswith("<")]
+                    if all(a == b or stands[a] == b for a, b in own):
+                        matched.add(at)
+            if matched and len(matched) >= min(len(evidence) * coverage, enough):
+                out.add((doc, item))
+    return out
+
+
+def test_reparameterised_items_against_plain_python(spark, docs):
+    import random
+
+    r = random.Random(4)
+    names, plainwords = ["Anna", "Bob", "Carl", "Dora", "Emil"], ["gives", "apples", "to", "the", "old", "market", "and", "sells", "each", "basket", "for", "then", "walks"]
+    def text(n):  # noqa: E306
+        return [r.choice(names) if r.random() < 0.15 else str(r.randrange(1, 9)) if r.random() < 0.15 else r.choice(plainwords) for _ in range(n)]
+    items = [(i, text(r.randrange(5, 30))) for i in range(12)]
+    rows = []
+    for i in range(80):
+        item = list(r.choice(items)[1])
+        new = {w: r.choice(names) if w in names else str(r.randrange(1, 9)) for w in item if w in names or w.isdigit()}
+        changed = [new.get(w, w) if r.random() < 0.9 else r.choice(plainwords + names) if r.random() < 0.5 else w for w in item]
+        rows.append((i, " ".join(text(4) + changed[r.randrange(4):] + text(3))))
+    items = [(i, " ".join(ws)) for i, ws in items]
+    canon = lambda pairs: [(x[0], x[1]) for x in spark.createDataFrame(pairs, "k long, t string").select("k", D.canonical(F.col("t"))).collect()]
+    want = brute(canon(rows), canon(items))
+    assert set(found(spark, docs(rows), items)) == want and len(want) > 15
+
+
+def test_column_clashes(spark):
+    df = spark.createDataFrame([(1, ITEM, "a", "b", 1), (2, "clean", "a", "b", 2)], "doc_id long, text string, __id string, _free0 string, __key long")
+    kept = D.decontaminate(spark, df, spark.createDataFrame([(5, ITEM)], "item_id long, text string"))
+    assert [tuple(r) for r in kept.collect()] == [(2, "clean", "a", "b", 2)]
+
+
 def test_no_python_in_plan(spark, docs):
     bench = spark.createDataFrame([(5, ITEM)], "item_id long, text string")
     plan = D.contaminated(spark, spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), bench)._jdf.queryExecution().executedPlan().toString()
