@@ -8,11 +8,13 @@ Light sets (at most ``x`` shingles) enumerate their subsets of the fixed sizes
 c(n, m) over all light partner sizes m: linked light sets have a subset in
 common, by definition.
 
-Heavy sets scan inverted lists.  Linked sets differ in at most n + m - 2c
-shingles, so of K > n + m - 2c parts, dealt by shingle hash, some part with
-shingles is equal in both; a list holds the sets with one equal part.  Listing
-parts rather than single shingles keeps a frequent shingle or a common passage
-from putting unrelated documents into one list.  K follows the size class; a set
+Heavy sets scan inverted lists.  Linked sets differ in at most D = n + m - 2c
+shingles, so of K parts, dealt by shingle hash, at least K - D are equal in both; a
+list holds the sets with one equal part.  Listing parts rather than single shingles keeps
+a frequent shingle from putting unrelated documents into one list.  K is about 1.5 D, and a set is scanned
+only in its D + 1 shortest lists: two sets that share K - D lists share one of those, since all sets
+order the lists alike.  So the lists of parts that lie wholly in a common passage are not scanned, unless the
+passage makes up most of a document.  K follows the size class; a set
 also enters the next class's lists where a larger partner may be there.  Light
 sets that can link with a heavy one enter the lists too.
 
@@ -43,11 +45,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from churnkit.llm.common import chunks, mix, release, signed, stored, words_of
-from churnkit.llm.graph import components
+from churnkit.llm.common import chunks, free_names, mix, release, signed, stored, words_of
+from churnkit.operators.components import components
 
 _BYTES = 2_000_000
+#: Sets that a task remembers as listed, about.
+_SEEN = 500_000
 _A, _B = np.uint64(0x9FB21C651E98DF25), np.uint64(0xA0761D6478BD642F)
 #: Sizes whose subsets are ever counted out; the boundary lies at or below it.
 LIGHT_MOST = 24
@@ -79,7 +84,7 @@ def parts_of(beyond: int, percent: int) -> tuple[int, int]:
     """(differences at most, parts) for pairs whose larger set has a size below ``beyond``."""
     largest = 2 * (beyond - 1)  # the sum of both sizes; over 64 sums the rounding of needed() cannot hide the growth
     differ = max(t - 2 * needed(t, 0, percent) for t in range(max(2, largest - 64), largest + 1))
-    return differ, differ + 1 + max(1, differ // 8)
+    return differ, differ + 1 + max(1, differ // 2)
 
 
 def shingle_sets(texts: list[bytes | None], words: int) -> list[np.ndarray]:
@@ -104,13 +109,13 @@ def shingle_sets(texts: list[bytes | None], words: int) -> list[np.ndarray]:
     return out
 
 
-def list_keys(s: np.ndarray, spaces: list[tuple[int, int, int]]) -> np.ndarray:
-    """Keys of the inverted lists of a set: for each (class, differences, parts) its parts with shingles.
+def list_keys(s: np.ndarray, spaces: list[tuple[int, int, int]]) -> list[tuple[np.ndarray, int]]:
+    """Per space (class, differences, parts): the keys of a set's inverted lists, one for each part with shingles, and
+    how many of the longest lists it need not be scanned in.
 
-    Empty parts are listed only when so many are empty that an equal one might be.
+    Linked sets have ``parts - differences`` equal parts, as many less the empty ones with shingles, so all but the longest
+    that many minus one lists suffice.  Empty parts are listed only when so many are empty that an equal one might be.
     """
-    if not len(spaces):
-        return np.zeros(0, np.uint64)
     total = np.zeros(len(s) + 1, np.uint64)
     np.cumsum(mix(s ^ _B), out=total[1:])
     out = []
@@ -119,8 +124,9 @@ def list_keys(s: np.ndarray, spaces: list[tuple[int, int, int]]) -> np.ndarray:
         at = np.concatenate([[0], np.searchsorted(s, cuts), [len(s)]])
         size = np.diff(at)
         key = mix(total[at[1:]] - total[at[:-1]] + np.arange(parts, dtype=np.uint64) * _A + np.uint64(number))
-        out.append(key if np.count_nonzero(size == 0) >= parts - differ else key[size > 0])
-    return np.concatenate(out)
+        equal = parts - differ - np.count_nonzero(size == 0)
+        out.append((key, 0) if equal <= 0 else (key[size > 0], int(equal) - 1))
+    return out
 
 
 def spaces_of(n: int, firsts: list[int], percent: int, table: dict[int, tuple[int, int]]) -> list[tuple[int, int, int]]:
@@ -137,11 +143,16 @@ def spaces_of(n: int, firsts: list[int], percent: int, table: dict[int, tuple[in
 
 
 def postings(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, node and second (the set's two hashes), keys (inverted lists) and small (shingles of small sets)."""
+    """doc_id, n, node and second (the set's two hashes), keys (inverted lists: ``own`` of the set's class, then of the
+    next), spare and spare2 (lists to leave out of each) and small (shingles of small sets).
+
+    A set that occurs again among the rows of a task has no keys there.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: dict[int, tuple[int, int]] = {}
         firsts = [1, 2]
+        seen: set[int] = set()
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for i, j in chunks([len(t or b"") for t in texts], _BYTES):
@@ -149,18 +160,42 @@ def postings(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 most = max(map(len, sets))
                 if firsts[-2] <= most * 2:
                     firsts = size_classes(most * 4)
-                keys = [list_keys(s, spaces_of(len(s), firsts, percent, table)) if len(s) else s for s in sets]
                 node = np.array([np.bitwise_xor.reduce(mix(s + _A)) if len(s) else 0 for s in sets], np.uint64)
                 second = np.array([mix(s ^ _A).sum() if len(s) else 0 for s in sets], np.uint64)
+                if len(seen) > _SEEN:
+                    seen.clear()
+                new = []
+                for s, h in zip(sets, node.tolist(), strict=True):
+                    new.append(len(s) > 0 and h not in seen)
+                    seen.add(h)
+                none = np.zeros(0, np.uint64)
+                spaces = [list_keys(s, spaces_of(len(s), firsts, percent, table)) if is_new else [] for s, is_new in zip(sets, new, strict=True)]
+                keys = [np.concatenate([k for k, _ in p]) if p else none for p in spaces]
+                count = lambda f: pa.array([f(p) for p in spaces], pa.int32())
                 lists = lambda v: pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, v)]).astype(np.int32)),
                                                            pa.array(signed(np.concatenate(v))))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[i:j], pa.array([len(s) for s in sets], pa.int64()), pa.array(signed(node)), pa.array(signed(second)),
-                     lists(keys), lists([s if len(s) <= LIGHT_MOST else s[:0] for s in sets])],
-                    names=["doc_id", "n", "node", "second", "keys", "small"])
+                     lists(keys), count(lambda p: len(p[0][0]) if p else 0), count(lambda p: p[0][1] if p else 0),
+                     count(lambda p: p[1][1] if len(p) > 1 else 0),
+                     lists([s if is_new and len(s) <= LIGHT_MOST else none for s, is_new in zip(sets, new, strict=True)])],
+                    names=["doc_id", "n", "node", "second", "keys", "own", "spare", "spare2", "small"])
 
     return (docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-            .mapInArrow(work, "doc_id long, n long, node long, second long, keys array<long>, small array<long>"))
+            .mapInArrow(work, "doc_id long, n long, node long, second long, keys array<long>, own int, spare int, spare2 int, small array<long>"))
+
+
+def scanned(rows: DataFrame) -> DataFrame:
+    """rows (node, keys, own, spare, spare2) -> (key, node) of the lists that hold other sets too, without each set's longest ones."""
+    postings = rows.select("node", "own", "spare", "spare2", F.posexplode("keys").alias("i", "key")).select(
+        "key", "node", F.when(F.col("i") < F.col("own"), 2 * F.col("spare")).otherwise(2 * F.col("spare2") + 1).alias("tag"))
+    members = Window.partitionBy("key")
+    shared = postings.withColumns({"long": F.count(F.lit(1)).over(members), "low": F.min("node").over(members), "high": F.max("node").over(members)})
+    shared = shared.where("low <> high").select("key", "node", "tag", "long")
+    # The tag is one number for all postings of a set in a space.
+    longest = Window.partitionBy("node", "tag").orderBy(F.col("long").desc(), F.col("key").desc())
+    shared = shared.dropDuplicates(["node", "tag", "key"])
+    return shared.withColumn("i", F.row_number().over(longest)).where("i > floor(tag / 2)").select("key", "node")
 
 
 def boundary(sizes: dict[int, int], percent: int) -> int:
@@ -331,7 +366,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, *, words: int = 4,
         raise ValueError("two different sets have one 64-bit hash; change the hash constants")
     sizes = {int(r["n"]): r["c"] for r in sets.where(F.col("n") <= LIGHT_MOST).groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
     x = boundary(sizes, percent)
-    lists = table.where(100 * F.col("n") >= percent * (x + 1)).select(F.explode("keys").alias("key"), "node")
+    lists = scanned(table.where(100 * F.col("n") >= percent * (x + 1)))
     if x:
         light = table.where((F.col("n") > 0) & (F.col("n") <= x)).select("node", "small").mapInArrow(_subsets(x, percent), "key long, node long")
         lists = lists.unionByName(light)
@@ -378,5 +413,6 @@ def one_of_each(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     A row without a doc_id stays unless it is linked to a row that has one; rows that share a doc_id stay together.
     """
     groups = jaccard_components(spark, docs, **options)
-    stays = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    name = free_names(docs, 1)[0]
+    stays = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")

@@ -6,7 +6,7 @@ import pytest
 
 import brute
 from churnkit.llm import jaccard_join as J
-from churnkit.llm.graph import components
+from churnkit.operators.components import components
 
 
 def result(spark, df, **options):
@@ -56,6 +56,8 @@ def test_edges(spark, docs, clashing):
     assert J.jaccard_components(spark, docs([]), ).count() == 0
     got = J.jaccard_components(spark, docs([(None, "a b c d"), (5, "a b c d"), (None, "z")])).collect()
     assert sorted((str(r["doc_id"]), str(r["component_id"])) for r in got) == [("5", "5"), ("None", "5"), ("None", "None")]
+    odd = spark.createDataFrame([(1, "a b c d", "x", 1), (2, "a b c d", "y", 2)], "doc_id long, text string, __id string, _free0 int")
+    assert [tuple(r) for r in J.one_of_each(spark, odd).collect()] == [(1, "a b c d", "x", 1)]
     kept = J.one_of_each(spark, clashing([(1, "a b c d"), (2, "a b c d"), (3, "q"), (4, None)]))
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4] and "a b" in kept.columns
 
@@ -70,8 +72,11 @@ def test_links_share_a_list():
         b = set(rng.sample(sorted(a), n - rng.randrange(n // 6 + 1))) | {rng.getrandbits(64) for _ in range(rng.randrange(n // 6 + 1))}
         if 100 * len(a & b) < 85 * len(a | b):
             continue
-        keys = [set(J.list_keys(np.array(sorted(s), np.uint64), J.spaces_of(len(s), firsts, 85, table)).tolist()) for s in (a, b)]
-        assert keys[0] & keys[1]
+        spaces = [J.spaces_of(len(s), firsts, 85, table) for s in (a, b)]
+        keys = [dict(zip(sp, J.list_keys(np.array(sorted(s), np.uint64), sp), strict=True)) for s, sp in zip((a, b), spaces, strict=True)]
+        both = set(keys[0]) & set(keys[1])
+        shared = [len(set(keys[0][c][0].tolist()) & set(keys[1][c][0].tolist())) - max(keys[0][c][1], keys[1][c][1]) for c in both]
+        assert max(shared) > 0  # more lists in common than either leaves out
         x = max(len(a), len(b))
         if x <= 13:
             sub = [{c for k in J.subset_sizes(len(s), x, 85) for c in combinations(sorted(s), k)} for s in (a, b)]
