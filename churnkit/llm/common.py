@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark.sql.functions import broadcast
 
 from churnkit.session import release, stored
 
@@ -42,6 +43,14 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 _TABLES: dict[int, np.ndarray] = {}
+#: What Python workers keep between tasks; ``drop_caches`` empties it before tasks that need the memory themselves.
+CACHES: list = [_TABLES.clear]
+
+
+def drop_caches() -> None:
+    for clear in CACHES:
+        clear()
+
 
 
 def power_table(base: int, n: int) -> np.ndarray:
@@ -110,3 +119,13 @@ def free_names(df, n: int) -> list[str]:
             out.append(f"_free{i}")
         i += 1
     return out
+
+
+#: Rows of a stored table of ids that a join may broadcast (16 bytes or so each); larger tables are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def by_size(ids):
+    """A stored table of few columns, marked for broadcast if its counted rows are at most ``BROADCAST_ROWS``, else for a
+    shuffled join: so texts are not shuffled to be joined with a few ids."""
+    return broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids.hint("merge")

@@ -43,7 +43,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import free_names, stored
+from churnkit.llm.common import by_size, free_names, stored
 
 # Unit words replaced after a number.
 UNITS = ("%", "mm", "cm", "m", "km", "inch", "inches", "feet", "foot", "ft", "yard", "yards", "mile", "miles", "mg", "g", "kg",
@@ -175,7 +175,7 @@ def with_anchors(spark: SparkSession, docs: DataFrame, anchors: DataFrame) -> Da
     held = (words.select("doc_id", F.xxhash64("text").alias("tkey"), F.explode(F.filter(pairs, lambda h: h.isNotNull())).alias("pair"))
             .join(anchors.select("pair").distinct(), "pair", "left_semi").select("doc_id", "tkey").distinct())
     keys = ["doc_id", "tkey"]
-    some = _marked(stored(spark, held, "decon-some"), keys)  # written, so that its size is known
+    some = by_size(_marked(stored(spark, held, "decon-some"), keys))
     return (docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").join(some, _same(keys), "left_semi").dropDuplicates(keys)
             .select(*keys, canonical(F.col("text")).alias("valued")))
 
@@ -260,4 +260,4 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, **
     a, b = free_names(docs, 2)
     bad = stored(spark, contaminated(spark, docs, benchmark, **options).select(F.col("doc_id").alias(a), F.col("tkey").alias(b))
                  .distinct(), "decon-found")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(a)) & (F.xxhash64("text") == F.col(b)), "left_anti")
+    return docs.join(by_size(bad), F.col("doc_id").eqNullSafe(F.col(a)) & (F.xxhash64("text") == F.col(b)), "left_anti")

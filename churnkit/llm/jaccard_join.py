@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from churnkit.llm.common import chunks, free_names, mix, release, signed, stored, words_of
+from churnkit.llm.common import by_size, chunks, free_names, mix, release, signed, stored, words_of
 from churnkit.operators.components import components
 
 _BYTES = 2_000_000
@@ -378,7 +378,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, *, words: int = 4,
     nodes = stored(spark, _blocked(families.join(sets, "node").select("family", "node", "n", "doc"), block), "jaccard-families")
     # The text of each set: the row of its smallest doc_id whose set this is.
     tagged = (docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-              .join(nodes.withColumnRenamed("doc", "id"), F.col("doc_id").eqNullSafe(F.col("id")))
+              .join(by_size(nodes.withColumnRenamed("doc", "id")), F.col("doc_id").eqNullSafe(F.col("id")))
               .select("node", "text", "family", "n", "blk", "blocks"))
     texts = stored(spark, tagged.mapInArrow(_own_text(words), "node long, text binary, family long, n long, blk int, blocks int"),
                    "jaccard-texts")
@@ -414,5 +414,5 @@ def one_of_each(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """
     groups = jaccard_components(spark, docs, **options)
     name = free_names(docs, 1)[0]
-    stays = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
+    stays = stored(spark, groups.where("doc_id <=> component_id").select(F.col("doc_id").alias(name)).distinct(), "jaccard-stays")
+    return docs.join(by_size(stays), F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")

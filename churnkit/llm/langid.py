@@ -28,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import chunks, mix
+from churnkit.llm.common import chunks, drop_caches, free_names, mix
 
 UNDETERMINED = "und"
 _FOLD: list[np.ndarray] = []
-_CHARS = 1_000_000  # characters handled at once in a task
+_CHARS = 200_000  # characters handled at once in a task; a longer text is handled alone
 
 
 @dataclass(frozen=True)
@@ -99,6 +99,7 @@ def train(spark: SparkSession, docs: DataFrame, *, bits: int = 14, smoothing: fl
     size = 1 << bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -196,6 +197,7 @@ def identify(docs: DataFrame, model: LanguageModel, *, rounds: int = 8, penalty:
     names = [c for c in docs.columns if c not in out]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             langs, scores = [], []
@@ -231,6 +233,7 @@ def keep_identified(spark: SparkSession, docs: DataFrame, *, least_share: float
     """The documents with a dominant language: rejected are those without letters and those whose
     largest language has less than ``least_share`` of the text.  The columns stay as they are."""
     model = train(spark, docs.where(~held_out()))
-    out = identify(docs, model, out=("__language", "__share"), **options)
-    return (out.where((F.col("__language") != UNDETERMINED) & (F.col("__share") >= least_share))
+    language, share = free_names(docs, 2)
+    out = identify(docs, model, out=(language, share), **options)
+    return (out.where((F.col(language) != UNDETERMINED) & (F.col(share) >= least_share))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import chunks, mix, stored
+from churnkit.llm.common import CACHES, chunks, mix, stored
 
 _CHARS = 2_000_000
 _CACHED_WORDS = 1_200_000  # about 180 MB in each Python worker
@@ -35,6 +35,7 @@ _CACHED_WORDS = 1_200_000  # about 180 MB in each Python worker
 _CODE = {2: "H", 4: "I"}
 _TAILS = (b".", b",")
 _LOADED: dict[str, _Words] = {}
+CACHES.append(lambda: [words.ids.clear() for words in _LOADED.values()])
 
 
 def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:

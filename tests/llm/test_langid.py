@@ -54,3 +54,9 @@ def test_grams_do_not_cross_texts():
     assert sorted(whole[0].tolist()) == sorted(np.concatenate([p[0] for p in parts]).tolist())
     assert whole[2].tolist() == [2, 2]
     assert sorted(L.grams(["  A--b "], 14)[0].tolist()) == sorted(L.grams(["a b"], 14)[0].tolist())
+
+
+def test_columns_with_the_operators_names_stay(spark):
+    rows = [(i, f"the quick brown fox number {'x' * (i % 3)} jumps", "en", "keep me", 0.25, "z") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, __language string, __share double, _free0 string")
+    assert sorted(tuple(r) for r in L.keep_identified(spark, df).collect()) == rows
