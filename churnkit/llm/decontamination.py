@@ -24,8 +24,8 @@ words, or too few literal ones) is found where it is a whole line of a document,
 space and punctuation aside.
 
 Most texts are never turned into templates.  Every window that is evidence has an anchor: of its
-pairs of adjacent literal words the longest.  A document with a matching window has the anchor's words
-side by side, whatever its values are, so the pairs of adjacent words of all texts are joined with the
+runs of four adjacent literal words (else three, else two) the longest.  A document with a matching window has the
+anchor's words side by side, whatever its values are, so the runs of adjacent words of all texts are joined with the
 anchors first, and only documents with an anchor are canonicalised, once for all sizes.
 
 The benchmark is the smaller side and Spark broadcasts its anchors and windows only below its
@@ -149,31 +149,51 @@ def folded(text: Column) -> Column:
     return F.lower(F.upper(F.coalesce(text, F.lit(""))))
 
 
+def _run(words: str, at, n: int) -> Column:
+    """Hash of ``n`` words of the array from ``at`` (0-based)."""
+    return F.xxhash64(*[F.get(words, at + k) for k in range(n)])
+
+
+def _octets(words: str, at, n: int) -> Column:
+    total = F.octet_length(F.get(words, at))
+    for k in range(1, n):
+        total = total + F.octet_length(F.get(words, at + k))
+    return total
+
+
 def evidence(items: DataFrame, size: int) -> DataFrame:
-    """item_id, ikey, at, h, pair of the windows of ``size`` words that are evidence; pair hashes the anchor, n is its length."""
+    """item_id, ikey, at, h, run, words, octets of the windows of ``size`` words that are evidence: run hashes the anchor's ``words`` words."""
     words = items.select("item_id", "ikey", F.explode(F.array(template(F.col("valued")), template(plain(F.col("valued"))))).alias("ws")).distinct()
     cut = words.where(F.size("ws") >= size).select("item_id", "ikey", F.transform("ws", lambda w: F.xxhash64(w)).alias("hs"), "ws",
                                                    F.explode(F.sequence(F.lit(1), F.size("ws") - size + 1)).alias("i"))
     cut = cut.select("item_id", "ikey", (F.col("i") - 1).alias("at"), F.xxhash64(F.slice("hs", F.col("i"), size)).alias("h"),
                      F.slice("ws", F.col("i"), size).alias("ws"))
     literal = lambda w: ~(F.startswith(w, F.lit("<")) | F.contains(w, F.lit("%")))
-    pairs = F.filter(F.zip_with(F.slice("ws", 1, size - 1), F.slice("ws", 2, size - 1), lambda a, b: F.when(
-        literal(a) & literal(b), F.struct((F.length(a) + F.length(b)).alias("n"), a.alias("a"), b.alias("b")))), lambda x: x.isNotNull()) \
-        if size > 1 else F.array().cast("array<struct<n:int,a:string,b:string>>")
-    cut = cut.withColumns({"literals": F.size(F.filter("ws", literal)), "best": F.array_max(pairs)})
-    return cut.where((2 * F.col("literals") >= size) & F.col("best").isNotNull()).select(
-        "item_id", "ikey", "at", "h", F.xxhash64("best.a", "best.b").alias("pair"), F.col("best.n").alias("n"))
+    none = F.lit(None).cast("struct<octets:int,run:bigint,words:int>")
+
+    def best(n: int) -> Column:
+        if size < n:
+            return none
+        starts = F.filter(F.sequence(F.lit(0), F.lit(size - n)), lambda i: F.forall(F.slice("ws", i + 1, n), literal))
+        return F.array_max(F.transform(starts, lambda i: F.struct(_octets("ws", i, n).alias("octets"), _run("ws", i, n).alias("run"), F.lit(n).alias("words"))))
+    cut = cut.withColumns({"literals": F.size(F.filter("ws", literal)), "best": F.coalesce(*[best(n) for n in RUNS])})
+    return cut.where((2 * F.col("literals") >= size) & F.col("best").isNotNull()).select("item_id", "ikey", "at", "h", "best.*")
+
+
+#: Words of an anchor, the most telling first.
+RUNS = (4, 3, 2)
 
 
 def with_anchors(spark: SparkSession, docs: DataFrame, anchors: DataFrame) -> DataFrame:
-    """doc_id, tkey, valued of the documents in which the words of an anchor (pair, n) stand side by side."""
-    least = anchors.agg(F.min("n")).first()[0]
-    if least is None:
+    """doc_id, tkey, valued of the documents in which the words of an anchor (run, words, octets) stand side by side."""
+    least = {r["words"]: r["octets"] for r in anchors.groupBy("words").agg(F.min("octets").alias("octets")).collect()}  # a row per length
+    if not least:
         return docs.select("doc_id", F.xxhash64("text").alias("tkey"), F.col("text").alias("valued")).where("false")
     words = docs.select("doc_id", "text", F.split(folded(F.col("text")), _NO_LETTERS).alias("ws"))
-    pairs = F.zip_with("ws", F.slice("ws", 2, F.size("ws")), lambda a, b: F.when(F.length(a) + F.length(b) >= least, F.xxhash64(a, b)))
-    held = (words.select("doc_id", F.xxhash64("text").alias("tkey"), F.explode(F.filter(pairs, lambda h: h.isNotNull())).alias("pair"))
-            .join(anchors.select("pair").distinct(), "pair", "left_semi").select("doc_id", "tkey").distinct())
+    runs = [F.filter(F.transform("ws", lambda w, i: F.when(_octets("ws", i, n) >= least[n], _run("ws", i, n))), lambda h: h.isNotNull())  # noqa: B023
+            for n in sorted(least)]
+    held = (words.select("doc_id", F.xxhash64("text").alias("tkey"), F.explode(F.concat(*runs)).alias("run"))
+            .join(by_size(stored(spark, anchors.select("run").distinct(), "decon-anchors")), "run", "left_semi").select("doc_id", "tkey").distinct())
     keys = ["doc_id", "tkey"]
     some = by_size(_marked(stored(spark, held, "decon-some"), keys))
     return (docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").join(some, _same(keys), "left_semi").dropDuplicates(keys)
@@ -204,11 +224,11 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *,
     ids = ["item_id", "ikey"]
     total = known.groupBy(*ids).agg(F.count_distinct("at").alias("windows"))
     bare = items.join(_marked(total.select(*ids), ids), _same(ids), "left_anti")
-    texts = stored(spark, with_anchors(spark, docs, known.select("pair", "n")), "decon-texts")
+    texts = stored(spark, with_anchors(spark, docs, known.select("run", "words", "octets")), "decon-texts")
     found = None
     for size in sizes:
-        right = known.where(F.col("size") == size).select(*ids, "h", "at").distinct()
-        hits = windows(texts, size, "doc_id", "tkey").distinct().join(right, "h").drop("h").withColumn("size", F.lit(size))
+        right = by_size(stored(spark, known.where(F.col("size") == size).select(*ids, "h", "at").distinct(), "decon-known"))
+        hits = windows(texts, size, "doc_id", "tkey").join(right, "h").drop("h").withColumn("size", F.lit(size))
         found = hits if found is None else found.unionByName(hits)
     # The windows' slots are looked up for matches only, so the joined table stays narrow.
     found = found.distinct().join(_marked(items.select(*ids, F.col("valued").alias("whole")), ids), _same(ids)).select(
