@@ -83,6 +83,11 @@ def _choice(words: list[str]) -> str:
     return "|".join(f"{h}(?:{'|'.join(sorted({w[1:] for w in words if w[0] == h}, reverse=True))})" for h in heads)
 
 
+def _one_case(text: Column) -> Column:
+    """Upper case first: lower case alone keeps apart what upper case makes equal (final sigma, sharp s)."""
+    return F.lower(F.upper(text))
+
+
 def canonical(text: Column) -> Column:
     """Template words with their slot values, one space apart: word, <num=7>, <unit=km>, <name=anna>.
 
@@ -91,8 +96,7 @@ def canonical(text: Column) -> Column:
     t = F.regexp_replace(F.coalesce(text, F.lit("")), "[<>=_]", " ")
     t = F.regexp_replace(t, r"[.,:/](?<=\p{N}.)(?=\p{N})", "_")
     t = F.regexp_replace(t, rf"{_UPPER}(?<![\p{{L}}\p{{M}}\p{{N}}].)\p{{L}}*", "<name=$0>")
-    # Upper case first: lower case alone keeps apart what upper case makes equal (final sigma, sharp s).
-    t = F.lower(F.upper(F.regexp_replace(t, r"\p{N}[\p{N}_]*", " <num=$0> ")))
+    t = _one_case(F.regexp_replace(t, r"\p{N}[\p{N}_]*", " <num=$0> "))
     t = F.trim(F.regexp_replace(t, _BETWEEN, " "))
     t = F.concat(F.lit(" "), t, F.lit(" "))
     t = F.regexp_replace(t, rf"<name=({_choice([*NO_NAMES, *NUMBERS])})>(?= )", "$1")
@@ -118,12 +122,13 @@ def windows(df: DataFrame, size: int, *keep: str) -> DataFrame:
     hashed = lambda words: F.transform(words, lambda w: F.xxhash64(w))
     words = df.select(*keep, hashed(template(F.col("valued"))).alias("typed"), F.when(
         F.contains("valued", F.lit("<name=")), hashed(template(plain(F.col("valued"))))).alias("folded"))
-    starts = F.sequence(F.lit(1), F.size("typed") - size + 1)
-    of = lambda c: F.transform(starts, lambda i: F.struct((i - 1).alias("pos"), F.xxhash64(F.slice(c, i, size)).alias("h")))
-    named = F.filter(starts, lambda i: F.slice("typed", i, size) != F.slice("folded", i, size))
-    second = F.transform(named, lambda i: F.struct((i - 1).alias("pos"), F.xxhash64(F.slice("folded", i, size)).alias("h")))
-    both = F.when(F.col("folded").isNull(), of("typed")).otherwise(F.concat(of("typed"), second))
-    return words.where(F.size("typed") >= size).select(*keep, F.inline(both))
+    # Windows are cut after the explosion: there the expressions are compiled, in a lambda they are interpreted.
+    # The outer form keeps Spark from counting the words in a filter of its own, which would make them twice.
+    at = words.select(*keep, "typed", "folded", F.posexplode_outer("typed").alias("pos", "first"))
+    at = at.where(F.col("pos") <= F.size("typed") - size).select(*keep, "pos", _run("typed", F.col("pos"), size).alias("h"), F.when(
+        F.col("folded").isNotNull(), _run("folded", F.col("pos"), size)).alias("second"))
+    both = F.explode(F.array("h", F.when(F.col("second") != F.col("h"), F.col("second"))))
+    return at.select(*keep, "pos", both.alias("h")).where("h IS NOT NULL")
 
 
 def slots(valued: Column, start: Column, size: Column) -> Column:
@@ -145,8 +150,8 @@ def _marked(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def folded(text: Column) -> Column:
-    """Upper case first: lower case alone keeps apart what upper case makes equal (final sigma, sharp s)."""
-    return F.lower(F.upper(F.coalesce(text, F.lit(""))))
+    """The text in one case, null as empty."""
+    return _one_case(F.coalesce(text, F.lit("")))
 
 
 def _run(words: str, at, n: int) -> Column:
@@ -190,10 +195,12 @@ def with_anchors(spark: SparkSession, docs: DataFrame, anchors: DataFrame) -> Da
     if not least:
         return docs.select("doc_id", F.xxhash64("text").alias("tkey"), F.col("text").alias("valued")).where("false")
     words = docs.select("doc_id", "text", F.split(folded(F.col("text")), _NO_LETTERS).alias("ws"))
-    runs = [F.filter(F.transform("ws", lambda w, i: F.when(_octets("ws", i, n) >= least[n], _run("ws", i, n))), lambda h: h.isNotNull())  # noqa: B023
-            for n in sorted(least)]
-    held = (words.select("doc_id", F.xxhash64("text").alias("tkey"), F.explode(F.concat(*runs)).alias("run"))
-            .join(by_size(stored(spark, anchors.select("run").distinct(), "decon-anchors")), "run", "left_semi").select("doc_id", "tkey").distinct())
+    # As in ``windows``: compiled expressions, words made once.
+    at = words.select("doc_id", "text", "ws", F.posexplode_outer("ws").alias("pos", "w"))
+    runs = F.array(*[F.when(_octets("ws", F.col("pos"), n) >= least[n], _run("ws", F.col("pos"), n)) for n in sorted(least)])
+    held = (at.select("doc_id", "text", F.explode(runs).alias("run")).where("run IS NOT NULL")
+            .join(by_size(stored(spark, anchors.select("run").distinct(), "decon-anchors")), "run", "left_semi")
+            .select("doc_id", F.xxhash64("text").alias("tkey")).distinct())
     keys = ["doc_id", "tkey"]
     some = by_size(_marked(stored(spark, held, "decon-some"), keys))
     return (docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").join(some, _same(keys), "left_semi").dropDuplicates(keys)
@@ -204,7 +211,7 @@ def whole_lines(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, tkey, item_id, ikey of the documents that have an item's text as a line, up to case, white space and punctuation."""
     bare = lambda c: F.trim(F.regexp_replace(folded(c), _BETWEEN.replace("<>=_", ""), " "))
     wanted = items.select("item_id", "ikey", bare(F.col("text")).alias("line")).where("line <> ''")
-    lines = docs.select("doc_id", F.xxhash64("text").alias("tkey"), F.explode(F.split(F.coalesce("text", F.lit("")), "[\n\r]+")).alias("line"))
+    lines = docs.select("doc_id", F.xxhash64("text").alias("tkey"), F.explode_outer(F.split(F.coalesce("text", F.lit("")), "[\n\r]+")).alias("line"))
     return lines.withColumn("line", bare(F.col("line"))).join(wanted, "line").select("doc_id", "tkey", "item_id", "ikey").distinct()
 
 
