@@ -84,8 +84,11 @@ def _choice(words: list[str]) -> str:
 
 
 def _one_case(text: Column) -> Column:
-    """Upper case first: lower case alone keeps apart what upper case makes equal (final sigma, sharp s)."""
-    return F.lower(F.upper(text))
+    """Upper case first: lower case alone keeps apart what upper case makes equal (final sigma, sharp s).
+
+    The empty string in between keeps Spark from simplifying the two to lower case alone.
+    """
+    return F.lower(F.concat(F.upper(text), F.lit("")))
 
 
 def canonical(text: Column) -> Column:

@@ -32,6 +32,14 @@ def test_copies_in_other_capitals_and_white_space(spark, docs):
     assert {k: r["kind"] for k, r in got.items()} == {(i, 7 if i < 5 else 8): "verbatim" for i in range(1, 8)}
 
 
+def test_letters_that_only_upper_case_makes_equal(spark, docs):
+    item = "der große Strauß läuft über die lange straße am Fluß entlang und ruft sehr laut dabei"
+    greek = "ο παλιός δρόμος προς τον ψηλό πύργος περνά δίπλα από μεγάλος κήπος και μικρός λόφος"
+    rows = [(1, item.upper()), (2, greek.upper()), (3, greek.replace("ς", "σ")), (4, item)]
+    got = found(spark, docs(rows), [(7, item), (8, greek)])
+    assert set(got) == {(1, 7), (4, 7), (2, 8), (3, 8)}
+
+
 def test_slots_must_be_consistent(spark, docs):
     item = "Anna gave Bob 5 apples and then Bob gave Anna 5 apples back so Anna has what she had"
     good = "when Carl gave Dora 8 apples and then Dora gave Carl 8 apples back so Carl has what she had"
