@@ -52,7 +52,7 @@ def test_stages_against_brute_force(spark, small, tmp_path):
 def test_registered_queries():
     q, o = entry.queries(), entry.oracle_sql()
     numbers = [int(m[1]) for k in q if (m := re.match(r"op(\d+)_", k))]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in q
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in q
     assert set(REGISTRY) <= set(q) and "op5_tree_merge_dedup" in o
     assert tokenizer_path().endswith("word_bpe_49k.json")
 
