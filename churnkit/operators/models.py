@@ -1,8 +1,8 @@
 """Class-weighted classifiers, out-of-fold CV, threshold tuning, refit and
 persistence (M5-M9, M11, M18, M24, E7).
 
-Logistic regression and the random forest are Spark ML's estimators; boosted trees are
-``operators.boosting``, which fits the folds and both refits together.  This module
+Logistic regression (``operators.newton``) and boosted trees (``operators.boosting``) fit
+the folds and both refits together; the random forest is Spark ML's estimator.  This module
 wires weights, folds and evaluation.  Probabilities are not rounded.
 """
 
@@ -13,13 +13,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnkit.operators import boosting, evaluate, split
+from churnkit.operators import boosting, evaluate, newton, split
 
 
 @dataclass
@@ -40,43 +40,40 @@ DEFAULT_MODELS = (
 
 
 def weighted(df: DataFrame, spec: ModelSpec, label: str) -> DataFrame:
-    """M3 (balanced) for LR/RF, recomputed on each fit subset; boosting weighs its sets itself (M4)."""
+    """M3 (balanced) for the forest, recomputed on each fit subset; the joint fits weigh their sets themselves (M3, M4)."""
     return split.balanced_weights(df, label)
 
 
-def make_pipeline(spec: ModelSpec, features: Sequence[str], label: str, total_weight: float | None = None,
-                  seed: int = 42) -> Pipeline:
-    """VectorAssembler + estimator with a weight column."""
+def make_pipeline(spec: ModelSpec, features: Sequence[str], label: str, seed: int = 42) -> Pipeline:
+    """VectorAssembler + random forest with a weight column."""
     va = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     # default output columns: probability, rawPrediction, prediction
-    common = dict(featuresCol="features", labelCol=label, weightCol="weight")
-    p = dict(spec.params)
-    if spec.kind == "lr":
-        # sklearn C=1: 0.5|w|^2 + C sum(w_i loss_i)  ==  Spark (1/sum w) sum(w_i loss_i) + reg/2 |w|^2
-        reg = 1.0 / total_weight if total_weight else 0.0
-        est = LogisticRegression(regParam=reg, elasticNetParam=0.0, standardization=False, **p, **common)
-    else:
-        est = RandomForestClassifier(seed=seed, **p, **common)
-    return Pipeline(stages=[va, est])
+    return Pipeline(stages=[va, RandomForestClassifier(seed=seed, featuresCol="features", labelCol=label, weightCol="weight", **spec.params)])
 
 
-def fit(df: DataFrame, spec: ModelSpec, features: Sequence[str], label: str, seed: int = 42) -> PipelineModel:
-    w = weighted(df, spec, label)
-    total = w.agg(F.sum("weight")).first()[0] if spec.kind == "lr" else None
-    return make_pipeline(spec, features, label, total, seed).fit(w)
+def fit(df: DataFrame, spec: ModelSpec, features: Sequence[str], label: str, seed: int = 42):
+    """M5, M7: one model on all rows of ``df``."""
+    if spec.kind == "lr":
+        return newton.fit_many(df, features, label, {"all": F.lit(True)}, max_steps=spec.params["maxIter"])["all"]
+    return make_pipeline(spec, features, label, seed).fit(weighted(df, spec, label))
 
 
 def predict_proba(model, df: DataFrame, keep: Sequence[str], out: str = "p") -> DataFrame:
-    """Positive-class probability next to ``keep`` columns, of a pipeline or a ``Booster``."""
+    """Positive-class probability next to ``keep`` columns, of any fitted model."""
     if isinstance(model, boosting.Booster):
         return boosting.predict(df, {None: model}, keep, out=out)
+    if isinstance(model, newton.LogisticModel):
+        return newton.predict(df, {None: model}, keep, out=out)
     scored = model.transform(df.withColumn("weight", F.lit(1.0)))
     return scored.select(*keep, vector_to_array("probability")[1].alias(out))
 
 
 def oof_predictions(train: DataFrame, spec: ModelSpec, features: Sequence[str], label: str, key: str,
                     fold_col: str = "fold", folds: int = 5) -> DataFrame:
-    """M9: out-of-fold probabilities — fit on fold != i, score fold i, union."""
+    """M9: out-of-fold probabilities — fit on fold != i, score fold i."""
+    if spec.kind == "lr":  # all folds in one fit, each row scored by the model of its fold
+        fits = newton.fit_many(train, features, label, {i: F.col(fold_col) != i for i in range(folds)}, max_steps=spec.params["maxIter"])
+        return newton.predict(train, fits, [key, label], by=fold_col)
     from churnkit.operators.segments import parallel_map
 
     def one(i):
@@ -103,20 +100,18 @@ def tune_threshold(model, val: DataFrame, label: str, key: str, steps: int = 200
     return float(best["threshold"])
 
 
-def lr_coefficients(model: PipelineModel, features: Sequence[str]) -> DataFrame:
+def lr_coefficients(model: newton.LogisticModel) -> DataFrame:
     """M24 + P20 + W3: coefficient, odds ratio, sorted by |coefficient| (d rows)."""
     from pyspark.sql import SparkSession
-    lr = model.stages[-1]
-    rows = [(f, float(c)) for f, c in zip(features, lr.coefficients.toArray())]
-    df = SparkSession.getActiveSession().createDataFrame(rows, "feature string, coefficient double")
+    df = SparkSession.getActiveSession().createDataFrame(list(zip(model.features, model.coefficients)), "feature string, coefficient double")
     return df.select("feature", "coefficient", F.exp("coefficient").alias("odds_ratio")).orderBy(
-        F.abs("coefficient").desc())
+        F.abs("coefficient").desc(), "feature")
 
 
 @dataclass
 class TrainedModel:
     spec: ModelSpec
-    model: object  # PipelineModel or Booster
+    model: object  # PipelineModel, Booster or LogisticModel
     threshold: float
     metrics: dict
     features: list
@@ -133,8 +128,8 @@ def train_all(data: DataFrame, features: Sequence[str], label: str, key: str,
     out = {}
     for spec in specs:
         from churnkit.operators.segments import parallel_map
-        if spec.kind == "gbt":
-            metrics, tune_model, final = boosted_fits(data, spec, features, label, key, cv)
+        if spec.kind in ("gbt", "lr"):
+            metrics, tune_model, final = joint_fits(data, spec, features, label, key, cv)
         else:
             metrics = cv_metrics(oof_predictions(train, spec, features, label, key), label) if cv else {}
             tune_model, final = parallel_map(lambda d: fit(d, spec, features, label), [train, train_val])
@@ -154,25 +149,32 @@ def training_sets(folds: int = 5, cv: bool = True, fold_col: str = "fold") -> di
     return out | {"tune": train, "final": F.col("split").isin("train", "val")}
 
 
-def boosted_fits(data: DataFrame, spec: ModelSpec, features: Sequence[str], label: str, key: str, cv: bool = True, folds: int = 5):
-    """(cross-validation metrics and losses, model fitted on train, model fitted on train + val): one fit of all sets."""
-    fits = boosting.fit_many(data, features, label, key, training_sets(folds, cv), boosting.BoostParams(**spec.params))
+def joint_fits(data: DataFrame, spec: ModelSpec, features: Sequence[str], label: str, key: str, cv: bool = True, folds: int = 5):
+    """(metrics, model fitted on train, model fitted on train + val): one fit of all training sets of boosted trees or the regression."""
+    sets = training_sets(folds, cv)
+    if spec.kind == "gbt":
+        fits, predict = boosting.fit_many(data, features, label, key, sets, boosting.BoostParams(**spec.params)), boosting.predict
+    else:
+        fits, predict = newton.fit_many(data, features, label, sets, max_steps=spec.params["maxIter"]), newton.predict
     metrics = {}
     if cv:
-        oof = boosting.predict(data.where(F.col("split") == "train"), {i: fits[f"fold{i}"] for i in range(folds)}, [key, label], by="fold")
+        oof = predict(data.where(F.col("split") == "train"), {i: fits[f"fold{i}"] for i in range(folds)}, [key, label], by="fold")
         metrics = cv_metrics(oof, label)
-    metrics["losses"] = {name: b.losses for name, b in fits.items()}
+    if spec.kind == "gbt":
+        metrics["losses"] = {name: b.losses for name, b in fits.items()}
+    else:
+        metrics["fits"] = {name: [m.steps, m.objective, m.gradient] for name, m in fits.items()}
     return metrics, fits["tune"], fits["final"]
 
 
 def save_models(models: dict[str, TrainedModel], out_dir: str) -> DataFrame:
-    """One folder per model (pipeline or booster) plus a manifest table (JSON)."""
+    """One folder per model (pipeline, booster or regression) plus a manifest table (JSON)."""
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     rows = []
     for name, tm in models.items():
         path = f"{out_dir.rstrip('/')}/{name.lower()}"
-        if isinstance(tm.model, boosting.Booster):
+        if isinstance(tm.model, (boosting.Booster, newton.LogisticModel)):
             tm.model.save(spark, path)
         else:
             tm.model.write().overwrite().save(path)
@@ -188,7 +190,8 @@ def load_models(out_dir: str) -> tuple[dict, DataFrame]:
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     manifest = spark.read.json(f"{out_dir.rstrip('/')}/manifest")
-    models = {r["model"]: boosting.Booster.load(spark, r["path"]) if r["kind"] == "gbt" else PipelineModel.load(r["path"])
+    load = {"gbt": lambda path: boosting.Booster.load(spark, path), "lr": lambda path: newton.LogisticModel.load(spark, path)}
+    models = {r["model"]: load.get(r["kind"], PipelineModel.load)(r["path"])
               for r in manifest.select("model", "path", "kind").collect()}
     return models, manifest
 
@@ -204,6 +207,10 @@ def score_all(models: dict, thresholds: dict, df: DataFrame, key: str, label: st
             cur = boosting.predict(cur, {None: m}, cur.columns, out=f"p_{name}")
             cols.append(f"p_{name}")
             continue
+        if isinstance(m, newton.LogisticModel):
+            cur = newton.predict(cur, {None: m}, cur.columns, out=f"p_{name}")
+            cols.append(f"p_{name}")
+            continue
         cur = m.transform(cur).withColumn(f"p_{name}", vector_to_array("probability")[1]).drop(
             "features", "probability", "rawPrediction", "prediction")
         cols.append(f"p_{name}")

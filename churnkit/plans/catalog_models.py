@@ -8,7 +8,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from churnkit.operators import boosting, evaluate, models, outliers, segments
+from churnkit.operators import boosting, evaluate, models, newton, outliers, segments
 from churnkit.plans import segmentation, training
 from churnkit.plans.catalog import query, r6
 from churnkit.plans.catalog_eval import SPLIT_SQL
@@ -21,21 +21,97 @@ CURATED_ON_CUSTOMERS = CURATED_CTE[len(CUSTOMER_CTE):]
 LR_SPEC = models.DEFAULT_MODELS[0]
 
 
-@query("lr_coefficients")
+NEWTON_D = len(CURATED_FEATURES) + 1
+
+
+def newton_sql(steps: int, sets: str) -> str:
+    """Newton steps from zero for the training sets ``sets`` (set_name, fold_out: a fold, -1 train, -2 train + val): CTEs w0 .. w<steps>
+    (set_name, w).  Every system is solved by Gauss-Jordan elimination of its rows (Hessian | gradient)."""
+    d = NEWTON_D
+    x = ", ".join(f"CASE WHEN isfinite({c}::DOUBLE) THEN {c}::DOUBLE ELSE 0 END" for c in CURATED_FEATURES)
+    out = SPLIT_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + CURATED_ON_CUSTOMERS + f""",
+cur AS MATERIALIZED (SELECT c.customer_id, c.churn AS y, s.split, s.fold, [1.0::DOUBLE, {x}] AS x FROM curated c JOIN split s USING (customer_id)),
+sets AS (SELECT * FROM (VALUES {sets}) t(set_name, fold_out)),
+chosen AS (SELECT set_name, c.* FROM cur c JOIN sets ON (fold_out = -2 AND split <> 'test' OR split = 'train' AND fold <> fold_out)),
+member AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY set_name) / (2.0::DOUBLE * count(*) OVER (PARTITION BY set_name, y)) AS sw FROM chosen),
+w0 AS (SELECT set_name, list_transform(range({d}), lambda i: 0.0::DOUBLE) AS w FROM sets)"""
+    for k in range(1, steps + 1):
+        out += f""",
+p{k} AS MATERIALIZED (SELECT set_name, x, sw, y, 1 / (1 + exp(-list_dot_product(w, x))) AS p FROM member JOIN w{k - 1} USING (set_name)),
+h{k} AS (SELECT set_name, i, j, sum(CASE WHEN j > {d} THEN sw * (p - y) * x[i] ELSE sw * p * (1 - p) * x[i] * x[j] END) AS v
+         FROM p{k}, range(1, {d + 1}) a(i), range(1, {d + 2}) b(j) GROUP BY ALL),
+m{k} AS (SELECT set_name, list(r ORDER BY i) AS m FROM (SELECT h.set_name, i, list(v + CASE WHEN i = j THEN 1 WHEN j > {d} THEN w[i] ELSE 0 END ORDER BY j) AS r
+         FROM h{k} h JOIN w{k - 1} USING (set_name) GROUP BY ALL) GROUP BY set_name),
+e{k} AS (SELECT set_name, 1 AS c, m FROM m{k} UNION ALL
+         SELECT set_name, c + 1, list_transform(m, lambda r, i: CASE WHEN i = c THEN list_transform(r, lambda v: v / r[c])
+                ELSE list_transform(r, lambda v, j: v - r[c] * m[c][j] / m[c][c]) END) FROM e{k} WHERE c <= {d}),
+w{k} AS MATERIALIZED (SELECT set_name, list_transform(w, lambda v, i: v - m[i][{d + 1}]) AS w FROM e{k} JOIN w{k - 1} USING (set_name) WHERE c = {d + 1})"""
+    return out
+
+
+#: Newton steps of the SQL: more than the fits on these tables need to reach the last digit.
+NEWTON_STEPS = 9
+FOLD_SETS = ", ".join(f"('fold{i}', {i})" for i in range(5))
+NAMES_SQL = "['(intercept)', " + ", ".join(f"'{c}'" for c in CURATED_FEATURES) + "]"
+
+
+@query("lr_newton_steps", newton_sql(2, FOLD_SETS + ", ('tune', -1), ('final', -2)") + "".join(
+    f" {'UNION ALL' if k > 1 else ''} SELECT set_name, {k} AS step, unnest({NAMES_SQL}) AS feature, unnest(list_transform(w, lambda v: round(v, 6))) AS coefficient FROM w{k}"
+    for k in (1, 2)))
+def q_newton_steps(spark, d):
+    """M5/M9: coefficients after the first two Newton steps, for the five folds and both refits."""
+    data, feats = training.model_table(spark, d)
+    return r6(newton.step_table(spark, newton.fit_many(data, feats, "churn", models.training_sets(), max_steps=2), (1, 2)))
+
+
+@query("lr_fit_quality", " UNION ALL ".join(f"SELECT '{s}' AS set_name, true AS gradient_below_1e6, true AS objective_falls"
+                                            for s in [*[f"fold{i}" for i in range(5)], "tune", "final"]))
+def q_newton_quality(spark, d):
+    """M5/M9: per training set, whether every entry of the gradient at the reported coefficients is below 1e-6 and
+    the objective rose in no step (beyond the rounding of its sum)."""
+    data, feats = training.model_table(spark, d)
+    fits = newton.fit_many(data, feats, "churn", models.training_sets())
+    rows = [(name, m.gradient < 1e-6, all(b[2] <= a[2] * (1 + newton.ROUNDING) for a, b in zip(m.trace, m.trace[1:])))
+            for name, m in fits.items()]
+    return spark.createDataFrame(rows, "set_name string, gradient_below_1e6 boolean, objective_falls boolean")
+
+
+@query("lr_coefficients", newton_sql(NEWTON_STEPS, "('final', -2)") + f"""
+SELECT feature, round(c, 6) AS coefficient, round(exp(c), 6) AS odds_ratio
+FROM (SELECT unnest({NAMES_SQL}) AS feature, unnest(w) AS c FROM w{NEWTON_STEPS}) WHERE feature <> '(intercept)'""")
 def q_lr_coefficients(spark, d):
     """M5 + M24 + P20: weighted L2 logistic regression refit on train+val; coefficients and odds ratios."""
-    loaded, rows = training.load_fitted(spark, d, (LR_SPEC,))
-    return r6(models.lr_coefficients(loaded[LR_SPEC.name], rows[0]["feature_order"]))
+    loaded, _ = training.load_fitted(spark, d, (LR_SPEC,))
+    return r6(models.lr_coefficients(loaded[LR_SPEC.name]))
+
+
+LR_TEST_SQL = newton_sql(NEWTON_STEPS, "('final', -2)") + f""",
+scored AS (SELECT y, 1 / (1 + exp(-list_dot_product(w, x))) >= 0.5 AS hit FROM cur, w{NEWTON_STEPS} WHERE split = 'test'),
+k AS (SELECT count(*) FILTER (y = 1 AND hit) AS tp, count(*) FILTER (y = 0 AND hit) AS fp, count(*) FILTER (y = 1 AND NOT hit) AS fn,
+             count(*) FILTER (y = 0 AND NOT hit) AS tn FROM scored),
+c AS (SELECT '0' AS class, coalesce(tn / nullif(tn + fn, 0), 0) AS p, coalesce(tn / nullif(tn + fp, 0), 0) AS r, coalesce(2 * tn / nullif(2 * tn + fn + fp, 0), 0) AS f,
+             tn + fp AS n FROM k
+      UNION ALL SELECT '1', coalesce(tp / nullif(tp + fp, 0), 0), coalesce(tp / nullif(tp + fn, 0), 0), coalesce(2 * tp / nullif(2 * tp + fn + fp, 0), 0), tp + fn FROM k)
+SELECT class, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1, n AS support FROM c
+UNION ALL SELECT 'accuracy', NULL, NULL, round((tp + tn) / (tp + tn + fp + fn), 6), tp + tn + fp + fn FROM k
+UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), sum(n)::BIGINT FROM c
+UNION ALL SELECT 'weighted avg', round(sum(p * n) / sum(n), 6), round(sum(r * n) / sum(n), 6), round(sum(f * n) / sum(n), 6), sum(n)::BIGINT FROM c"""
 
 
-@query("baseline_lr_report")
+@query("baseline_lr_report", LR_TEST_SQL)
 def q_baseline(spark, d):
     """M6: baseline LR at threshold 0.5, classification report on the test split."""
     data, feats = training.model_table(spark, d)
     return r6(training.baseline_report(data, feats))
 
 
-@query("lr_cv_metrics")
+@query("lr_cv_metrics", newton_sql(NEWTON_STEPS, FOLD_SETS) + f""",
+oof AS MATERIALIZED (SELECT y, 1 / (1 + exp(-list_dot_product(w, x))) AS p FROM cur JOIN sets ON fold = fold_out JOIN w{NEWTON_STEPS} USING (set_name) WHERE split = 'train'),
+n AS (SELECT count(*) FILTER (y = 1) AS n_pos, count(*) FILTER (y = 0) AS n_neg, count(*) FILTER (y = 1 AND p >= 0.5) AS tp, count(*) FILTER (y = 0 AND p >= 0.5) AS fp FROM oof),
+s AS (SELECT p, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y = 0) AS neg FROM oof GROUP BY p),
+u AS (SELECT sum(pos * (below + neg / 2)) AS u FROM (SELECT *, sum(neg) OVER (ORDER BY p) - neg AS below FROM s))
+SELECT round(u / (n_pos * n_neg), 6) AS auc, n_pos, n_neg, round(5 * tp / (4 * n_pos + tp + fp), 6) AS f2, round(tp / n_pos, 6) AS recall,
+       round(tp / (tp + fp), 6) AS precision FROM n, u""")
 def q_lr_cv(spark, d):
     """M9: out-of-fold 5-fold CV for the LR: one AUC / F2 over all OOF rows."""
     data, feats = training.model_table(spark, d)

@@ -15,7 +15,7 @@ def test_lr_fit_save_load_and_score(spark):
     data, feats = training.model_table(spark, SF_SMALL)
     spec = models.ModelSpec("LogisticRegression", "lr", {"maxIter": 200})
     m = models.fit(data.where(F.col("split") != "test"), spec, feats, "churn")
-    coefs = models.lr_coefficients(m, feats).collect()
+    coefs = models.lr_coefficients(m).collect()
     assert len(coefs) == len(feats)
     assert abs(coefs[0]["odds_ratio"] - __import__("math").exp(coefs[0]["coefficient"])) < 1e-12
     out = tempfile.mkdtemp(prefix="churnkit-models-", dir="/tmp")
