@@ -9,7 +9,6 @@ Silhouette uses the squared-Euclidean identity
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +25,8 @@ def as_array(cols: Sequence[str]) -> Column:
 
 #: The ten starts of each k-means fit.
 SEEDS = tuple(range(42, 52))
+#: Numbers of clusters of a sweep.
+KS = tuple(range(2, 11))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -213,22 +214,11 @@ def pca_project(df: DataFrame, cols: Sequence[str], model, means: dict, k: int,
                       F.col("pca_all")[1].alias("PCA2"))
 
 
-def kmeans_best(df: DataFrame, features: str, k: int, seeds: Sequence[int] = SEEDS, max_iter: int = 300):
-    """Spark's KMeans has no n_init; fit one model per seed and keep the
-    lowest training cost (10 inits like the reference)."""
-    from pyspark.ml.clustering import KMeans
-
-    def one(s):
-        m = KMeans(k=k, seed=s, featuresCol=features, maxIter=max_iter).fit(df)
-        if m.summary.numIter >= max_iter:
-            warnings.warn(f"k-means with k={k}, seed={s} stopped after {max_iter} rounds", stacklevel=2)
-        return m, m.summary.trainingCost
-    fits = parallel_map(one, list(seeds))  # independent fits as concurrent Spark jobs
-    best = None
-    for m, cost in fits:  # seed order: the first lowest cost wins
-        if best is None or cost < best[1]:
-            best = (m, cost)
-    return best[0]
+def kmeans_chosen(runs):
+    """Of ``lloyd.fit_many``'s runs, the best run of the k with the highest silhouette (first maximum; runs without one last)."""
+    from churnkit.operators.lloyd import best_run
+    best = [best_run(runs, k) for k in sorted({m.k for m in runs})]
+    return max(best, key=lambda m: -2.0 if m.silhouette is None else m.silhouette)
 
 
 def parallel_map(fn, items, workers: int = 4):
@@ -246,16 +236,14 @@ def gmm_fit(df: DataFrame, features: str, k: int, seed: int = 42):
     return GaussianMixture(k=k, seed=seed, featuresCol=features, maxIter=100).fit(df)
 
 
-def choose_k(df: DataFrame, features: str, method: str = "kmeans", ks=range(2, 11), seeds=SEEDS) -> DataFrame:
-    """Fit each k, score by (squared-Euclidean) silhouette, return the
+def choose_k(df: DataFrame, features: str, ks=KS) -> DataFrame:
+    """C5/C10 for the Gaussian mixture: fit each k, score by (squared-Euclidean) silhouette, return the
     sweep table (method, k, silhouette); the caller picks the first maximum."""
     from pyspark.ml.evaluation import ClusteringEvaluator
     ev = ClusteringEvaluator(featuresCol=features, predictionCol="prediction", metricName="silhouette",
                              distanceMeasure="squaredEuclidean")
     def one(k):
-        m = kmeans_best(df, features, k, seeds) if method == "kmeans" else gmm_fit(df, features, k, seeds[0])
-        pred = m.transform(df)
+        pred = gmm_fit(df, features, k, SEEDS[0]).transform(df)
         n_used = pred.select("prediction").distinct().count()
-        return (method, int(k), float(ev.evaluate(pred)) if n_used > 1 else None)
-    rows = [one(k) for k in ks] if method == "kmeans" else parallel_map(one, list(ks))
-    return df.sparkSession.createDataFrame(rows, "method string, k int, silhouette double")
+        return ("gmm", int(k), float(ev.evaluate(pred)) if n_used > 1 else None)
+    return df.sparkSession.createDataFrame(parallel_map(one, list(ks)), "method string, k int, silhouette double")

@@ -8,7 +8,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from churnkit.operators import boosting, evaluate, models, newton, outliers, segments
+from churnkit.operators import boosting, evaluate, lloyd, models, newton, outliers, segments
 from churnkit.plans import segmentation, training
 from churnkit.plans.catalog import query, r6
 from churnkit.plans.catalog_eval import SPLIT_SQL
@@ -259,6 +259,40 @@ def q_kmeans_sweep(spark, d):
     return r6(segmentation.k_sweep(spark, d, "kmeans"))
 
 
+LLOYD_KS, LLOYD_STARTS, LLOYD_ROUNDS = (2, 3, 4), (42, 43), 5
+
+
+def lloyd_sql() -> str:
+    """Assignments after LLOYD_ROUNDS rounds of every k and start on the curated features: one pair of CTEs a round."""
+    x = ", ".join(f"CASE WHEN isfinite({c}::DOUBLE) THEN {c}::DOUBLE ELSE 0 END" for c in CURATED_FEATURES)
+    starts = ", ".join(f"({k}, {s})" for k in LLOYD_KS for s in LLOYD_STARTS)
+    out = f"""WITH {CURATED_CTE},
+pts AS MATERIALIZED (SELECT customer_id, [{x}] AS x FROM curated),
+runs AS (SELECT * FROM (VALUES {starts}) t(k, start)),
+c0 AS (SELECT k, start, c, x AS m FROM (SELECT k, start, x, row_number() OVER (PARTITION BY k, start ORDER BY md5(concat_ws('|', customer_id, start)), customer_id) - 1 AS c
+       FROM pts, runs) WHERE c < k)"""
+    for r in range(LLOYD_ROUNDS + 1):
+        out += f""",
+a{r} AS MATERIALIZED (SELECT k, start, c, customer_id, x FROM pts, c{r}
+  QUALIFY row_number() OVER (PARTITION BY k, start, customer_id ORDER BY list_distance(x, m), c) = 1)"""
+        if r < LLOYD_ROUNDS:
+            out += f""",
+c{r + 1} AS MATERIALIZED (SELECT k, start, c, coalesce(new.m, old.m) AS m FROM c{r} old LEFT JOIN (SELECT k, start, c, list(v ORDER BY i) AS m
+  FROM (SELECT k, start, c, i, avg(x[i]) AS v FROM a{r}, range(1, {len(CURATED_FEATURES) + 1}) t(i) GROUP BY ALL) GROUP BY ALL) new USING (k, start, c))"""
+    return out + f" SELECT customer_id, k, start, c::INT AS cluster FROM a{LLOYD_ROUNDS}"
+
+
+@query("kmeans_five_rounds", lloyd_sql())
+def q_five_rounds(spark, d):
+    """Cluster of every customer after five rounds of k-means on the curated features, for three k and two starts."""
+    data, feats = training.model_table(spark, d)
+    df = data.select("customer_id", segments.as_array(feats).alias("vec"))
+    for m in lloyd.fit_many(df, "vec", "customer_id", LLOYD_KS, LLOYD_STARTS, LLOYD_ROUNDS, tol=0.0):
+        df = segments.assign_nearest(df, "vec", m.table(), f"c_{m.k}_{m.start}", None)
+    return df.select("customer_id", F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(s).alias("start"), F.col(f"c_{k}_{s}").alias("cluster"))
+                                                       for k in LLOYD_KS for s in LLOYD_STARTS])))
+
+
 @query("fitted_clusters")
 def q_fitted_clusters(spark, d):
     """K-means (best of 10 inits) and Gaussian-mixture labels per customer, k by silhouette."""

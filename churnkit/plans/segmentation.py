@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnkit.operators import outliers, segments
+from churnkit.operators import lloyd, outliers, segments
 from churnkit.plans import etl
 from churnkit.plans.training import ROWS_PER_TASK
 from churnkit.session import stored
@@ -46,27 +46,34 @@ def pca_frame(spark: SparkSession, sf_dir: str, target: float = 0.90):
     return _once(spark, sf_dir, ("pca", target), make)
 
 
-def k_sweep(spark: SparkSession, sf_dir: str, method: str, ks=range(2, 11)) -> DataFrame:
-    """Silhouette of each k; ten starts for each k-means fit."""
+def kmeans_runs(spark: SparkSession, sf_dir: str, ks=segments.KS) -> list[lloyd.Run]:
+    """Ten starts for each k, all in one fit."""
+    return _once(spark, sf_dir, ("kmeans", tuple(ks)),
+                 lambda: lloyd.fit_many(pca_frame(spark, sf_dir)[0], "pca", "customer_id", list(ks), segments.SEEDS))
+
+
+def k_sweep(spark: SparkSession, sf_dir: str, method: str, ks=segments.KS) -> DataFrame:
+    """Silhouette of each k; of k-means for the best of its ten starts."""
     def make():
         from pyspark.ml.functions import array_to_vector
-        vec = pca_frame(spark, sf_dir)[0].withColumn("features", array_to_vector("pca"))
-        return segments.choose_k(vec, "features", method, ks)
+        proj = pca_frame(spark, sf_dir)[0]
+        if method == "kmeans":
+            return lloyd.sweep_table(proj, kmeans_runs(spark, sf_dir, ks))
+        return segments.choose_k(proj.withColumn("features", array_to_vector("pca")), "features", ks)
     return _once(spark, sf_dir, ("sweep", method, tuple(ks)), make)
 
 
 def fitted_clusters(spark: SparkSession, sf_dir: str, k_kmeans: int | None = None, k_gmm: int | None = None,
-                    ks=range(2, 11)) -> DataFrame:
+                    ks=segments.KS) -> DataFrame:
     """K chosen by silhouette (first maximum) unless given; adds
     Cluster_KMeans and Cluster_GMM to the PCA-projected customers."""
-    best = lambda method: k_sweep(spark, sf_dir, method, ks).orderBy(F.col("silhouette").desc_nulls_last(), "k").first()["k"]
-
     def make():
         from pyspark.ml.functions import array_to_vector
         vec = pca_frame(spark, sf_dir)[0].withColumn("features", array_to_vector("pca"))
-        km = segments.kmeans_best(vec, "features", k_kmeans or best("kmeans"))
-        out = km.transform(vec).withColumnRenamed("prediction", "Cluster_KMeans")
-        gm = segments.gmm_fit(vec, "features", k_gmm or best("gmm"))
+        km = segments.kmeans_chosen(kmeans_runs(spark, sf_dir, [k_kmeans] if k_kmeans else ks))
+        out = segments.assign_nearest(vec, "pca", km.table(), "Cluster_KMeans", None)
+        best = lambda: k_sweep(spark, sf_dir, "gmm", ks).orderBy(F.col("silhouette").desc_nulls_last(), "k").first()["k"]
+        gm = segments.gmm_fit(vec, "features", k_gmm or best())
         out = gm.transform(out).withColumnRenamed("prediction", "Cluster_GMM").drop("probability", "features")
         return stored(spark, out, "clusters")
     return _once(spark, sf_dir, ("clusters", k_kmeans, k_gmm, tuple(ks)), make)
