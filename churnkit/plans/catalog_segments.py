@@ -291,13 +291,12 @@ def q_anomaly_kpis(spark, d):
     ", med AS (SELECT median(anomaly_score) AS mx, median(p_lr) AS my FROM osc)"
     " SELECT CASE WHEN anomaly_score >= mx THEN 'high' ELSE 'low' END AS anomaly_score_side,"
     " CASE WHEN p_lr >= my THEN 'high' ELSE 'low' END AS p_lr_side, count(*) AS n,"
-    " round(mx, 6) AS anomaly_score_median FROM osc, med"
+    " round(mx, 7) AS anomaly_score_median, round(my, 7) AS p_lr_median FROM osc, med"
     " WHERE anomaly_score IS NOT NULL AND p_lr IS NOT NULL GROUP BY 1, 2, mx, my"))
 def q_quadrants(spark, d):
     """A31 + O7: medians of anomaly score and churn probability, quadrant counts."""
-    # the probability median is a midpoint of two 6-place values: reported by the
-    # operator, left out of the oracle comparison (its 6-place rounding is a tie)
-    return r6(outliers.quadrants(scored_outliers(spark, d), "anomaly_score", "p_lr").drop("p_lr_median"))
+    # seven places: the midpoint of two 6-place values would be a tie at six
+    return r6(outliers.quadrants(scored_outliers(spark, d), "anomaly_score", "p_lr"), 7)
 
 
 @query("anomaly_explanations", with_outliers(
