@@ -32,6 +32,21 @@ def test_lr_fit_save_load_and_score(spark):
     assert set(votes.columns) >= {"p_LogisticRegression", "pred_LogisticRegression", "consensus_label"}
 
 
+def test_models_are_saved_and_loaded_from_other_threads(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from churnkit.operators.newton import LogisticModel
+
+    def one(name):
+        tm = models.TrainedModel(models.ModelSpec(name, "lr", {}), LogisticModel(["a"], [0.5], 0.25), 0.5, {}, ["a"])
+        out = tempfile.mkdtemp(prefix="churnkit-models-", dir="/tmp")
+        models.save_models({name: tm}, out)
+        loaded, manifest = models.load_models(out)
+        return models.lr_coefficients(loaded[name]).first()["coefficient"], manifest.first()["model"]
+    with ThreadPoolExecutor(2) as ex:
+        assert list(ex.map(one, ["m", "n"])) == [(0.5, "m"), (0.5, "n")]
+
+
 def test_csv_roundtrip_keeps_blank_text(spark):
     df = spark.createDataFrame([(1, " ", None), (2, "3.5", "x")], "k long, t string, u string")
     path = layers.write_csv(df, tempfile.mkdtemp(prefix="churnkit-csv-", dir="/tmp") + "/t")
