@@ -2,10 +2,10 @@
 
 Features are cut at quantiles into at most ``bins`` bins, and rows become blocks of bin
 codes.  A level of a tree is one Spark aggregate: every task adds up gradient and hessian by
-(training set, node, feature, bin) over its blocks, the sums are tree-reduced, and the
-driver picks each node's best cut from them.  All training sets (cross-validation folds and
+(training set, node, feature, bin) over its blocks, the sums are added up by node, and each node's
+best cut is picked where its sums lie.  All training sets (cross-validation folds and
 refits) share each aggregate, so five folds and two refits cost as many jobs as one
-fit.  What reaches the driver is bounded by sets x 2^depth x bins and does not grow with the rows.
+fit.  What reaches the driver is six numbers per set and node and grows with neither rows nor tasks.
 
 The objective is the weighted log-loss with second-order gains
 ``GL^2/(HL+l2) + GR^2/(HR+l2) - G^2/(H+l2)``; rows and columns are sampled per round by hashes, so
@@ -32,6 +32,8 @@ from churnkit.session import ensure_checkpoint_dir, ship_package, stored
 #: Rounds whose trees a pass evaluates anew before their margins are folded into the blocks.
 FOLD_ROUNDS = 8
 _LEAST_GAIN = 1e-6
+#: Tasks that add up the sums of a level, at most.
+REDUCERS = 16
 
 
 @dataclass(frozen=True)
@@ -296,6 +298,44 @@ def _sums(prepared: _Prepared, round_: int, recent: list, grown: _Trees, level:
     return np.moveaxis(out.reshape(2, n_sets, 2 ** level, total), 0, -1), loss
 
 
+def _level(prepared: _Prepared, round_: int, recent: list, grown: _Trees, level: int, columns: np.ndarray, params: BoostParams):
+    """The best cut of every node of a level (gain, bin, GL, HL, G, H by set and node) and the losses.
+
+    Sums are added up by node and cut where they lie: the driver gets a few numbers per node, however many bins and tasks there are."""
+    run = _pass(round_, recent, grown, level, prepared.offsets, prepared.weights, params)
+    n_sets, nodes, offsets = len(prepared.weights), 2 ** level, prepared.offsets
+    total, tasks = int(offsets[-1]), prepared.blocks.getNumPartitions()
+    closed = ~columns[np.repeat(np.arange(len(columns)), np.diff(offsets))]
+
+    def cells(blocks):
+        for out, loss in run(blocks):
+            sums = np.moveaxis(out.reshape(2, n_sets * nodes, total), 0, -1)
+            yield from ((i, x) for i, x in enumerate(sums) if x.any())
+            yield -1, loss
+
+    def choose(cell):
+        i, sums = cell
+        if i < 0:
+            return cell
+        gain, left, whole = best_cuts(sums[None], offsets, params)
+        gain[:, closed] = -np.inf
+        b = int(gain[0].argmax())
+        return i, np.array([gain[0, b], b, *left[0, b], *whole[0]])
+
+    best, loss = np.zeros((n_sets * nodes, 6)), np.zeros(n_sets)
+    best[:, 0] = -np.inf
+    if tasks:
+        found = prepared.blocks.mapPartitions(cells)
+        if tasks > 1:
+            found = found.reduceByKey(np.add, min(tasks, REDUCERS))
+        for i, x in found.map(choose).collect():  # sets x nodes rows of six numbers
+            if i < 0:
+                loss = x
+            else:
+                best[i] = x
+    return best, loss
+
+
 def fit_many(data: DataFrame, features: Sequence[str], label: str, key: str, sets: dict[str, Column],
              params: BoostParams = BoostParams()) -> dict[str, Booster]:
     """A model for every training set (name -> condition on ``data``'s rows), positives weighted n_neg / max(1, n_pos) in each.
@@ -308,14 +348,15 @@ def fit_many(data: DataFrame, features: Sequence[str], label: str, key: str, set
     first, losses, recent, folded = [], [], [], None
     every: list[_Trees] = []
     of_bin = np.repeat(np.arange(len(features)), np.diff(p.offsets))
+    all_columns = np.ones(len(features), bool)
     for r in range(params.rounds):
         columns = np.array(sampled_columns(r, features, params.columns))
         tree = _Trees.empty(n_sets, params.depth)
         for level in range(params.depth):
-            sums, loss = _sums(p, r, recent, tree, level, params)
+            best, loss = _level(p, r, recent, tree, level, columns, params)
             if level == 0:
                 losses.append(loss / np.maximum(1.0, p.sizes))
-            grew = _split(tree, sums, level, p.offsets, of_bin, columns, params)
+            grew = _split(tree, best, level, p.offsets, of_bin, params)
             if not grew:
                 break
         every.append(tree)
@@ -331,7 +372,7 @@ def fit_many(data: DataFrame, features: Sequence[str], label: str, key: str, set
             p.blocks.count()
             before.unpersist()
             recent = []
-    _, loss = _sums(p, params.rounds, recent, _Trees.empty(n_sets, params.depth), 0, params)
+    _, loss = _level(p, params.rounds, recent, _Trees.empty(n_sets, params.depth), 0, all_columns, params)
     losses.append(loss / np.maximum(1.0, p.sizes))
     p.blocks.unpersist()
     stack = lambda f, i: np.stack([getattr(t, f)[i] for t in every])
@@ -339,23 +380,21 @@ def fit_many(data: DataFrame, features: Sequence[str], label: str, key: str, set
                           losses=[float(x[i]) for x in losses]) for i, name in enumerate(names)}
 
 
-def _split(tree: _Trees, sums: np.ndarray, level: int, offsets: np.ndarray, of_bin: np.ndarray, columns: np.ndarray, params: BoostParams) -> bool:
-    """Cut the nodes of a level at their best bins; children get their values.  False if no node was cut."""
-    n_sets, nodes, total, _ = sums.shape
-    gain, left, whole = best_cuts(sums.reshape(-1, total, 2), offsets, params)
-    gain[:, ~columns[of_bin]] = -np.inf
-    best = gain.argmax(axis=1)
+def _split(tree: _Trees, found: np.ndarray, level: int, offsets: np.ndarray, of_bin: np.ndarray, params: BoostParams) -> bool:
+    """Cut the nodes of a level at their best bins (rows of ``_level``); children get their values.  False if no node was cut."""
+    nodes = 2 ** level
+    gain, best, left, whole = found[:, 0], found[:, 1].astype(int), found[:, 2:4], found[:, 4:6]
     k = np.arange(len(best))
     s, node = k // nodes, k % nodes + nodes - 1
     value = lambda x: -params.rate * x[..., 0] / (x[..., 1] + params.l2)
     if level == 0:
         tree.value[s, node], tree.cover[s, node] = value(whole), whole[..., 1]
-    cut = gain[k, best] > _LEAST_GAIN
+    cut = gain > _LEAST_GAIN
     k, s, node, best = k[cut], s[cut], node[cut], best[cut]
     tree.feature[s, node] = of_bin[best]
     tree.cut[s, node] = best - offsets[of_bin[best]]
-    tree.gain[s, node] = gain[k, best]
-    for child, x in ((2 * node + 1, left[k, best]), (2 * node + 2, whole[k] - left[k, best])):
+    tree.gain[s, node] = gain[k]
+    for child, x in ((2 * node + 1, left[k]), (2 * node + 2, whole[k] - left[k])):
         tree.value[s, child], tree.cover[s, child] = value(x), x[..., 1]
     return bool(cut.any())
 

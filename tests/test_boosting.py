@@ -98,3 +98,36 @@ def test_save_load_predict_by_set_and_odd_rows(spark):
         assert both[r["id"]] == want
     empty = boosting.fit_many(df.where("false"), FEATURES, "y", "id", {"x": F.lit(True)}, boosting.BoostParams(rounds=2, depth=2))["x"]
     assert not empty.value.any()
+
+
+def test_driver_gets_a_few_numbers_per_node(spark, monkeypatch):
+    """What a level sends to the driver does not hold its histograms (before: all bins of all nodes, from several tasks)."""
+    import pickle
+
+    from pyspark import RDD
+
+    sizes, collect = [], RDD.collect
+
+    def counted(self):
+        out = collect(self)
+        sizes.append(len(pickle.dumps(out)))
+        return out
+    monkeypatch.setattr(RDD, "collect", counted)
+    params = boosting.BoostParams(rounds=2, depth=3, bins=64)
+    sets = {"f0": F.col("fold") != 0, "all": F.lit(True)}
+    for parts in (1, 6):
+        boosting.fit_many(table(spark, rows(), parts), FEATURES, "y", "id", sets, params)
+    assert sizes and max(sizes) < 4000
+
+
+def test_cuts_picked_by_node_equal_those_of_the_whole_sums(spark):
+    df, sets = table(spark, rows(), 4), {"f0": F.col("fold") != 0, "all": F.lit(True)}
+    p = boosting._prepare(df, FEATURES, "y", "id", sets, SMALL)
+    tree = boosting._Trees.empty(2, SMALL.depth)
+    sums, loss = boosting._sums(p, 0, [], tree, 0, SMALL)
+    found, again = boosting._level(p, 0, [], tree, 0, np.array([True, False, True, True]), SMALL)
+    gain, left, whole = boosting.best_cuts(sums[:, 0], p.offsets, SMALL)
+    gain[:, p.offsets[1]:p.offsets[2]] = -np.inf
+    best = gain.argmax(axis=1)
+    assert np.array_equal(found[:, 1], best) and np.allclose(loss, again)
+    assert np.allclose(found[:, 0], gain[[0, 1], best]) and np.allclose(found[:, 2:4], left[[0, 1], best]) and np.allclose(found[:, 4:], whole)
