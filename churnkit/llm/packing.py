@@ -20,6 +20,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ from churnkit.llm.common import CACHES, chunks, mix, stored
 
 _CHARS = 2_000_000
 _CACHED_WORDS = 1_200_000  # about 180 MB in each Python worker
+#: New words that one call of the tokenizer gets.
+_AT_ONCE = 500
 #: Type codes of unsigned integers by size.
 _CODE = {2: "H", 4: "I"}
 _TAILS = (b".", b",")
@@ -116,31 +119,38 @@ def token_bytes(texts: list[str | None], path: str, end: int) -> tuple[list[byte
     packed = lambda e: array(_CODE[t.kind.itemsize], e.ids).tobytes()
     if t.bare is None:
         return [packed(e) + last for e in t.full.encode_batch_fast([x or "" for x in texts], add_special_tokens=False)], t.kind
-    # ASCII capitals are folded at once, but not where they might spell a special token.
-    words = [(x if b"<|" in x else x.lower()).split() for x in ((x or "").encode() for x in texts)]
     if len(t.ids) > _CACHED_WORDS:
         t.ids.clear()
-    missing = set().union(*words) - t.ids.keys()
+    # ASCII capitals are folded at once, but not where they might spell a special token.
+    words = [(x if b"<|" in x else x.lower()).split() for x in ((x or "").encode() for x in texts)]
+    found = [list(map(t.ids.get, x)) for x in words]  # one look-up a word; new words are looked up again
+    new = [[i for i, ids in enumerate(f) if ids is None] for f in found]
+    _learn(t, {x[i] for x, at in zip(words, new, strict=True) for i in at})
+    for x, f, at in zip(words, found, new, strict=True):
+        for i in at:
+            f[i] = t.ids[x[i]]
+    return [b"".join(f) + last for f in found], t.kind
+
+
+def _learn(t: _Words, missing: set[bytes]) -> None:
+    """Tokenise words not met so far."""
     # A point or comma after a letter or digit is a token of its own.
     tailed = {w: w[:-1] for w in missing if w[-1:] in _TAILS and w[-2:-1].isalnum()}
-    needed = {*tailed.values(), *_TAILS}.union(missing.difference(tailed)) - t.ids.keys()
+    needed = filterfalse(t.ids.__contains__, {*tailed.values(), *_TAILS}.union(missing.difference(tailed)))
     plain, rest = [], []
     for w in needed:
-        (plain if t.bar is not None and b"|" not in w and _plain(w.decode()) else rest).append(w)
+        (plain if t.bar is not None and b"|" not in w and (w.isascii() or _plain(w.decode())) else rest).append(w)
     # Many words in one call, told apart by the bars between them.
-    groups = [plain[i: i + 100] for i in range(0, len(plain), 100)]
+    groups = [plain[i: i + _AT_ONCE] for i in range(0, len(plain), _AT_ONCE)]
+    size = t.kind.itemsize
     for some, e in zip(groups, t.bare.encode_batch_fast([b" | ".join(g).decode() for g in groups], add_special_tokens=False), strict=True):
-        ids, at = e.ids, 0
-        for w in some[:-1]:
-            end = ids.index(t.bar, at)
-            t.ids[w] = array(_CODE[t.kind.itemsize], ids[at:end]).tobytes()
-            at = end + 1
-        t.ids[some[-1]] = array(_CODE[t.kind.itemsize], ids[at:]).tobytes()
+        ids = array(_CODE[size], e.ids)
+        raw, bars = ids.tobytes(), (np.flatnonzero(np.frombuffer(ids, t.kind) == t.bar) * size).tolist()
+        t.ids.update(zip(some, [raw[i:j] for i, j in zip([0, *(b + size for b in bars)], [*bars, len(raw)], strict=True)], strict=True))
     for w, e in zip(rest, t.full.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False), strict=True):
-        t.ids[w] = packed(e)
+        t.ids[w] = array(_CODE[size], e.ids).tobytes()
     for w, stem in tailed.items():
         t.ids[w] = t.ids[stem] + t.ids[w[-1:]]
-    return [b"".join(map(t.ids.__getitem__, x)) + last for x in words], t.kind
 
 
 def tokenised(docs: DataFrame, path: str, *, end: int = 2, buckets: int = 256, dims: int = 3, bits: int = 10,

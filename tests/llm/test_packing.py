@@ -75,3 +75,24 @@ def test_empty_and_clashing(spark, docs, clashing):
     assert P.packed_digests(spark, docs([]), tokenizer_path()).count() == 0
     got = P.packed_digests(spark, clashing([(1, "a"), (1, "a")]), tokenizer_path()).collect()
     assert [r["length"] for r in got] == [2, 2] and sorted(r["offset"] for r in got) == [0, 2]
+
+
+def test_new_words_are_looked_up_not_subtracted():
+    """A call's work doesn't grow with the words met before: they are never walked."""
+    class Known(dict):
+        def keys(self):
+            raise AssertionError("all known words walked")
+
+        __iter__ = keys
+
+    path = tokenizer_path()
+    t = P._tokenizer(path)
+    before, t.ids = t.ids, Known()
+    try:
+        texts = ["one two. | x|y", "two one, é. a | b"]
+        want = [t.full.encode(x, add_special_tokens=False).ids + [END] for x in texts]
+        for _ in range(2):
+            ids, kind = P.token_bytes(texts, path, END)
+            assert [np.frombuffer(x, kind).tolist() for x in ids] == want
+    finally:
+        t.ids = before
