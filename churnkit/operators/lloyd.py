@@ -79,23 +79,26 @@ def _moments(at: dict[int, np.ndarray], origin: np.ndarray):
     return run
 
 
+def silhouette_sum(x: np.ndarray, label: np.ndarray, sizes: np.ndarray, norms: np.ndarray, sums: np.ndarray) -> float:
+    """Sum of the squared-Euclidean silhouettes of labelled rows, from every cluster's size, sum of squared norms and vector sum."""
+    xx, i = (x ** 2).sum(axis=1), np.arange(len(x))
+    away = sizes[None, :] * xx[:, None] - 2 * x @ sums.T + norms[None, :]  # squared distances to all rows of a cluster
+    own, n = away[i, label], sizes[label]
+    mean = np.where(sizes > 0, away / np.maximum(1, sizes), np.inf)
+    mean[i, label] = np.inf
+    a, other = own / np.maximum(1, n - 1), mean.min(axis=1)
+    most = np.maximum(a, other)
+    return np.where((n > 1) & (most > 0), (other - a) / np.where(most > 0, most, 1), 0.0).sum()
+
+
 def _silhouettes(at: dict[int, Run], centres: dict[int, np.ndarray], origin: np.ndarray):
     """Task: per run the sum of all silhouettes and the number of rows."""
     def run(batches):
         total = {r: np.zeros(2) for r in at}
         for b in batches:
             x = _points(b, origin)
-            xx, i = (x ** 2).sum(axis=1), np.arange(len(x))
             for r, m in at.items():
-                label, _ = _nearest(x, centres[r])
-                away = m.sizes[None, :] * xx[:, None] - 2 * x @ m.sums.T + m.norms[None, :]  # squared distances to all rows of a cluster
-                own, n = away[i, label], m.sizes[label]
-                mean = np.where(m.sizes > 0, away / np.maximum(1, m.sizes), np.inf)
-                mean[i, label] = np.inf
-                a, other = own / np.maximum(1, n - 1), mean.min(axis=1)
-                most = np.maximum(a, other)
-                s = np.where((n > 1) & (most > 0), (other - a) / np.where(most > 0, most, 1), 0.0)
-                total[r] += s.sum(), len(x)
+                total[r] += silhouette_sum(x, _nearest(x, centres[r])[0], m.sizes, m.norms, m.sums), len(x)
         yield from _entries(total)
     return run
 

@@ -24,7 +24,7 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from churnkit.operators import lloyd, models, olap, outliers, segments, split
+from churnkit.operators import lloyd, mixture, models, olap, outliers, segments, split
 from churnkit.operators.density import grid_density_clusters
 from churnkit.plans import etl
 from churnkit.plans.catalog import BIN_KW, REGIONS
@@ -58,13 +58,10 @@ def publish(spark: SparkSession, sf_dir: str, out: str, train_models: bool = Tru
     feats = [c for c in mm.columns if c not in (spec.key, spec.label)]
     pca_model, k, _, means = segments.pca_fit(mm, feats)
     proj = segments.pca_project(mm, feats, pca_model, means, k, keep=[spec.key, spec.label])
-    from pyspark.ml.functions import array_to_vector
     proj = stored(spark, proj, "pca")
-    vec = proj.withColumn("features", array_to_vector("pca"))
     km = segments.kmeans_chosen(lloyd.fit_many(proj, "pca", spec.key, segments.KS, segments.SEEDS))
-    gm_k = segments.choose_k(vec, "features").orderBy(F.col("silhouette").desc_nulls_last(), "k").first()["k"]
-    cl = segments.assign_nearest(vec, "pca", km.table(), "Cluster_KMeans", None)
-    cl = segments.gmm_fit(vec, "features", gm_k).transform(cl).withColumnRenamed("prediction", "Cluster_GMM")
+    gm = mixture.chosen(mixture.fit_many(proj, "pca", segments.KS, segments.SEEDS[0]))
+    cl = mixture.assign(segments.assign_nearest(proj, "pca", km.table(), "Cluster_KMeans", None), "pca", gm, "Cluster_GMM")
     s = proj.agg(F.stddev_samp("PCA1").alias("a"), F.stddev_samp("PCA2").alias("b")).first()
     cell = 0.25 * ((s["a"] or 1.0) + (s["b"] or 1.0)) / 2.0
     dens = grid_density_clusters(proj, spec.key, ["PCA1", "PCA2"], cell, 5, 50, "Cluster_Density")
