@@ -8,7 +8,8 @@ What is shuffled and collected is bounded by the sum of all k x dimensions^2 and
 
 The rules are Spark ML's: densities have the floor of the machine's precision, eigenvalues at its level are left out of the
 inverse, a fit ends when the log-likelihood moves by at most ``tol``, and a row goes to its likeliest component
-(the first of equals).  Every round reads ``df``: pass a written table.
+(the first of equals).  Eigenvalues of a singular covariance are rounding errors in both, so such fits may differ.  Every round
+reads ``df``: pass a written table.
 """
 
 from __future__ import annotations
