@@ -47,6 +47,10 @@ class Run:
         return [(i, c.tolist()) for i, c in enumerate(self.centres)]
 
 
+#: Rows that a task works on at once.
+_ROWS = 512
+
+
 def _points(batch: pa.RecordBatch, origin: np.ndarray) -> np.ndarray:
     return batch.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(origin)) - origin
 
@@ -66,16 +70,32 @@ def _entries(total: dict):
 
 
 def _moments(at: dict[int, np.ndarray], origin: np.ndarray):
-    """Task: per run and cluster (cost, size, sum of squared norms, vector sum)."""
+    """Task: per run and cluster (cost, size, sum of squared norms, vector sum).
+
+    The centres of all runs are one product with a few rows at a time, which stay in the processor's cache."""
+    runs = list(at)
+    ends = np.cumsum([0, *[len(at[r]) for r in runs]])
+    spans = list(zip(ends[:-1], ends[1:]))
+    every = np.concatenate([at[r] for r in runs])
+    factors = np.concatenate([(every ** 2).sum(axis=1, keepdims=True), -2 * every], axis=1)
+
     def run(batches):
-        total = {r: np.zeros((len(c), 3 + len(origin))) for r, c in at.items()}
+        total = np.zeros((len(every), 3 + len(origin)))
         for b in batches:
-            x = _points(b, origin)
-            cells = np.concatenate([np.zeros((len(x), 1)), np.ones((len(x), 1)), (x ** 2).sum(axis=1, keepdims=True), x], axis=1)
-            for r, c in at.items():
-                label, cells[:, 0] = _nearest(x, c)
-                total[r] += (label[:, None] == np.arange(len(c))[None, :]).T.astype(float) @ cells
-        yield from _entries(total)
+            points = _points(b, origin)
+            for i in range(0, len(points), _ROWS):
+                x = points[i:i + _ROWS]
+                xx = (x ** 2).sum(axis=1)
+                away = factors @ np.concatenate([np.ones((len(x), 1)), x], axis=1).T  # squared distance less the row's squared norm
+                mine = np.empty_like(away)  # 1 where a centre is its run's nearest
+                for start, end in spans:
+                    np.equal(away[start:end], away[start:end].min(axis=0), out=mine[start:end])
+                    if mine[start:end].sum() != len(x):  # equal distances go to the first
+                        mine[start:end] = np.arange(end - start)[:, None] == away[start:end].argmin(axis=0)
+                total[:, 1:] += mine @ np.concatenate([np.ones((len(x), 1)), xx[:, None], x], axis=1)
+                away += xx
+                total[:, 0] += np.einsum("kn,kn->k", np.maximum(0, away, out=away), mine)
+        yield from _entries({r: total[start:end] for r, (start, end) in zip(runs, spans)})
     return run
 
 

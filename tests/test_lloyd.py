@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from churnkit.operators import lloyd
 
@@ -64,3 +65,23 @@ def test_ties_repeated_rows_nulls_few_rows_and_empty(spark):
     assert [len(m.centres) for m in runs] == [2, 5] and all(m.cost == 0 and m.silhouette is None for m in runs)
     assert runs[0].sizes.tolist() == [5, 0]
     assert lloyd.fit_many(spark.createDataFrame(bad, SCHEMA), "v", "id", (2,), (0,)) == []
+
+
+def test_a_round_screens_all_runs_at_once(monkeypatch):
+    """Moments of many runs against plain sums, ties to the first centre; no run has products of its own (before: each had)."""
+    monkeypatch.setattr(lloyd, "_nearest", None)
+    rng = np.random.default_rng(5)
+    x = rng.integers(-3, 4, (1300, 3)).astype(float)
+    at = {4: x[:3].copy(), 1: np.array([[0.0, 0, 0], [0, 0, 0], [9, 9, 9]]), 7: x[5:7] + 0.5}
+    flat = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, 3, dtype=np.int32)), pa.array(x.ravel()))
+    out = {b.column("run")[0].as_py(): b.column("value").to_numpy().reshape(-1, 6)
+           for b in lloyd._moments(at, np.zeros(3))([pa.RecordBatch.from_arrays([flat], names=["_x"])])}
+    assert set(out) == set(at)
+    for r, centres in at.items():
+        away = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2)
+        label = np.array([min(range(len(centres)), key=lambda c: (row[c], c)) for row in away])
+        for c in range(len(centres)):
+            mine = x[label == c]
+            want = [away[label == c, c].sum(), len(mine), (mine ** 2).sum(), *mine.sum(axis=0)]
+            assert np.allclose(out[r][c], want)
+    assert out[1][1][1] == 0  # the second of two equal centres gets no row
