@@ -131,3 +131,74 @@ def test_cuts_picked_by_node_equal_those_of_the_whole_sums(spark):
     best = gain.argmax(axis=1)
     assert np.array_equal(found[:, 1], best) and np.allclose(loss, again)
     assert np.allclose(found[:, 0], gain[[0, 1], best]) and np.allclose(found[:, 2:4], left[[0, 1], best]) and np.allclose(found[:, 4:], whole)
+
+
+def _jobs(spark, group, run):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_rounds_of_sets_that_fit_in_a_task_take_no_jobs_of_their_own(spark):
+    """Before: a job for every level of every round."""
+    df, sets = table(spark, rows()).cache(), {"f0": F.col("fold") != 0, "all": F.lit(True)}
+    few, many = (_jobs(spark, f"rounds-{n}", lambda n=n: boosting.fit_many(df, FEATURES, "y", "id", sets, boosting.BoostParams(rounds=n, depth=3, bins=16)))
+                 for n in (1, 12))
+    assert 0 < many <= few
+
+
+def test_passes_and_joint_codes_give_the_trees_of_one_task(spark, monkeypatch):
+    df, sets = table(spark, rows(), 3), {"f0": F.col("fold") != 0, "none": F.lit(False), "all": F.lit(True)}
+    whole = boosting.fit_many(df, FEATURES, "y", "id", sets, SMALL)
+    others = []
+    for name, value in (("LOCAL_BYTES", 0), ("FOLD_ROUNDS", 5), ("JOINT_ROWS", 1)):  # passes, with checkpoints between, with joint codes; then joint in a task
+        monkeypatch.setattr(boosting, name, value)
+        others.append(boosting.fit_many(df, FEATURES, "y", "id", sets, SMALL))
+    monkeypatch.setattr(boosting, "LOCAL_BYTES", 10**9)
+    others.append(boosting.fit_many(df, FEATURES, "y", "id", sets, SMALL))
+    for other in others:
+        for s in sets:
+            assert np.array_equal(other[s].feature, whole[s].feature) and np.array_equal(other[s].cut, whole[s].cut)
+            assert np.allclose(other[s].value, whole[s].value) and np.allclose(other[s].cover, whole[s].cover) and np.allclose(other[s].losses, whole[s].losses)
+
+
+def test_joint_codes_keep_every_bin():
+    offsets = np.cumsum([0, 2, 64, 2, 1, 7, 2, 300])
+    codes = np.stack([np.random.default_rng(i).integers(0, n, 500) for i, n in enumerate(np.diff(offsets))], axis=1)
+    at, g = np.random.default_rng(9).integers(0, 3, 500), np.arange(500.0)  # node 0 is above the level
+    for most in (0, 64, 1024):
+        joints = boosting.joints_of(offsets, most)
+        assert sorted(f for j in joints for f in j.features) == list(range(7)) and all(j.size <= max(most, 300) for j in joints)
+        sums = boosting._Sums(joints, 2)
+        sums.add([j.code(codes) for j in joints], at, g, -g)
+        got = sums.by_bin(int(offsets[-1]))
+        for f in range(7):
+            for b in range(offsets[f + 1] - offsets[f]):
+                for node in (0, 1):
+                    want = g[(at == node + 1) & (codes[:, f] == b)].sum()
+                    assert got[node, offsets[f] + b].tolist() == [want, -want]
+
+
+def test_edges_of_few_values_are_those_of_all_rows(spark):
+    data = [(float(i % 2), float(i % 90 == 0), float(i % 300), float(i % 40) if i % 3 else None, None) for i in range(3000)]
+    df = spark.createDataFrame(data, "a double, b double, c double, d double, e double").repartition(3)
+    assert sorted(boosting.value_counts(df, list("abcde"), 64)) == [0, 1, 3]
+    for f, edges, column in zip("abcde", boosting.quantile_edges(df, list("abcde"), 16), zip(*data)):
+        v = sorted(x for x in column if x is not None)
+        want = sorted({v[math.ceil(i / 16 * len(v)) - 1] for i in range(1, 16)} - {v[-1]}) if v else []
+        assert edges.tolist() == want, f
+
+
+def test_contributions_of_a_booster_add_up_to_its_margin(spark):
+    from churnkit.operators import attribution
+
+    df = table(spark, rows(100))
+    b = boosting.fit_many(df, FEATURES, "y", "id", {"all": F.lit(True)}, SMALL)["all"]
+    got = {r["id"]: r for r in attribution.path_attribution(df, b, FEATURES, "id").collect()}
+    for r in df.collect():
+        x = got[r["id"]]
+        assert abs(x["prediction"] - b.margin(np.array([[r[f] for f in FEATURES]]))[0]) < 1e-9
+        assert abs(sum(x["contributions"]) - (x["prediction"] - x["base_value"])) < 1e-9 and x["contributions"][3] == 0.0

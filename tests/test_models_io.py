@@ -52,3 +52,16 @@ def test_csv_roundtrip_keeps_blank_text(spark):
     path = layers.write_csv(df, tempfile.mkdtemp(prefix="churnkit-csv-", dir="/tmp") + "/t")
     back = sorted(tuple(r) for r in layers.read_csv(spark, path, "k long, t string, u string").collect())
     assert back == [(1, " ", None), (2, "3.5", "x")]
+
+
+def test_scores_of_all_customers_are_written_once(spark, monkeypatch):
+    """Before: every use of the scores ran all models again."""
+    from churnkit.plans import training
+
+    df = spark.createDataFrame([(i, i % 2) for i in range(20)], "customer_id long, churn int")
+    monkeypatch.setattr(training, "load_fitted", lambda *a: ({}, []))
+    monkeypatch.setattr(training, "model_table", lambda *a: (df, []))
+    monkeypatch.setattr(training.models, "score_all", lambda loaded, thresholds, data, key, label: data.select(key, label))
+    scores = training.fitted_scores(spark, "some folder")
+    assert scores.inputFiles() and scores.count() == 20
+    assert training.fitted_scores(spark, "some folder") is scores and training.fitted_scores(spark, "another") is not scores
