@@ -71,12 +71,13 @@ def k_sweep(spark: SparkSession, sf_dir: str, method: str, ks=segments.KS) -> Da
 def fitted_clusters(spark: SparkSession, sf_dir: str, k_kmeans: int | None = None, k_gmm: int | None = None,
                     ks=segments.KS) -> DataFrame:
     """K chosen by silhouette (first maximum) unless given; adds
-    Cluster_KMeans and Cluster_GMM to the PCA-projected customers."""
+    Cluster_KMeans and Cluster_GMM to the PCA-projected customers.  Both fits run at the same time: a round is a short job."""
     def make():
         proj = pca_frame(spark, sf_dir)[0]
-        km = segments.kmeans_chosen(kmeans_runs(spark, sf_dir, [k_kmeans] if k_kmeans else ks))
+        runs, mixtures = segments.parallel_map(lambda fit: fit(), [lambda: kmeans_runs(spark, sf_dir, [k_kmeans] if k_kmeans else ks),
+                                                                   lambda: mixture_fits(spark, sf_dir, [k_gmm] if k_gmm else ks)])
+        km, gm = segments.kmeans_chosen(runs), mixture.chosen(mixtures)
         out = segments.assign_nearest(proj, "pca", km.table(), "Cluster_KMeans", None)
-        gm = mixture.chosen(mixture_fits(spark, sf_dir, [k_gmm] if k_gmm else ks))
         return stored(spark, mixture.assign(out, "pca", gm, "Cluster_GMM"), "clusters")
     return _once(spark, sf_dir, ("clusters", k_kmeans, k_gmm, tuple(ks)), make)
 
@@ -85,8 +86,10 @@ def clustered_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The curated features with PCA1/PCA2 and all cluster labels, written once."""
     def make():
         mm, _ = curated_features(spark, sf_dir)
-        cl = fitted_clusters(spark, sf_dir).select("customer_id", "PCA1", "PCA2", "pca", "Cluster_KMeans", "Cluster_GMM")
-        dens = density_clusters(spark, sf_dir).select("customer_id", "Cluster_Density")
+        pca_frame(spark, sf_dir)  # made before the clusterings that read it at the same time
+        cl, dens = segments.parallel_map(lambda make: make(spark, sf_dir), [fitted_clusters, density_clusters])
+        cl = cl.select("customer_id", "PCA1", "PCA2", "pca", "Cluster_KMeans", "Cluster_GMM")
+        dens = dens.select("customer_id", "Cluster_Density")
         return stored(spark, mm.join(cl, "customer_id").join(dens, "customer_id"), "clustered")
     return _once(spark, sf_dir, ("clustered",), make)
 

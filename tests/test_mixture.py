@@ -55,3 +55,25 @@ def test_one_label_has_no_silhouette(spark):
     same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(20)], "id long, vec array<double>")
     one = mixture.fit_many(same, "vec", [2], rounds=0)[0]
     assert one.silhouette is None and mixture.chosen([one]) is one
+
+
+def test_clusterings_are_fitted_at_the_same_time(spark, monkeypatch):
+    """Before: the mixtures began when all k-means runs had ended."""
+    import threading
+    from types import SimpleNamespace
+
+    from churnkit.plans import segmentation
+
+    both, df = threading.Barrier(2), spark.range(3)
+
+    def fit(*_):
+        both.wait(timeout=20)
+        return []
+    monkeypatch.setattr(segmentation, "pca_frame", lambda *a: (df, 2, []))
+    monkeypatch.setattr(segmentation, "kmeans_runs", fit)
+    monkeypatch.setattr(segmentation, "mixture_fits", fit)
+    monkeypatch.setattr(segmentation.segments, "kmeans_chosen", lambda runs: SimpleNamespace(table=lambda: []))
+    monkeypatch.setattr(segmentation.segments, "assign_nearest", lambda proj, *a: proj)
+    monkeypatch.setattr(segmentation.mixture, "chosen", lambda fits: None)
+    monkeypatch.setattr(segmentation.mixture, "assign", lambda proj, *a: proj)
+    assert segmentation.fitted_clusters(spark, "no folder").count() == 3
